@@ -618,8 +618,8 @@ UNION ALL SELECT SECTION_CODE, 'm6_crossed', sum((y - mu - trend - e_cell) ^ 2),
 _AIC = "n * (ln(2 * pi() * rss / n) + 1) + 2 * (p + 1)"
 
 
-def _ranked(source: str, aic: int, deviance: int) -> str:
-    return f"""SELECT MODEL, SECTION_CODE, round({_AIC}, {aic}) AS aic, round(rss, {deviance}) AS deviance,
+def _ranked(source: str, decimals: int) -> str:
+    return f"""SELECT MODEL, SECTION_CODE, round({_AIC}, {decimals}) AS aic,
         CAST(p - 1 AS BIGINT) AS df, n AS nobs,
         CAST(row_number() OVER (PARTITION BY SECTION_CODE ORDER BY {_AIC}, MODEL) AS INT) AS aic_rank
         FROM {source}"""
@@ -698,8 +698,8 @@ _oracle(
     m4_coefficients="""SELECT SECTION_CODE, term, round(estimate, 6) AS estimate,
         round(sqrt(variance), 6) AS std_error, round(estimate / sqrt(variance), 6) AS t_value
         FROM coefficient""",
-    m5_nested_by_aic=_ranked("nested", 6, 2),
-    m5_bands_by_aic=_ranked("band_fit", 4, 1),
+    m5_nested_by_aic=_ranked("nested", 6),
+    m5_bands_by_aic=_ranked("band_fit", 4),
     m6_diagnostics="""SELECT SECTION_CODE, YEAR_MONTH, PDS_GENDER, BAND_20YR, ITEM_COUNT,
         round(fitted, 6) AS fitted, round(y - fitted, 6) AS residual, round(leverage, 9) AS leverage,
         round((y - fitted) / sqrt(s2 * (1 - leverage)), 7) AS std_residual,

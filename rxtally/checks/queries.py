@@ -689,16 +689,16 @@ def m4_coefficients(t: Tables) -> DataFrame:
 @query
 def m5_nested_by_aic(t: Tables) -> DataFrame:
     out = model.compare_nested(t.banded, t.config)
-    kept = out.select("MODEL", "SECTION_CODE", "aic", "deviance", "df", "nobs", "aic_rank")
-    return rounded(kept, aic=6, deviance=2)
+    kept = out.select("MODEL", "SECTION_CODE", "aic", "df", "nobs", "aic_rank")
+    return rounded(kept, aic=6)
 
 
 @query
 def m5_bands_by_aic(t: Tables) -> DataFrame:
     both = model.both_bands_input(t.model, t.days, t.config)
     out = model.compare_bands(both, t.config)
-    kept = out.select("MODEL", "SECTION_CODE", "aic", "deviance", "df", "nobs", "aic_rank")
-    return rounded(kept, aic=4, deviance=1)
+    kept = out.select("MODEL", "SECTION_CODE", "aic", "df", "nobs", "aic_rank")
+    return rounded(kept, aic=4)
 
 
 @query

@@ -13,15 +13,14 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rxtally.functions import distributions, least_squares
+from rxtally.functions.least_squares import INTERCEPT, fit_candidates
 
-INTERCEPT = "(Intercept)"
 MODEL = "MODEL"
 
 
@@ -81,9 +80,9 @@ def _label(column: str) -> Column:
     return F.concat(F.lit(f"{column}["), _level(column), F.lit("]"))
 
 
-def design(formula: Formula) -> Column:
+def _entries(effects: Sequence[tuple[str, ...]], numeric: Iterable[str]) -> Column:
     """Non-zero regressors of a row: position of the effect, levels, name, value."""
-    numeric = set(formula.numeric())
+    numeric = set(numeric)
     none = F.lit(None).cast("string")
 
     def entry(position, left, right, name, value):
@@ -96,7 +95,7 @@ def design(formula: Formula) -> Column:
         )
 
     entries = [entry(0, none, none, F.lit(INTERCEPT), F.lit(1.0))]
-    for position, effect in enumerate(formula.effects(), start=1):
+    for position, effect in enumerate(effects, start=1):
         first = effect[0]
         if len(effect) == 2:
             second = effect[1]
@@ -106,7 +105,11 @@ def design(formula: Formula) -> Column:
             entries.append(entry(position, none, none, F.lit(first), F.col(first)))
         else:
             entries.append(entry(position, _level(first), none, _label(first), F.lit(1.0)))
-    return F.filter(F.array(*entries), lambda e: e["value"] != 0)
+    return F.filter(F.array(*entries), lambda e: (e["value"] != 0) & e["term"].isNotNull())
+
+
+def design(formula: Formula) -> Column:
+    return _entries(formula.effects(), formula.numeric())
 
 
 def complete_rows(df: DataFrame, formula: Formula) -> DataFrame:
@@ -137,22 +140,38 @@ _ENTRY = T.StructType(
 _DESIGN = T.ArrayType(_ENTRY)
 
 
-def gram_sums(df: DataFrame, formula: Formula, by: Sequence[str], name: str = "model") -> DataFrame:
+def gram_sums(
+    df: DataFrame,
+    response: str,
+    effects: Sequence[tuple[str, ...]],
+    numeric: Iterable[str],
+    by: Sequence[str],
+) -> DataFrame:
     """Sums of products of every pair of terms, and of each term with the response.
 
     Rows in long form: one per group and pair (``j_term`` NULL for products with
-    the response, both NULL for its square).
+    the response, both NULL for its square). ``missing`` is a bit mask of the
+    effects a row has no value for, so that each model can leave those rows out.
     """
-    y = F.col(formula.response).cast("double")
+    y = F.col(response).cast("double")
+    columns = list(dict.fromkeys(name for effect in effects for name in effect))
+    missing = F.lit(0)
+    for position, effect in enumerate(effects, start=1):
+        absent = F.lit(False)
+        for name in effect:
+            absent = absent | F.col(name).isNull()
+        missing = missing + F.when(absent, 1 << position).otherwise(0)
     points = (
-        complete_rows(df, formula)
-        .groupBy(*by, *formula.columns())
+        df.filter(F.col(response).isNotNull())
+        .groupBy(*by, *columns)
         .agg(
             F.count(F.lit(1)).cast("double").alias("_n"),
             F.sum(y).alias("_y"),
             F.sum(y * y).alias("_yy"),
         )
-        .select(*by, "_n", "_y", "_yy", design(formula).alias("_x"))
+        .select(
+            *by, missing.alias("missing"), "_n", "_y", "_yy", _entries(effects, numeric).alias("_x")
+        )
     )
     nobody = F.lit(None).cast(_ENTRY)
 
@@ -170,16 +189,17 @@ def gram_sums(df: DataFrame, formula: Formula, by: Sequence[str], name: str = "m
         F.flatten(F.transform("_x", products)), F.array(pair(nobody, nobody, F.col("_yy")))
     )
     parts = [f"{side}.{field}" for side in "ij" for field in ("pos", "left", "right", "term")]
+    names = [part.replace(".", "_") for part in parts]
     return (
-        points.select(*by, F.explode(pairs).alias("_p"))
+        points.select(*by, "missing", F.explode(pairs).alias("_p"))
         .select(
             *by,
-            *[F.col(f"_p.{part}").alias(part.replace(".", "_")) for part in parts],
+            "missing",
+            *[F.col(f"_p.{part}").alias(name) for part, name in zip(parts, names, strict=True)],
             F.col("_p.product").alias("product"),
         )
-        .groupBy(*by, *[part.replace(".", "_") for part in parts])
+        .groupBy(*by, "missing", *names)
         .agg(F.sum("product").alias("product"))
-        .withColumn(MODEL, F.lit(name))
     )
 
 
@@ -209,125 +229,34 @@ _FIT_FIELDS = [
 ]
 
 
-def _sort_key(level: str | None):
-    if level is None:
-        return (0, 0.0, "")
-    try:
-        return (1, float(level), "")
-    except ValueError:
-        return (2, 0.0, level)
-
-
-def _clean(value: float) -> float | None:
-    return None if value is None or not np.isfinite(value) else float(value)
-
-
-def _reported_terms(found: pd.DataFrame, formula: Formula) -> list[str]:
-    """Terms with a coefficient, in formula order, reference levels left out."""
-    effects = formula.effects()
-    numeric = set(formula.numeric())
-    levels: dict[str, list[str]] = {}
-    for position, effect in enumerate(effects, start=1):
-        if len(effect) == 1 and effect[0] not in numeric:
-            seen = found.loc[found["i_pos"] == position, "i_left"]
-            levels[effect[0]] = sorted(seen, key=_sort_key)
-    terms = [INTERCEPT]
-    for effect in effects:
-        if len(effect) == 2:
-            left, right = effect
-            terms += [
-                f"{left}[{a}]:{right}[{b}]" for b in levels[right][1:] for a in levels[left][1:]
-            ]
-        elif effect[0] in numeric:
-            terms.append(effect[0])
-        else:
-            terms += [f"{effect[0]}[{level}]" for level in levels[effect[0]][1:]]
-    return terms
-
-
-def _fit_group(sums: pd.DataFrame, formula: Formula, levels: Sequence[float]) -> dict:
-    """One model row from the sums of one group."""
-    diagonal = sums[sums["i_term"].notna() & (sums["i_term"] == sums["j_term"])]
-    terms = _reported_terms(diagonal, formula)
-    place = {term: k for k, term in enumerate(terms)}
-    size = len(terms)
-    gram, moment = np.zeros((size, size)), np.zeros(size)
-    square = 0.0
-    for i, j, value in zip(sums["i_term"], sums["j_term"], sums["product"], strict=True):
-        if not isinstance(i, str):
-            square = value
-        elif i in place and not isinstance(j, str):
-            moment[place[i]] = value
-        elif i in place and j in place:
-            gram[place[i], place[j]] = gram[place[j], place[i]] = value
-
-    fit = least_squares.solve(gram, moment, square)
-    n = int(round(gram[0, 0]))
-    free = n - fit.rank
-    total = max(square - moment[0] ** 2 / n, 0.0)
-    model_df = fit.rank - 1
-    sigma2 = fit.rss / free if free > 0 else np.nan
-    with np.errstate(divide="ignore", invalid="ignore"):
-        error = np.sqrt(sigma2 * np.diag(fit.inverse))
-        error[np.isnan(fit.coef)] = np.nan
-        t_value = fit.coef / error
-        r_squared = 1 - fit.rss / total if total > 0 else np.nan
-        explained = (total - fit.rss) / model_df / sigma2 if model_df and free > 0 else np.nan
-    log_lik = least_squares.log_likelihood(fit.rss, n)
-    return {
-        "terms": terms,
-        "known_terms": sorted(diagonal["i_term"]),
-        "coef": [_clean(v) for v in fit.coef],
-        "std_error": [_clean(v) for v in error],
-        "t_value": [_clean(v) for v in t_value],
-        "p_value": [
-            distributions.t_two_sided(v, free) if np.isfinite(v) and free > 0 else None
-            for v in t_value
-        ],
-        "cov_unscaled": fit.inverse.tolist(),
-        "r_squared": _clean(r_squared),
-        "adj_r_squared": _clean(1 - (1 - r_squared) * (n - 1) / free) if free > 0 else None,
-        "sigma": _clean(np.sqrt(sigma2)),
-        "sigma2": _clean(sigma2),
-        "statistic": _clean(explained),
-        "statistic_p": distributions.f_upper(explained, model_df, free)
-        if np.isfinite(explained)
-        else None,
-        "df": model_df,
-        "rank": fit.rank,
-        "log_lik": _clean(log_lik),
-        "aic": _clean(-2 * log_lik + 2 * (fit.rank + 1)),
-        "bic": _clean(-2 * log_lik + np.log(n) * (fit.rank + 1)),
-        "deviance": fit.rss,
-        "df_resid": free,
-        "nobs": n,
-        "t_quantiles": [distributions.t_quantile(level, free) if free > 0 else None for level in levels],
-    }
-
-
 def fit_many(
-    candidates: Mapping[str, tuple[DataFrame, Formula]],
+    df: DataFrame,
+    candidates: Mapping[str, Formula],
     by: Sequence[str],
     levels: Sequence[float] = (0.95, 0.99),
 ) -> DataFrame:
     """Fit every candidate in every group; one row per candidate and group.
 
-    Each group handed to Python is a p-by-p matrix in long form, whatever the
-    number of data rows behind it.
+    The sums are taken once for all candidates together: the matrix of each one
+    is a block of the whole. Each group handed to Python is such a matrix in long
+    form, whatever the number of data rows behind it.
     """
-    sums = None
-    for name, (df, formula) in candidates.items():
-        part = gram_sums(df, formula, by, name)
-        sums = part if sums is None else sums.unionByName(part)
-    keys = [MODEL, *by]
-    formulas = {name: formula for name, (_, formula) in candidates.items()}
+    responses = {formula.response for formula in candidates.values()}
+    if len(responses) != 1:
+        raise ValueError("candidates must share one response")
+    effects = list(dict.fromkeys(e for formula in candidates.values() for e in formula.effects()))
+    numeric = sorted({name for formula in candidates.values() for name in formula.numeric()})
+    sums = gram_sums(df, responses.pop(), effects, numeric, by)
+    wanted = {name: formula.effects() for name, formula in candidates.items()}
     levels = tuple(levels)
+    keys = list(by)
 
-    def solve_group(key, group: pd.DataFrame) -> pd.DataFrame:
-        row = _fit_group(group, formulas[key[0]], levels)
-        return pd.DataFrame([{**dict(zip(keys, key, strict=True)), **row}])
+    def solve_group(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        rows = fit_candidates(group, effects, wanted, numeric, levels)
+        return pd.DataFrame([{**dict(zip(keys, key, strict=True)), **row} for row in rows])
 
-    schema = T.StructType([sums.schema[name] for name in keys] + _FIT_FIELDS)
+    model = T.StructField(MODEL, T.StringType())
+    schema = T.StructType([*[sums.schema[name] for name in keys], model, *_FIT_FIELDS])
     return sums.groupBy(*keys).applyInPandas(solve_group, schema)
 
 
@@ -335,7 +264,7 @@ def fit(
     df: DataFrame, formula: Formula, by: Sequence[str], levels: Sequence[float] = (0.95, 0.99)
 ) -> DataFrame:
     """One model row per group."""
-    return fit_many({"model": (df, formula)}, by, levels)
+    return fit_many(df, {"model": formula}, by, levels)
 
 
 GLANCE = [
@@ -362,8 +291,6 @@ def coefficient_table(models: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def rank_by_aic(models: DataFrame, by: Sequence[str]) -> DataFrame:
     """Candidates per group from lowest to highest AIC."""
-    from pyspark.sql import Window as W
-
     order = W.partitionBy(*by).orderBy("aic", MODEL)
     return fit_statistics(models, by).withColumn("aic_rank", F.row_number().over(order))
 
@@ -395,44 +322,75 @@ def _aligned(values: Column, terms: Column) -> Column:
     return F.transform(terms, lambda term: F.coalesce(values[term], F.lit(0.0)))
 
 
-def _with_vector(df: DataFrame, models: DataFrame, formula: Formula, by: Sequence[str]) -> DataFrame:
-    """Data rows beside their model, with the regressors as a dense vector ``_v``."""
+def _with_places(df: DataFrame, models: DataFrame, formula: Formula, by: Sequence[str]) -> DataFrame:
+    """Data rows beside their model; ``_v`` lists place and value of each non-zero regressor.
+
+    Known terms are stored with the reported ones first, so a place beyond those
+    is a reference level and counts as zero.
+    """
     joined = df.withColumn("_x", _require_regressors(formula)).join(
         _one_per_group(
             models, by, ["terms", "known_terms", "coef", "cov_unscaled", "sigma2", "rank"]
         ),
         list(by),
     )
-    names = F.transform("_x", lambda e: e["term"])
-    values = F.map_from_arrays(names, F.transform("_x", lambda e: e["value"]))
-    return joined.filter(_check_terms(names, F.col("known_terms"))).withColumn(
-        "_v", _aligned(values, F.col("terms"))
+    places = F.transform(
+        "_x",
+        lambda e: F.struct(
+            F.array_position(F.col("known_terms"), e["term"]).cast("int").alias("k"),
+            e["value"].alias("v"),
+        ),
+    )
+    return joined.withColumn("_places", places).withColumn(
+        "_v",
+        F.when(
+            F.exists("_places", lambda p: p["k"] == 0),
+            F.raise_error(F.lit("level not seen in training")).cast(_PLACES),
+        ).otherwise(F.filter("_places", lambda p: p["k"] <= F.size("terms"))),
     )
 
 
-_MODEL_COLUMNS = ["_x", "_v", "terms", "known_terms", "coef", "cov_unscaled", "sigma2", "rank"]
+_PLACES = "array<struct<k:int,v:double>>"
+_MODEL_COLUMNS = [
+    "_x", "_places", "_v", "terms", "known_terms", "coef", "cov_unscaled", "sigma2", "rank",
+]
+
+
+def _sum_places(value) -> Column:
+    return F.aggregate("_v", F.lit(0.0), lambda total, p: total + p["v"] * value(p["k"] - 1))
+
+
+def _fitted() -> Column:
+    return _sum_places(lambda k: F.coalesce(F.col("coef")[k], F.lit(0.0)))
+
+
+def _leverage() -> Column:
+    """x' (X'X)^-1 x over the non-zero regressors only."""
+    def row(k):
+        return F.aggregate(
+            "_v",
+            F.lit(0.0),
+            lambda total, q: total + q["v"] * F.col("cov_unscaled")[k][q["k"] - 1],
+        )
+
+    return _sum_places(row)
 
 
 def predict(df: DataFrame, models: DataFrame, formula: Formula, by: Sequence[str]) -> DataFrame:
     """Point prediction of every row as ``fitted``; aliased terms count as zero."""
-    rows = _with_vector(df, models, formula, by)
-    return rows.withColumn("fitted", _dot(F.col("_v"), F.col("coef"))).drop(*_MODEL_COLUMNS)
+    rows = _with_places(df, models, formula, by)
+    return rows.withColumn("fitted", _fitted()).drop(*_MODEL_COLUMNS)
 
 
 def residual_diagnostics(
     df: DataFrame, models: DataFrame, formula: Formula, by: Sequence[str]
 ) -> DataFrame:
     """Fitted value, residual, leverage, standardised residual and Cook's distance per row."""
-    rows = _with_vector(complete_rows(df, formula), models, formula, by)
+    rows = _with_places(complete_rows(df, formula), models, formula, by)
     room = 1 - F.col("leverage")
     return (
-        rows.withColumn("fitted", _dot(F.col("_v"), F.col("coef")))
-        .withColumns(
-            {
-                "residual": F.col(formula.response) - F.col("fitted"),
-                "leverage": _quadratic(F.col("_v"), F.col("cov_unscaled")),
-            }
-        )
+        rows.withColumns({"fitted": _fitted(), "leverage": _leverage()})
+        .withColumn("residual", F.col(formula.response) - F.col("fitted"))
         .withColumns(
             {
                 "std_residual": F.try_divide(

@@ -105,14 +105,14 @@ def fit_release(model_input: DataFrame, config: ReleaseConfig) -> DataFrame:
 
 def compare_bands(both: DataFrame, config: ReleaseConfig) -> DataFrame:
     training = predicates.training_rows(both, config.train_end)
-    candidates = {name: (training, formula) for name, formula in BAND_CANDIDATES.items()}
-    return regression.rank_by_aic(regression.fit_many(candidates, BY, config.levels), BY)
+    fitted = regression.fit_many(training, BAND_CANDIDATES, BY, config.levels)
+    return regression.rank_by_aic(fitted, BY)
 
 
 def compare_nested(model_input: DataFrame, config: ReleaseConfig) -> DataFrame:
     training = predicates.training_rows(model_input, config.train_end)
-    candidates = {name: (training, formula) for name, formula in NESTED_CANDIDATES.items()}
-    return regression.rank_by_aic(regression.fit_many(candidates, BY, config.levels), BY)
+    fitted = regression.fit_many(training, NESTED_CANDIDATES, BY, config.levels)
+    return regression.rank_by_aic(fitted, BY)
 
 
 def expected(model_input: DataFrame, models: DataFrame, config: ReleaseConfig) -> DataFrame:
