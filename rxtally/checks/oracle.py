@@ -217,6 +217,9 @@ _oracle(
     j3_join_drug_by_month=f"""SELECT f.YEAR_MONTH, BNF_SECTION, SECTION_DESCR, {_TOTALS} FROM rx_fact f
         JOIN rx_drug d ON f.CALC_PREC_DRUG_RECORD_ID = d.RECORD_ID AND f.YEAR_MONTH = d.YEAR_MONTH
         GROUP BY 1, 2, 3""",
+    j3_drug_runs="""SELECT RECORD_ID, BNF_SECTION, SECTION_DESCR, min(YEAR_MONTH) AS VALID_FROM,
+        max(YEAR_MONTH) AS VALID_TO FROM rx_drug GROUP BY 1, 2, 3
+        HAVING count(*) = (SELECT count(*) FROM rx_month)""",
     j4_join_age=f"""SELECT DALL_5YR_BAND, {_TOTALS} FROM rx_fact f JOIN rx_age a
         ON f.CALC_AGE = a.AGE GROUP BY 1""",
     j5_semi_join="""SELECT * FROM quarterly WHERE FINANCIAL_QUARTER IN (SELECT FINANCIAL_QUARTER

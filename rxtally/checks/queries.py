@@ -256,6 +256,13 @@ def j3_join_drug_by_validity(t: Tables) -> DataFrame:
     return _totals(joins.join_drug(t.fact, t.drug), "YEAR_MONTH", "BNF_SECTION", "SECTION_DESCR")
 
 
+@query
+def j3_drug_runs(t: Tables) -> DataFrame:
+    """The record-by-month dimension put together into runs of months."""
+    dim = tables.drug_dim(driver_tables.drug_by_month(t.spark, t.folder), t.config.sections)
+    return joins.drug_runs(dim)
+
+
 @query
 def j4_join_age(t: Tables) -> DataFrame:
     return _totals(joins.join_age(t.fact, t.age), "DALL_5YR_BAND")

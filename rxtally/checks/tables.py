@@ -85,4 +85,4 @@ class Tables:
     @cached_property
     def fitted(self) -> DataFrame:
         """The fitted models: one row per section."""
-        return cut_lineage(model.fit_release(self.banded, self.config))
+        return model.fit_release(self.banded, self.config)

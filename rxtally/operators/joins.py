@@ -8,6 +8,7 @@ splits the partitions of a hot key.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rxtally.sources.calendar import keyed_time_dim
@@ -39,6 +40,25 @@ def join_drug(fact: DataFrame, drug_dim: DataFrame) -> DataFrame:
     return fact.join(drug_dim, record & month).drop(drug_dim["YEAR_MONTH"]).drop("RECORD_ID")
 
 
+def drug_runs(by_month: DataFrame) -> DataFrame:
+    """Drug dimension with one row per record and unbroken run of months in a section.
+
+    A record has at most one row per month, which bounds each window. The result
+    is what :func:`join_drug` takes to join a large fact with: a dimension too
+    large to broadcast by month often fits once its months are put together.
+    """
+    same = ["RECORD_ID", "BNF_SECTION", "SECTION_DESCR"]
+    place = F.floor(F.col("YEAR_MONTH") / 100) * 12 + F.col("YEAR_MONTH") % 100
+    order = W.partitionBy(*same).orderBy("YEAR_MONTH")
+    return (
+        by_month.select(*same, "YEAR_MONTH")
+        .withColumn("_run", place - F.row_number().over(order))
+        .groupBy(*same, "_run")
+        .agg(F.min("YEAR_MONTH").alias("VALID_FROM"), F.max("YEAR_MONTH").alias("VALID_TO"))
+        .drop("_run")
+    )
+
+
 def join_age(fact: DataFrame, age_dim: DataFrame) -> DataFrame:
     """Inner, so an item without an age is left out; an age without a band stays."""
     return fact.join(age_dim, fact["CALC_AGE"] == age_dim["AGE"]).drop("AGE")

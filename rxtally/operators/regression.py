@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rxtally.functions.least_squares import INTERCEPT, fit_candidates
+from rxtally.session import cut_lineage
 
 MODEL = "MODEL"
+MAX_BROADCAST_MODELS = 1_000
 
 
 @dataclass(frozen=True)
@@ -239,7 +241,8 @@ def fit_many(
 
     The sums are taken once for all candidates together: the matrix of each one
     is a block of the whole. Each group handed to Python is such a matrix in long
-    form, whatever the number of data rows behind it.
+    form, whatever the number of data rows behind it. The fit runs at once and its
+    rows are saved, since several steps read them.
     """
     responses = {formula.response for formula in candidates.values()}
     if len(responses) != 1:
@@ -257,7 +260,7 @@ def fit_many(
 
     model = T.StructField(MODEL, T.StringType())
     schema = T.StructType([*[sums.schema[name] for name in keys], model, *_FIT_FIELDS])
-    return sums.groupBy(*keys).applyInPandas(solve_group, schema)
+    return cut_lineage(sums.groupBy(*keys).applyInPandas(solve_group, schema))
 
 
 def fit(
@@ -296,8 +299,12 @@ def rank_by_aic(models: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def _one_per_group(models: DataFrame, by: Sequence[str], columns: Iterable[str]) -> DataFrame:
-    """Model rows to join to data: one per section, so small enough to broadcast."""
-    return F.broadcast(models.select(*by, *columns))
+    """Model rows to join to data; broadcast once counted and found few.
+
+    With more groups than that, the join shuffles on the group like any other.
+    """
+    rows = models.select(*by, *columns)
+    return F.broadcast(rows) if models.count() <= MAX_BROADCAST_MODELS else rows
 
 
 def _dot(left: Column, right: Column) -> Column:
