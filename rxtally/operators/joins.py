@@ -71,10 +71,14 @@ def star_join(
     drug_dim: DataFrame,
     age_dim: DataFrame,
 ) -> DataFrame:
-    """Items with their period, organisation, drug section and age band."""
-    out = join_time(fact, keyed_time_dim(time_dim))
-    out = join_organisation(out, org_dim)
+    """Items with their period, organisation, drug section and age band.
+
+    The two dimensions that drop rows, one country and the listed sections, come
+    first, so the others are looked up for the rows that stay.
+    """
+    out = join_organisation(fact, org_dim)
     out = join_drug(out, drug_dim)
+    out = join_time(out, keyed_time_dim(time_dim))
     return join_age(out, age_dim)
 
 
