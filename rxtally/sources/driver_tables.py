@@ -81,7 +81,7 @@ def organisations(spark: SparkSession, folder: str) -> DataFrame:
     nations = table(spark, folder, "nation").select("n_nationkey", "n_regionkey")
     suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
     return suppliers.join(
-        F.broadcast(nations), suppliers["s_nationkey"] == nations["n_nationkey"]
+        nations, suppliers["s_nationkey"] == nations["n_nationkey"]
     ).select(
         F.lit("S").alias("LVL_5_OUPDT"),
         F.col("s_suppkey").alias("LVL_5_OU"),
