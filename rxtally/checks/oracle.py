@@ -879,3 +879,6 @@ _oracle(
         FROM rx_fact f LEFT JOIN supplier s ON f.PRESC_ID_PRNT = s.s_suppkey
         LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey AND n.n_nationkey % 5 <> 0 GROUP BY 1""",
 )
+ORACLE["k2_s3_snapshot_round_trip"] = ORACLE["a1_quarterly_totals"]
+ORACLE["k6_stored_indicators"] = ORACLE["q9_indicators"]
+ORACLE["k7_stored_refresh"] = ORACLE["a2_monthly_totals"]

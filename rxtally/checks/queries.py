@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rxtally import schemas
 from rxtally.checks.tables import Tables
 from rxtally.config import SECTION_NAMES
 from rxtally.functions import dates, scalars
 from rxtally.operators import aggregates, joins, predicates, regression, reshape, windows
 from rxtally.operators.regression import Categorical, Crossed, Formula, Numeric
 from rxtally.plans import indicators, model, publish
+from rxtally.sinks import tables as sinks
 from rxtally.sources import calendar, driver_tables, snapshots, tables
 from rxtally.streaming import refresh
 
@@ -125,6 +127,34 @@ def s9_dispensing_days(t: Tables) -> DataFrame:
 # --- sinks that are also plans ----------------------------------------------
 
 
+@query
+def k2_s3_snapshot_round_trip(t: Tables) -> DataFrame:
+    """Quarterly totals saved as a delimited snapshot, found again as the newest, read back."""
+    folder = t.new_folder()
+    path = sinks.save_snapshot(t.quarterly, folder, "quarterly", t.config.predict_end)
+    snapshots.newest_snapshot(t.spark, folder, r"quarterly/.*\.csv$")
+    return snapshots.read_delimited(t.spark, path, schemas.QUARTERLY)
+
+
+@query
+def k6_stored_indicators(t: Tables) -> DataFrame:
+    """The indicator table stored in one folder per section and read back."""
+    quarterly, monthly = t.saved("quarterly", "monthly", complete_quarters=True)
+    path = t.new_folder()
+    sinks.save_indicators(indicators.indicator_table(_named(quarterly), _named(monthly)), path)
+    return rounded(sinks.read_indicators(t.spark, path), Value=6)
+
+
+@query
+def k7_stored_refresh(t: Tables) -> DataFrame:
+    """Monthly history stored by month, then extended by the months it lacks."""
+    monthly, path = t.monthly, t.new_folder()
+    refresh.append_months(monthly.filter(F.col("YEAR_MONTH") <= 199912), path)
+    stored = t.spark.read.schema(schemas.MONTHLY).parquet(path)
+    refresh.append_months(refresh.new_months(monthly, stored), path)
+    return t.spark.read.schema(schemas.MONTHLY).parquet(path)
+
+
 @query
 def k7_incremental_refresh(t: Tables) -> DataFrame:
     monthly = t.monthly

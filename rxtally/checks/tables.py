@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import cached_property
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from rxtally.config import DRIVER_RELEASE
 from rxtally.operators import joins
 from rxtally.plans import extract, model
-from rxtally.session import cut_lineage
+from rxtally.session import cut_lineage, ensure_checkpoint_dir
 from rxtally.sources import driver_tables
 
 
@@ -26,6 +27,10 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return driver_tables.table(self.spark, self.folder, name)
 
+    def new_folder(self) -> str:
+        """An unused folder beside the checkpoints, for queries that store and read back."""
+        return f"{ensure_checkpoint_dir(self.spark)}/stored-{uuid4().hex}"
+
     @cached_property
     def fact(self) -> DataFrame:
         return driver_tables.fact(self.spark, self.folder)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rxtally import schemas
+
 
 def stamped(name: str, month: int) -> str:
     return f"{name}_{month}"
@@ -83,6 +85,11 @@ def save_indicators(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").partitionBy("SECTION_CODE").parquet(path)
 
 
+def read_indicators(spark: SparkSession, path: str) -> DataFrame:
+    """Stored indicators; the declared schema keeps the leading zero of the section folders."""
+    return spark.read.schema(schemas.INDICATORS).parquet(path)
+
+
 def register_indicators(df: DataFrame, sections: list[str]) -> list[str]:
     """A temporary view ``table_<code>`` per section for later queries."""
     names = []
