@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxtally.llm import mixing, quality_rules
+from rxtally.llm import mixing, quality_rules, simhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def good_ids(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "labels").filter("quality = 1 and toxic = 0").select("doc_id")
 
 
+def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.classes(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mix = mixing.mixed(table(spark, folder, "documents"), "doc_id")
     return mix.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("reps")).alias("taken"))
@@ -29,6 +34,7 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash": op2_simhash,
     "op3_mixing": op3_mixing,
     "op9_quality_rules": op9_quality_rules,
 }
