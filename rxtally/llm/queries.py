@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxtally.llm import mixing, quality_rules, simhash
+from rxtally.llm import mixing, quality_rules, simhash, token_counts
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer(name: str = "piece_bpe_32k.model") -> str:
+    """The path of a public tokenizer's file, which every machine has with its package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def good_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of documents labelled good and not toxic: the trusted target of the quality rules."""
     return table(spark, folder, "labels").filter("quality = 1 and toxic = 0").select("doc_id")
@@ -33,10 +40,15 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judged(table(spark, folder, "documents"), good_ids(spark, folder), "doc_id")
 
 
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.counted(table(spark, folder, "documents"), tokenizer())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_mixing": op3_mixing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLE: dict[str, str] = {}
