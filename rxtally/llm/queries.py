@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxtally.llm import mixing, quality_rules, simhash, token_counts
+from rxtally.llm import html_text, mixing, quality_classifier, quality_rules, simhash, token_counts
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -36,6 +36,14 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("reps")).alias("taken"))
 
 
+def op6_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extracted(table(spark, folder, "pages"), "page_id", "url")
+
+
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_classifier.held_out_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judged(table(spark, folder, "documents"), good_ids(spark, folder), "doc_id")
 
@@ -47,6 +55,8 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_mixing": op3_mixing,
+    "op6_html_text": op6_html_text,
+    "op7_quality_classifier": op7_quality_classifier,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_counts": op10_token_counts,
 }
