@@ -135,7 +135,8 @@ def judged(
     ``trusted`` has one column, doc_id: the documents of the target. Null ids are never in it.
     """
     marks = trusted.select(F.col("doc_id").alias("trusted_id")).filter("trusted_id is not null").distinct()
-    marked = documents.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("trusted_id"), "left")
+    # Texts always move to the ids: how many ids there are is not bounded, so they are never broadcast.
+    marked = documents.select("doc_id", "text").join(marks.hint("merge"), F.col("doc_id") == F.col("trusted_id"), "left")
     corpus = hashed(marked, "trusted_id").select(
         bucket_ids(F.col("hashes_"), buckets).alias("ids"), F.col("trusted_id").isNotNull().alias("trusted")
     )
