@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxtally.llm import html_text, mixing, quality_classifier, quality_rules, simhash, token_counts
+from rxtally.llm import html_text, mixing, nearest, quality_classifier, quality_rules, simhash, token_counts
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("reps")).alias("taken"))
 
 
+def op5_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.nearest(table(spark, folder, "embeddings"))
+
+
 def op6_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extracted(table(spark, folder, "pages"), "page_id", "url")
 
@@ -55,6 +59,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_mixing": op3_mixing,
+    "op5_nearest": op5_nearest,
     "op6_html_text": op6_html_text,
     "op7_quality_classifier": op7_quality_classifier,
     "op9_quality_rules": op9_quality_rules,
