@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxtally.llm import html_text, mixing, nearest, quality_classifier, quality_rules, simhash, token_counts
+from rxtally.llm import html_text, mixing, nearest, quality_classifier, quality_rules, simhash, suffix_dedup, token_counts
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -48,6 +48,11 @@ def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.held_out_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup.deduplicated(table(spark, folder, "documents"), "doc_id")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judged(table(spark, folder, "documents"), good_ids(spark, folder), "doc_id")
 
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_nearest": op5_nearest,
     "op6_html_text": op6_html_text,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_counts": op10_token_counts,
 }
