@@ -34,7 +34,6 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rxtally.llm.arrays import mapped, pack, save, unpack
 from rxtally.llm.collection_bwt import window_classes
 from rxtally.llm.storage import mounted_path, shared_folder
 
@@ -143,35 +143,10 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8), offsets
 
 
-def pack(numbers: np.ndarray) -> bytes:
-    """Numbers as planes of their bytes, compressed: leading bytes that are alike take no room."""
-    planes = np.ascontiguousarray(numbers.astype(np.int64).view(np.uint8).reshape(-1, 8).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def unpack(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).view(np.int64).ravel()
-
-
 def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return (keys * np.uint64(parts)) >> np.uint64(KEY_BITS)
 
 
-def save(path: str, array: np.ndarray) -> None:
-    """The whole file or none: tasks may be run twice at the same time."""
-    own = f"{path}.{os.getpid()}.{np.random.default_rng().integers(1 << 62)}"
-    with open(own, "wb") as out:
-        np.save(out, array)
-    os.replace(own, path)
-
-
-@lru_cache(maxsize=4096)
-def mapped(path: str) -> np.ndarray:
-    """A file's array, mapped; no rows if no task had any."""
-    return np.load(path, mmap_mode="r") if os.path.exists(path) else np.zeros(0, np.int64)
-
-
 def anchors(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
     """part, keys: sorted hashes of anchors, with a last bit for those that are in several documents of this task."""
     keys, docs, held = [], [], 0
