@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxtally.llm import html_text, mixing, nearest, quality_classifier, quality_rules, simhash, suffix_dedup, token_counts
+from rxtally.llm import (
+    html_text,
+    language_model,
+    mixing,
+    nearest,
+    quality_classifier,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+    token_counts,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +36,10 @@ def good_ids(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "labels").filter("quality = 1 and toxic = 0").select("doc_id")
 
 
+def op1_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.held_out_scores(table(spark, folder, "documents"))
+
+
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.classes(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -62,6 +76,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_model": op1_language_model,
     "op2_simhash": op2_simhash,
     "op3_mixing": op3_mixing,
     "op5_nearest": op5_nearest,
