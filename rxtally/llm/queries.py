@@ -14,6 +14,7 @@ from rxtally.llm import (
     nearest,
     quality_classifier,
     quality_rules,
+    segmentation,
     simhash,
     suffix_dedup,
     token_counts,
@@ -50,6 +51,14 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("reps")).alias("taken"))
 
 
+def op4_segmentation(spark: SparkSession, folder: str) -> DataFrame:
+    """Two sampled segmentations of every document; ``round_trip``: its pieces decode to the text."""
+    found = segmentation.sampled(table(spark, folder, "documents"), tokenizer(), "doc_id", k=2)
+    pieces = F.size("ids").cast("long").alias("n_pieces")
+    marks = F.xxhash64("ids").alias("ids_hash")
+    return found.select("doc_id", "rank", pieces, marks, "log_prob", "log_inclusion", "round_trip")
+
+
 def op5_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return nearest.nearest(table(spark, folder, "embeddings"))
 
@@ -79,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_model": op1_language_model,
     "op2_simhash": op2_simhash,
     "op3_mixing": op3_mixing,
+    "op4_segmentation": op4_segmentation,
     "op5_nearest": op5_nearest,
     "op6_html_text": op6_html_text,
     "op7_quality_classifier": op7_quality_classifier,
