@@ -51,7 +51,7 @@ WIDTH = 50
 GRAM = 24
 SPAN = WIDTH - GRAM + 1  # places of an anchor in a window
 KEY_BITS = 40
-CHUNK = 1 << 20  # bytes looked at together
+CHUNK = 1 << 16  # bytes looked at together: the arrays stay in a core's cache
 HELD = 1 << 21  # anchors or fragments gathered before they are sent
 STRINGS = 4096
 NO_DOC = np.iinfo(np.int64).max
@@ -118,7 +118,16 @@ def chunk_runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
     tail = valid.copy()
     tail[:-1] &= ~valid[1:] | (least[1:] != least[:-1])
     start = np.flatnonzero(head)
-    return start, np.flatnonzero(tail) - start + 1, least[start] >> np.uint64(24)
+    return start, np.flatnonzero(tail) - start + 1, spread_out(least[start] >> np.uint64(24))
+
+
+def spread_out(keys: np.ndarray) -> np.ndarray:
+    """A one-to-one mix of the hashes: as the least of their windows they are all small, and parts are ranges."""
+    mask, half = np.uint64((1 << KEY_BITS) - 1), np.uint64(KEY_BITS // 2)
+    for _ in range(2):
+        keys = keys * ODD & mask
+        keys = keys ^ (keys >> half)
+    return keys
 
 
 def runs_of(buffer: np.ndarray, offsets: np.ndarray) -> Iterator[Runs]:
