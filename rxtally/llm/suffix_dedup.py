@@ -9,8 +9,10 @@ the collection is cut first, by content, into parts that share no string of ``WI
     ``2 * WIDTH - GRAM`` bytes. A first pass gathers the hashes of anchors, sorted and packed to about three bytes each,
     and keeps those that come from more than one document.
 2.  A second pass sends the distinct fragments at these anchors, each with the least doc_id it has in a task, to the
-    part of their anchor. A part builds the transform and common prefixes of its fragments, one symbol of each a round
-    (``collection_bwt``), in sets of about ``STRINGS``. Neighbours with a common prefix of ``WIDTH`` or more are the
+    part of their anchor. The different fragments of an anchor are a collection: a part builds the transform and common
+    prefixes of its collections, one symbol of each string a round (``collection_bwt``), in sets of about ``STRINGS``
+    strings. (If all documents have the same fragment at an anchor, its collection is one string and there is nothing
+    to sort.) Neighbours with a common prefix of ``WIDTH`` or more are the
     same window; the least doc_id of each such run goes into sorted arrays, a fragment's hash with its windows.
 3.  A third pass maps these arrays, looks up each document's fragments, and marks the bytes of windows whose least
     doc_id is smaller than its own.
@@ -289,8 +291,19 @@ def least_documents(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray
         own = order[a:b]
         mine = [texts[i] for i in own]
         lengths = np.fromiter(map(len, mine), np.int64, len(mine))
-        text, starts = np.frombuffer(b"".join(mine), np.uint8), np.cumsum(lengths) - lengths
-        string, offset, least = window_classes(text, starts, lengths, WIDTH, facts[own, 1])
+        # The fragments of one anchor are a collection. One of a single string is sorted as it is: all its windows
+        # have the string's own least doc_id. The others are built together.
+        lone = np.r_[True, key[a + 1 : b] != key[a : b - 1]] & np.r_[key[a + 1 : b] != key[a : b - 1], True]
+        several, single = np.flatnonzero(~lone), np.flatnonzero(lone)
+        n = lengths[single] - WIDTH + 1
+        string, least = np.repeat(single, n), np.repeat(facts[own, 1][single], n)
+        offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        if len(several):
+            text = np.frombuffer(b"".join(mine[i] for i in several.tolist()), np.uint8)
+            starts = np.cumsum(lengths[several]) - lengths[several]
+            classes = window_classes(text, starts, lengths[several], WIDTH, facts[own, 1][several])
+            string = np.concatenate([string, several[classes[0]]])
+            offset, least = np.concatenate([offset, classes[1]]), np.concatenate([least, classes[2]])
         by_place = np.lexsort((offset, string))
         string, offset, least = string[by_place], offset[by_place], least[by_place]
         # Only windows with a smaller document than some holder of the fragment take bytes from one.
