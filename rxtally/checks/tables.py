@@ -53,7 +53,8 @@ class Tables:
 
     @cached_property
     def age(self) -> DataFrame:
-        return driver_tables.age_dim(self.spark, self.folder)
+        """Saved, as dimensions are: Spark then plans with its hundred rows, not with the orders they come from."""
+        return cut_lineage(driver_tables.age_dim(self.spark, self.folder))
 
     @cached_property
     def items(self) -> DataFrame:
@@ -70,6 +71,10 @@ class Tables:
         found = extract.saved_grains(items, self.time, names)
         return [found[name] for name in names]
 
+    def single_use(self, name: str) -> DataFrame:
+        """A saved aggregate by name for a query that reads it once: not saved, so that filters reach the scans."""
+        return extract.BUILDERS[name](self.items, self.time).select(*extract.GRAINS[name].fieldNames())
+
     @cached_property
     def quarterly(self) -> DataFrame:
         return self.saved("quarterly")[0]

@@ -20,7 +20,7 @@ from rxtally.functions.distributions import f_upper, t_quantile, t_two_sided
 cloudpickle.register_pickle_by_value(sys.modules["rxtally.functions"])
 
 INTERCEPT = "(Intercept)"
-ALIAS_TOLERANCE = 1e-11
+ALIAS_TOLERANCE = 1e-13  # of a column's squared length, once earlier columns are taken out of it
 
 # Column names of each effect: one for a main effect, two for an interaction.
 Effects = Sequence[tuple[str, ...]]
@@ -122,23 +122,38 @@ def fit_candidates(
     rows = []
     for name, wanted in candidates.items():
         places = {0, *(position[effect] for effect in wanted)}
-        mask = sum(1 << place for place in places if place)
         own = sums[
-            ((sums["missing"] & mask) == 0)
+            sums["missing"].map(places.isdisjoint).astype(bool)
             & (sums["i_pos"].isna() | sums["i_pos"].isin(places))
             & (sums["j_pos"].isna() | sums["j_pos"].isin(places))
         ]
         pairs = ["i_pos", "i_left", "i_right", "i_term", "j_pos", "j_term"]
         own = own.groupby(pairs, dropna=False, as_index=False)["product"].sum()
         own["i_effect"] = own["i_pos"].map(lambda p: effects[int(p) - 1] if p and p > 0 else None)
-        rows.append({"MODEL": name, **fit_group(own, wanted, numeric, levels)})
+        centres = {name: float(sums[f"_c{i}"].iloc[0]) for i, name in enumerate(numeric)}
+        rows.append({"MODEL": name, **fit_group(own, wanted, centres, levels, float(sums["_cy"].iloc[0]))})
     return rows
 
 
+def uncentred(fit: Solution, terms: list[str], centres: dict[str, float], response: float) -> Solution:
+    """The solution for the columns as they are: only the intercept and its covariances change."""
+    back = np.eye(len(terms))
+    for place, term in enumerate(terms):
+        if term in centres:
+            back[0, place] = -centres[term]
+    coef = back @ np.nan_to_num(fit.coef)
+    coef[0] += response
+    coef[np.isnan(fit.coef)] = np.nan
+    return Solution(coef, back @ fit.inverse @ back.T, fit.rank, fit.rss)
+
+
 def fit_group(
-    sums: pd.DataFrame, effects: Effects, numeric: Sequence[str], levels: Sequence[float]
+    sums: pd.DataFrame, effects: Effects, numeric: dict[str, float], levels: Sequence[float], response: float = 0.0
 ) -> dict:
-    """One model row from the sums of one model, which come in long form."""
+    """One model row from the sums of one model, which come in long form.
+
+    ``numeric`` and ``response`` give what was taken off the numeric columns and the response before summing.
+    """
     diagonal = sums[sums["i_term"].notna() & (sums["i_term"] == sums["j_term"])]
     terms = _reported_terms(diagonal, effects, numeric)
     place = {term: k for k, term in enumerate(terms)}
@@ -155,6 +170,7 @@ def fit_group(
 
     fit = solve(gram, moment, square)
     n = int(round(gram[0, 0]))
+    fit = uncentred(fit, terms, numeric, response)
     free = n - fit.rank
     total = max(square - moment[0] ** 2 / n, 0.0)
     model_df = fit.rank - 1

@@ -101,17 +101,20 @@ def three_figures(value: Column) -> Column:
 
 def display_text(value: Column, percentage: bool = False) -> Column:
     """Three significant figures with thousands separators, and ``%`` if asked for."""
-    shown = three_figures(value)
-    size = F.abs(shown)
-    text = (
-        F.when(size == 0, F.lit("0"))
-        .when(size >= 100, F.format_number(shown, 0))
-        .when(size >= 10, F.format_number(shown, 1))
-        .when(size >= 1, F.format_number(shown, 2))
-        .when(size >= 0.1, F.format_number(shown, 3))
-        .when(size >= 0.01, F.format_number(shown, 4))
-        .otherwise(F.format_number(shown, 6))
-    )
+    def text_of(shown: Column) -> Column:
+        size = F.abs(shown)
+        # Below one, as many decimals as it takes to reach the third figure.
+        decimals = 2 - F.floor(F.log10(size)).cast("int")
+        return (
+            F.when(size == 0, F.lit("0"))
+            .when(size >= 100, F.format_number(shown, 0))
+            .when(size >= 10, F.format_number(shown, 1))
+            .when(size >= 1, F.format_number(shown, 2))
+            .otherwise(F.call_function("format_number", shown, decimals))
+        )
+
+    # A one-element array, so that the rounding is worked out once and not once for each branch.
+    text = F.get(F.transform(F.array(three_figures(value)), text_of), F.lit(0))
     return F.concat(text, F.lit("%")) if percentage else text
 
 

@@ -3,15 +3,17 @@
 A row's regressors are kept sparse, as an array of named terms: a categorical
 column adds one entry, a crossing adds one more, zeros are left out. The sums
 behind a fit are then a group-by over pairs of entries, with no list of levels
-on the driver and no wide rows. Rows that share all regressors are added up
-before pairs are formed, so their number is bounded by the calendar and the
-label combinations, not by the data.
+on the driver and no wide rows. Rows that share all categories are added up
+before pairs are formed, with the sums of products of the numeric columns, so
+their number is bounded by the label combinations, not by the data.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -23,7 +25,6 @@ from rxtally.functions.least_squares import INTERCEPT, fit_candidates
 from rxtally.session import cut_lineage
 
 MODEL = "MODEL"
-MAX_BROADCAST_MODELS = 1_000
 
 
 @dataclass(frozen=True)
@@ -82,8 +83,10 @@ def _label(column: str) -> Column:
     return F.concat(F.lit(f"{column}["), _level(column), F.lit("]"))
 
 
-def _entries(effects: Sequence[tuple[str, ...]], numeric: Iterable[str]) -> Column:
-    """Non-zero regressors of a row: position of the effect, levels, name, value."""
+def _entries(
+    effects: Sequence[tuple[str, ...]], numeric: Iterable[str], one: Column, numeric_value: Callable[[str], Column]
+) -> Column:
+    """A row's regressors: position of the effect, levels, name, value; a missing one has no name or no value."""
     numeric = set(numeric)
     none = F.lit(None).cast("string")
 
@@ -96,22 +99,24 @@ def _entries(effects: Sequence[tuple[str, ...]], numeric: Iterable[str]) -> Colu
             value.cast("double").alias("value"),
         )
 
-    entries = [entry(0, none, none, F.lit(INTERCEPT), F.lit(1.0))]
+    entries = [entry(0, none, none, F.lit(INTERCEPT), one)]
     for position, effect in enumerate(effects, start=1):
         first = effect[0]
         if len(effect) == 2:
             second = effect[1]
             name = F.concat(_label(first), F.lit(":"), _label(second))
-            entries.append(entry(position, _level(first), _level(second), name, F.lit(1.0)))
+            entries.append(entry(position, _level(first), _level(second), name, one))
         elif first in numeric:
-            entries.append(entry(position, none, none, F.lit(first), F.col(first)))
+            entries.append(entry(position, none, none, F.lit(first), numeric_value(first)))
         else:
-            entries.append(entry(position, _level(first), none, _label(first), F.lit(1.0)))
-    return F.filter(F.array(*entries), lambda e: (e["value"] != 0) & e["term"].isNotNull())
+            entries.append(entry(position, _level(first), none, _label(first), one))
+    return F.filter(F.array(*entries), lambda e: e["value"].isNotNull() & e["term"].isNotNull())
 
 
 def design(formula: Formula) -> Column:
-    return _entries(formula.effects(), formula.numeric())
+    """Non-zero regressors of a row."""
+    entries = _entries(formula.effects(), formula.numeric(), F.lit(1.0), F.col)
+    return F.filter(entries, lambda e: e["value"] != 0)
 
 
 def complete_rows(df: DataFrame, formula: Formula) -> DataFrame:
@@ -152,28 +157,53 @@ def gram_sums(
     """Sums of products of every pair of terms, and of each term with the response.
 
     Rows in long form: one per group and pair (``j_term`` NULL for products with
-    the response, both NULL for its square). ``missing`` is a bit mask of the
-    effects a row has no value for, so that each model can leave those rows out.
+    the response, both NULL for its square). ``missing`` lists the effects a row
+    has no value for, so that each model can leave those rows out. Response and
+    numeric columns are taken from their means in the group, which come along as
+    ``_cy`` and ``_c0``, ``_c1``, ...: sums of large numbers lose the digits that
+    a fit depends on.
     """
-    y = F.col(response).cast("double")
+    numeric = list(numeric)
     columns = list(dict.fromkeys(name for effect in effects for name in effect))
-    missing = F.lit(0)
-    for position, effect in enumerate(effects, start=1):
-        absent = F.lit(False)
-        for name in effect:
-            absent = absent | F.col(name).isNull()
-        missing = missing + F.when(absent, 1 << position).otherwise(0)
+    groups = [name for name in columns if name not in numeric]
+    filled = df.filter(F.col(response).isNotNull())
+    # Any number near the mean will do as a centre: it only keeps the sums small.
+    centres = filled.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)]).agg(
+        F.avg(F.col(response).cast("double")).alias("_cy"),
+        *[F.coalesce(F.avg(F.col(x).cast("double")), F.lit(0.0)).alias(f"_c{i}") for i, x in enumerate(numeric)],
+    )
+    same = F.lit(True)
+    for i, k in enumerate(by):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    y = F.col(response).cast("double") - F.col("_cy")
+    xs = [F.lit(1.0), *[F.col(x).cast("double") - F.col(f"_c{i}") for i, x in enumerate(numeric)]]
+    centre = ["_cy", *[f"_c{i}" for i in range(len(numeric))]]
+    missing = F.array(
+        *[F.when(reduce(or_, [F.col(name).isNull() for name in effect]), position) for position, effect in enumerate(effects, 1)]
+    )
+    # Rows are added up by their categories; of numeric columns the sums of products are carried along.
+    gaps = [F.col(x).isNull().alias(f"_gap{i}") for i, x in enumerate(numeric)]
+    rows = filled.join(centres, same)
+    known = [F.coalesce(x, F.lit(0.0)) for x in xs]
+    sums = {(i, j): F.sum(a * b) for i, a in enumerate(known) for j, b in enumerate(known) if i <= j}
+    moments = [F.array(*[sums[min(i, j), max(i, j)] for j in range(len(known))]) for i in range(len(known))]
+
+    def place(name: str) -> Column:
+        """Where a numeric column's sums are among the moments; the categories share the first place."""
+        return F.when(~F.col(f"_gap{numeric.index(name)}"), numeric.index(name) + 1)
+
     points = (
-        df.filter(F.col(response).isNotNull())
-        .groupBy(*by, *columns)
+        rows.withColumn("missing", F.array_compact(missing))
+        .groupBy(*by, *groups, *centre, *gaps, "missing")
         .agg(
-            F.count(F.lit(1)).cast("double").alias("_n"),
-            F.sum(y).alias("_y"),
+            F.array(*moments).alias("_m"),
+            F.array(*[F.sum(a * y) for a in known]).alias("_my"),
             F.sum(y * y).alias("_yy"),
         )
         .select(
-            *by, missing.alias("missing"), "_n", "_y", "_yy", _entries(effects, numeric).alias("_x")
-        )
+            *by, *centre, "missing", "_m", "_my", "_yy",
+            _entries(effects, numeric, F.lit(0.0), place).alias("_x"),
+        )
     )
     nobody = F.lit(None).cast(_ENTRY)
 
@@ -182,10 +212,11 @@ def gram_sums(
 
     def products(entry, position):
         following = F.slice(F.col("_x"), position + 1, F.size("_x") - position)
+        own = lambda e: e["value"].cast("int")  # noqa: E731  place of the term's column in the moments
         with_terms = F.transform(
-            following, lambda other: pair(entry, other, entry["value"] * other["value"] * F.col("_n"))
+            following, lambda other: pair(entry, other, F.get(F.get(F.col("_m"), own(entry)), own(other)))
         )
-        return F.concat(with_terms, F.array(pair(entry, nobody, entry["value"] * F.col("_y"))))
+        return F.concat(with_terms, F.array(pair(entry, nobody, F.get(F.col("_my"), own(entry)))))
 
     pairs = F.concat(
         F.flatten(F.transform("_x", products)), F.array(pair(nobody, nobody, F.col("_yy")))
@@ -193,14 +224,15 @@ def gram_sums(
     parts = [f"{side}.{field}" for side in "ij" for field in ("pos", "left", "right", "term")]
     names = [part.replace(".", "_") for part in parts]
     return (
-        points.select(*by, "missing", F.explode(pairs).alias("_p"))
+        points.select(*by, *centre, "missing", F.explode(pairs).alias("_p"))
         .select(
             *by,
+            *centre,
             "missing",
             *[F.col(f"_p.{part}").alias(name) for part, name in zip(parts, names, strict=True)],
             F.col("_p.product").alias("product"),
         )
-        .groupBy(*by, "missing", *names)
+        .groupBy(*by, *centre, "missing", *names)
         .agg(F.sum("product").alias("product"))
     )
 
@@ -298,15 +330,6 @@ def rank_by_aic(models: DataFrame, by: Sequence[str]) -> DataFrame:
     return fit_statistics(models, by).withColumn("aic_rank", F.row_number().over(order))
 
 
-def _one_per_group(models: DataFrame, by: Sequence[str], columns: Iterable[str]) -> DataFrame:
-    """Model rows to join to data; broadcast once counted and found few.
-
-    With more groups than that, the join shuffles on the group like any other.
-    """
-    rows = models.select(*by, *columns)
-    return F.broadcast(rows) if models.count() <= MAX_BROADCAST_MODELS else rows
-
-
 def _dot(left: Column, right: Column) -> Column:
     products = F.zip_with(left, right, lambda a, b: a * F.coalesce(b, F.lit(0.0)))
     return F.aggregate(products, F.lit(0.0), lambda total, value: total + value)
@@ -329,17 +352,16 @@ def _aligned(values: Column, terms: Column) -> Column:
     return F.transform(terms, lambda term: F.coalesce(values[term], F.lit(0.0)))
 
 
-def _with_places(df: DataFrame, models: DataFrame, formula: Formula, by: Sequence[str]) -> DataFrame:
-    """Data rows beside their model; ``_v`` lists place and value of each non-zero regressor.
+def _with_places(
+    df: DataFrame, models: DataFrame, formula: Formula, by: Sequence[str], extra: Sequence[str] = ()
+) -> DataFrame:
+    """Data rows beside their model and the ``extra`` columns of it; ``_v`` lists place and value of each non-zero regressor.
 
     Known terms are stored with the reported ones first, so a place beyond those
     is a reference level and counts as zero.
     """
     joined = df.withColumn("_x", _require_regressors(formula)).join(
-        _one_per_group(
-            models, by, ["terms", "known_terms", "coef", "cov_unscaled", "sigma2", "rank"]
-        ),
-        list(by),
+        models.select(*by, "terms", "known_terms", "coef", *extra), list(by)
     )
     places = F.transform(
         "_x",
@@ -393,7 +415,8 @@ def residual_diagnostics(
     df: DataFrame, models: DataFrame, formula: Formula, by: Sequence[str]
 ) -> DataFrame:
     """Fitted value, residual, leverage, standardised residual and Cook's distance per row."""
-    rows = _with_places(complete_rows(df, formula), models, formula, by)
+    variance = ["cov_unscaled", "sigma2", "rank"]
+    rows = _with_places(complete_rows(df, formula), models, formula, by, variance)
     room = 1 - F.col("leverage")
     return (
         rows.withColumns({"fitted": _fitted(), "leverage": _leverage()})
@@ -446,12 +469,7 @@ def predict_sums(
         )
     )
     joined = sums.join(
-        _one_per_group(
-            models,
-            by,
-            ["terms", "known_terms", "coef", "cov_unscaled", "sigma2", "t_quantiles"],
-        ),
-        list(by),
+        models.select(*by, "terms", "known_terms", "coef", "cov_unscaled", "sigma2", "t_quantiles"), list(by)
     ).filter(_check_terms(F.map_keys("_s"), F.col("known_terms")))
     vector = _aligned(F.col("_s"), F.col("terms"))
     return (
@@ -478,21 +496,24 @@ def predict_sums(
 
 
 def monthly_expected(
-    df: DataFrame, models: DataFrame, formula: Formula, by: Sequence[str] = ("SECTION_CODE",)
+    df: DataFrame,
+    models: DataFrame,
+    formula: Formula,
+    by: Sequence[str] = ("SECTION_CODE",),
+    levels: Sequence[float] = (0.95, 0.99),
 ) -> DataFrame:
-    """Expected total per section and month with its 95% and 99% prediction intervals."""
+    """Expected total per section and month with its prediction intervals.
+
+    ``levels`` are those the models were fitted with. The bounds at 95% are ``PIlwr`` and ``PIupr``, those at other
+    levels have the level in their names, as ``PIlwr99``.
+    """
     out = predict_sums(df, models, formula, by, ["YEAR_MONTH"])
     mean, half = F.col("mean"), F.col("pi_half")
-    return out.select(
-        *by,
-        "YEAR_MONTH",
-        mean.alias("mean_fit"),
-        "var",
-        (mean - half[0]).alias("PIlwr"),
-        (mean + half[0]).alias("PIupr"),
-        (mean - half[1]).alias("PIlwr99"),
-        (mean + half[1]).alias("PIupr99"),
-    )
+    bounds = []
+    for place, level in enumerate(levels):
+        name = "" if level == 0.95 else f"{level * 100:g}".replace(".", "_")
+        bounds += [(mean - half[place]).alias(f"PIlwr{name}"), (mean + half[place]).alias(f"PIupr{name}")]
+    return out.select(*by, "YEAR_MONTH", mean.alias("mean_fit"), "var", *bounds)
 
 
 def outside_interval(df: DataFrame) -> DataFrame:

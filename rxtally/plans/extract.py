@@ -16,6 +16,11 @@ GRAINS = {
     "monthly": schemas.MONTHLY,
     "model": schemas.MODEL,
 }
+BUILDERS = {
+    "quarterly": aggregates.quarterly_totals,
+    "monthly": aggregates.monthly_totals,
+    "model": aggregates.model_totals,
+}
 
 
 def all_grains(items: DataFrame, time_dim: DataFrame) -> DataFrame:
@@ -42,11 +47,7 @@ def saved_grains(
     from them and never touches the items again.
     """
     if len(names) == 1:
-        build = {
-            "quarterly": aggregates.quarterly_totals,
-            "monthly": aggregates.monthly_totals,
-            "model": aggregates.model_totals,
-        }[names[0]]
+        build = BUILDERS[names[0]]
         return {names[0]: cut_lineage(build(items, time_dim).select(*GRAINS[names[0]].fieldNames()))}
     saved = cut_lineage(all_grains(items, time_dim).filter(F.col("GRAIN").isin(*names)))
     return {name: pick_grain(saved, name) for name in names}

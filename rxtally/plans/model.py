@@ -117,7 +117,7 @@ def compare_nested(model_input: DataFrame, config: ReleaseConfig) -> DataFrame:
 
 def expected(model_input: DataFrame, models: DataFrame, config: ReleaseConfig) -> DataFrame:
     months = predicates.month_range(config.predict_start, config.predict_end)
-    return regression.monthly_expected(model_input.filter(months), models, FINAL, BY)
+    return regression.monthly_expected(model_input.filter(months), models, FINAL, BY, config.levels)
 
 
 def actual_and_expected(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rxtally.config import ReleaseConfig
@@ -118,9 +118,14 @@ def _published(df: DataFrame, headings: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(name).alias(heading) for name, heading in headings.items()])
 
 
+def order_in_period() -> list[Column]:
+    """By section, identified before unidentified."""
+    return [F.asc("SECTION_CODE"), F.desc("IDENTIFIED_FLAG")]
+
+
 def published_order(df: DataFrame, period: Sequence[str]) -> DataFrame:
-    """Sorted by period and section, identified before unidentified; for the sink."""
-    return df.orderBy(*period, "SECTION_CODE", F.desc("IDENTIFIED_FLAG"))
+    """Sorted by period and inside it; for the sink."""
+    return df.orderBy(*period, *order_in_period())
 
 
 def published_monthly(monthly: DataFrame) -> DataFrame:

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rxtally.config import ReleaseConfig
 from rxtally.operators import joins, regression, windows
 from rxtally.plans import extract, indicators, model, publish
 from rxtally.session import cut_lineage
 from rxtally.sinks import tables as sinks
+from rxtally.sources import snapshots
+from rxtally.sources import tables as sources
 from rxtally.streaming import refresh
 
 
@@ -29,51 +32,76 @@ class Inputs:
 
 @dataclass
 class Release:
-    """Results by name; ``skipped`` when the warehouse holds nothing new."""
+    """Results by name; ``skipped`` when the warehouse holds no complete quarter, or nothing new."""
 
-    month: int
+    month: int | None
     skipped: bool = False
     tables: dict[str, DataFrame] = field(default_factory=dict)
 
 
+def _of_country(organisations: DataFrame, config: ReleaseConfig) -> DataFrame:
+    """Organisations of the release's country; a table without countries is taken as it is."""
+    if "COUNTRY" in organisations.columns:
+        return sources.organisation_dim(organisations, config.country)
+    return organisations
+
+
 def build(inputs: Inputs, config: ReleaseConfig, quarter: str = "FINANCIAL_QUARTER") -> Release:
     """Compute every table of the release without writing any.
 
     The items are joined and reduced once; all tables start from the three small
     aggregates that come out of that job.
     """
-    month = windows.latest_complete_quarter(inputs.time, quarter).first()["YEAR_MONTH"]
-    if inputs.history is not None and not refresh.is_newer(inputs.time, inputs.history, quarter):
+    # A calendar may run past the items: only months that are loaded can complete a quarter.
+    loaded = sources.latest_loaded(inputs.time, inputs.fact, config.first_month)
+    latest = windows.latest_complete_quarter(loaded, quarter).first()
+    if latest is None:
+        return Release(None, skipped=True)
+    month = latest["YEAR_MONTH"]
+    if inputs.history is not None and not refresh.is_newer(loaded, inputs.history, quarter):
         return Release(month, skipped=True)
 
-    time = inputs.time.filter(inputs.time["YEAR_MONTH"] <= month)
-    items = joins.star_join(inputs.fact, time, inputs.organisations, inputs.drugs, inputs.ages)
-    grains = extract.saved_grains(items, time)
+    time = inputs.time.filter(F.col("YEAR_MONTH").between(config.first_month, month))
+    fact = sources.prescription_fact(inputs.fact, config.first_month, month)
+    drugs = inputs.drugs.filter(F.col("BNF_SECTION").isin(*config.sections))
+    items = joins.star_join(fact, time, _of_country(inputs.organisations, config), drugs, inputs.ages)
+    return Release(month, tables=_tables(extract.saved_grains(items, time), inputs.days, config))
+
+
+def from_snapshots(spark: SparkSession, folder: str, days: DataFrame, config: ReleaseConfig) -> Release:
+    """The same tables from the newest stored aggregates under ``folder``, without a look at the items."""
+    grains = {}
+    for name, schema in extract.GRAINS.items():
+        path = snapshots.newest_snapshot(spark, folder, rf"(^|/){name}/.*\.csv$")
+        grains[name] = snapshots.read_delimited(spark, path, schema)
+    month = grains["monthly"].agg(F.max("YEAR_MONTH")).first()[0]
+    return Release(month, tables=_tables(grains, days, config))
+
+
+def _tables(grains: dict[str, DataFrame], days: DataFrame, config: ReleaseConfig) -> dict[str, DataFrame]:
+    """Every published table, from the three stored aggregates."""
     quarterly, monthly, by_person = grains["quarterly"], grains["monthly"], grains["model"]
-    series = publish.monthly_series(monthly, inputs.days)
+    series = publish.monthly_series(monthly, days)
 
-    banded = cut_lineage(model.banded_input(by_person, inputs.days, config))
+    banded = cut_lineage(model.banded_input(by_person, days, config))
     models = model.fit_release(banded, config)
     expected = cut_lineage(model.actual_and_expected(banded, models, config))
-    return Release(
-        month,
-        tables={
-            **grains,
-            "identification_text": publish.identification_text(quarterly, config.rate_quarters),
-            "identification": publish.identification_table(quarterly),
-            "monthly_series": series,
-            "quarterly_figures": publish.quarterly_figures(quarterly, config),
-            "monthly_figures": publish.monthly_figures(series, config),
-            "published_monthly": publish.published_monthly(monthly),
-            "published_quarterly": publish.published_quarterly(quarterly),
-            "model_statistics": regression.fit_statistics(models, model.BY),
-            "model_coefficients": regression.coefficient_table(models, model.BY),
-            "expected": expected,
-            "expected_figures": model.expected_figures(expected, config),
-            "expected_totals": model.expected_totals(expected, config),
-            "indicators": indicators.indicator_table(quarterly, monthly),
-        },
-    )
+    return {
+        **grains,
+        "identification_text": publish.identification_text(quarterly, config.rate_quarters),
+        "identification": publish.identification_table(quarterly),
+        "monthly_series": series,
+        "quarterly_figures": publish.quarterly_figures(quarterly, config),
+        "monthly_figures": publish.monthly_figures(series, config),
+        "published_monthly": publish.published_monthly(monthly),
+        "published_quarterly": publish.published_quarterly(quarterly),
+        "model_statistics": regression.fit_statistics(models, model.BY),
+        "model_coefficients": regression.coefficient_table(models, model.BY),
+        "expected": expected,
+        "expected_figures": model.expected_figures(expected, config),
+        "expected_totals": model.expected_totals(expected, config),
+        "indicators": indicators.indicator_table(quarterly, monthly),
+    }
 
 
 # Tables published with a title, and the notes under it.
@@ -86,10 +114,14 @@ _NOTES = [
     "Field definitions are in the data dictionary.",
     "Patient counts must not be added up to any other level.",
 ]
+_FILES = (
+    "identification_text", "monthly_series", "quarterly_figures", "monthly_figures", "model_statistics",
+    "model_coefficients", "expected", "expected_figures", "expected_totals",
+)
 
 
 def store(release: Release, folder: str, prefix: str) -> None:
-    """Write snapshots, published tables, model files and indicators of a release."""
+    """Write snapshots, published tables, the data dictionary, result files, indicators and views of a release."""
     if release.skipped:
         return
     month = release.month
@@ -103,6 +135,13 @@ def store(release: Release, folder: str, prefix: str) -> None:
             _NOTES,
             publish.DATA_DICTIONARY,
         )
-    for name in ("expected", "expected_totals"):
+    indicators_ = release.tables["indicators"]
+    dictionary = publish.data_dictionary(indicators_.sparkSession)
+    sinks.materialise(dictionary, f"{prefix}_data_dictionary", month)
+    for name in _FILES:
         sinks.save_csv(release.tables[name], f"{folder}/{name}_{month}")
-    sinks.save_indicators(release.tables["indicators"], f"{folder}/indicators_{month}")
+    path = f"{folder}/indicators_{month}"
+    sinks.save_indicators(indicators_, path)
+    saved = sinks.read_indicators(indicators_.sparkSession, path)
+    codes = [row["SECTION_CODE"] for row in saved.select("SECTION_CODE").distinct().collect()]
+    sinks.register_indicators(saved, sorted(codes))

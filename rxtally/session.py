@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,7 +54,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and carry on from the copy.
 
     Used on small published aggregates that several later steps read, so the
-    scan and the patient-grain shuffle behind them run once.
+    scan and the patient-grain shuffle behind them run once. The copy is a
+    parquet table: later steps read only the columns they use, and Spark knows
+    its size before it plans a join.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    folder = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/cut-{uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rxtally.functions import dates
@@ -49,11 +48,14 @@ def time_dim(span: DataFrame, start: Column | int | None = None) -> DataFrame:
 
 
 def keyed_time_dim(dim: DataFrame) -> DataFrame:
-    """Any month dimension with the short quarter key added if it has none."""
+    """Any month dimension with the short quarter key added if it has none.
+
+    The key follows from the month alone, so that tables which begin in different months of a quarter agree on it.
+    """
     if "QUARTER_KEY" in dim.columns:
         return dim
-    quarter = W.partitionBy("FINANCIAL_YEAR", "FINANCIAL_QUARTER")
-    return dim.withColumn("QUARTER_KEY", F.min("YEAR_MONTH").over(quarter))
+    month = F.col("YEAR_MONTH") % 100
+    return dim.withColumn("QUARTER_KEY", (F.col("YEAR_MONTH") - (month + 2) % 3).cast("int"))
 
 
 def dispensing_days(span: DataFrame, holidays: DataFrame | None = None) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Saved aggregates: find the newest file that matches a name, read it with a schema."""
+"""Saved aggregates: find the newest snapshot that matches a name, read it with a schema."""
 
 from __future__ import annotations
 
@@ -23,9 +23,17 @@ def list_snapshots(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
 
 
 def newest_snapshot(spark: SparkSession, folder: str, pattern: str) -> str:
-    """Path of the newest match; the later name wins between equal times."""
-    found = list_snapshots(spark, folder, pattern).agg(
-        F.max_by("path", F.struct("modificationTime", "path")).alias("path")
+    """Path of the newest match; the later name wins between equal times.
+
+    A snapshot that Spark wrote is a folder of part files: the folder is what is found, so that all its parts are
+    read. A single file is a snapshot of its own.
+    """
+    snapshot = F.regexp_replace("path", r"/part-[^/]*$", "")
+    found = (
+        list_snapshots(spark, folder, pattern)
+        .groupBy(snapshot.alias("path"))
+        .agg(F.max("modificationTime").alias("written"))
+        .agg(F.max_by("path", F.struct("written", "path")).alias("path"))
     )
     path = found.first()["path"]
     if path is None:

@@ -21,7 +21,10 @@ def next_month(history: DataFrame) -> DataFrame:
 
 
 def is_newer(calendar: DataFrame, history: DataFrame, quarter: str = "FINANCIAL_QUARTER_EXT") -> bool:
-    """Whether the last complete quarter ends after the stored history does."""
+    """Whether the last complete quarter ends after the stored history does.
+
+    ``calendar`` should end with the last month that is loaded (``sources.tables.latest_loaded``).
+    """
     latest = windows.latest_complete_quarter(calendar, quarter).first()
     stored = stored_maximum(history)
     if latest is None:

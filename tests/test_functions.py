@@ -65,6 +65,8 @@ def test_rate_of_nothing(spark):
         (-11.25, -11.2, "-11.2"),
         (0.012345, 0.0123, "0.0123"),
         (9.996, 10.0, "10.0"),
+        (0.00123456, 0.00123, "0.00123"),
+        (-1e-7, -1e-7, "-0.000000100"),
     ],
 )
 def test_three_figures(spark, value, shown, text):

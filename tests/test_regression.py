@@ -194,3 +194,42 @@ def test_many_rows_reduce_to_design_points(spark):
     pdf = data.toPandas()
     cells = pdf.groupby(["g", "b"]).ITEM_COUNT.transform("mean")
     assert row["deviance"] == pytest.approx(((pdf.ITEM_COUNT - cells) ** 2).sum(), rel=1e-9)
+
+
+@pytest.mark.parametrize("offset, shift", [(0.0, 0.0), (1e6, 0.0), (1e8, 0.0), (0.0, 1e6), (1e8, 1e6)])
+def test_large_offsets_keep_their_digits(spark, offset, shift):
+    """Residual sum and slope against a solver that works on the rows, with large responses and regressors."""
+    draw = np.random.default_rng(4)
+    x = shift + 0.1 * np.arange(60)
+    y = offset + 2.5 * (x - shift) + draw.normal(size=60)
+    rows = [("a", float(v), float(w), "k" if i % 3 else "m") for i, (v, w) in enumerate(zip(x, y, strict=True))]
+    frame = spark.createDataFrame(rows, "g string, x double, y double, c string")
+    found = regression.fit(frame, Formula("y", (Numeric("x"), Categorical("c"))), ["g"]).first()
+    level = np.array([float(r[3] == "m") for r in rows])
+    design = np.column_stack([np.ones(60), x - shift, level])
+    expected, *_ = np.linalg.lstsq(design, y - offset, rcond=None)
+    rss = float(((y - offset - design @ expected) ** 2).sum())
+    coef = dict(zip(found["terms"], found["coef"], strict=True))
+    assert found["rank"] == 3
+    assert found["deviance"] == pytest.approx(rss, rel=1e-6)
+    assert coef["x"] == pytest.approx(expected[1], rel=1e-6)
+
+
+def test_many_effects(spark):
+    """More effects than a machine word has bits."""
+    names = [f"x{i}" for i in range(66)]
+    draw = np.random.default_rng(5)
+    values = draw.integers(0, 2, (90, 66))
+    y = values @ np.arange(66.0) + 3
+    rows = [("a", *map(str, v), float(w)) for v, w in zip(values.tolist(), y, strict=True)]
+    frame = spark.createDataFrame(rows, "g string, " + ", ".join(f"{n} string" for n in names) + ", y double")
+    found = regression.fit(frame, Formula("y", tuple(Categorical(n) for n in names)), ["g"]).first()
+    coef = dict(zip(found["terms"], found["coef"], strict=True))
+    assert coef["x65[1]"] == pytest.approx(65.0) and coef["(Intercept)"] == pytest.approx(3.0)
+
+
+def test_numeric_regressors_are_no_grouping_key(spark):
+    frame = spark.range(100).selectExpr("'a' g", "id * 0.5 x", "id * 1.5 y")
+    plan = regression.gram_sums(frame, "y", [("x",)], ["x"], ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" in plan
+    assert not any("x#" in part for part in plan.split("hashpartitioning(")[1:] for part in [part.split(")")[0]])

@@ -1,10 +1,12 @@
+from dataclasses import replace
+
 from helpers import drugs
 from pyspark.sql import functions as F
 
 from rxtally.checks.tables import Tables
 from rxtally.operators import joins
-from rxtally.plans import release
-from rxtally.sources import snapshots
+from rxtally.plans import publish, release
+from rxtally.sources import calendar, driver_tables, snapshots
 from rxtally import schemas
 
 
@@ -20,7 +22,14 @@ def test_release_from_tables_to_files(spark, sf_dir, tmp_path):
     release.store(done, str(tmp_path), "stats")
     newest = snapshots.newest_snapshot(spark, str(tmp_path), "monthly/.*csv$")
     stored = snapshots.read_delimited(spark, newest, schemas.MONTHLY)
-    assert stored.filter("SECTION_CODE not like '04__'").count() == 0
+    monthly = done.tables["monthly"]
+    assert stored.exceptAll(monthly).count() == 0 and monthly.exceptAll(stored).count() == 0
+    later = release.from_snapshots(spark, str(tmp_path), t.days, t.config)
+    assert later.month == 200106
+    for name in ("published_quarterly", "expected_totals", "indicators"):
+        a, b = (sorted(map(str, x.tables[name].collect())) for x in (later, done))
+        assert a == b
+    assert spark.table("stats_data_dictionary_200106").count() == len(publish.DATA_DICTIONARY) and spark.table("table_0403").count() == 25
     assert spark.table("stats_identification_200106").count() == 5
 
     again = release.build(
@@ -30,6 +39,31 @@ def test_release_from_tables_to_files(spark, sf_dir, tmp_path):
     assert again.skipped and not again.tables
 
 
+def test_a_calendar_longer_than_the_items_opens_no_gate(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    span = calendar.fixed_span(spark, 199501, 200412)
+    inputs = release.Inputs(t.fact, calendar.time_dim(span), t.org, t.drug, t.age, t.days)
+    assert release.build(inputs, t.config).month == 200106
+    inputs.history = t.monthly.filter("YEAR_MONTH <= 200106")
+    assert release.build(inputs, t.config).skipped
+    inputs.time = inputs.time.limit(0)
+    none = release.build(inputs, t.config)
+    assert none.skipped and none.month is None
+
+
+def test_bounds_of_a_release(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    organisations = driver_tables.organisations(spark, sf_dir)
+    config = replace(t.config, first_month=199601, sections=("0401", "0403"), country=2)
+    done = release.build(release.Inputs(t.fact, t.time, organisations, t.drug, t.age, t.days), config)
+    found = done.tables["monthly"].agg(F.min("YEAR_MONTH"), F.sort_array(F.collect_set("SECTION_CODE"))).first()
+    assert tuple(found) == (199601, ["0401", "0403"])
+    abroad = organisations.filter("COUNTRY = 2").select(F.col("LVL_5_OU").alias("PRESC_ID_PRNT"))
+    wanted = t.fact.join(abroad, "PRESC_ID_PRNT").join(t.drug, F.col("CALC_PREC_DRUG_RECORD_ID") == F.col("RECORD_ID"))
+    wanted = wanted.filter("YEAR_MONTH BETWEEN 199601 AND 200106 AND BNF_SECTION IN ('0401', '0403')")
+    assert done.tables["monthly"].agg(F.sum("ITEM_COUNT")).first() == wanted.agg(F.sum("ITEM_COUNT")).first()
+
+
 def test_drug_runs_join_like_the_months(spark):
     by_month = spark.createDataFrame(
         drugs()

@@ -7,7 +7,7 @@ from rxtally import schemas
 from rxtally.config import DEC_2022, SECTION_NAMES
 from rxtally.plans import indicators, publish
 from rxtally.sinks import tables as sinks
-from rxtally.sources import snapshots, tables
+from rxtally.sources import calendar, snapshots, tables
 from rxtally.streaming import refresh
 
 QUARTERLY = "2022/2023"
@@ -45,10 +45,11 @@ def test_delimited_codes_keep_leading_zeros(spark, tmp_path):
 def test_snapshot_round_trip(spark, tmp_path):
     df = monthly(spark, [202210, 202211])
     for month in (202211, 202212):
-        path = sinks.save_snapshot(df.filter(F.col("YEAR_MONTH") <= month), str(tmp_path), "monthly", month)
+        part = df.filter(F.col("YEAR_MONTH") <= month).repartition(3, "YEAR_MONTH")
+        sinks.save_snapshot(part, str(tmp_path), "monthly", month)
     newest = snapshots.newest_snapshot(spark, str(tmp_path), r"monthly/.*\.csv$")
-    assert "snapshot=202212" in newest
-    again = snapshots.read_delimited(spark, path, schemas.MONTHLY)
+    assert newest.endswith("monthly/snapshot=202212")
+    again = snapshots.read_delimited(spark, newest, schemas.MONTHLY)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, df.collect()))
 
 
@@ -163,3 +164,11 @@ def test_indicator_lines(spark):
     assert lines[20]["Period"] == "January 2022 to December 2022" and lines[20]["Value"] == 4
     assert lines[23]["Value"] == 10 and lines[24]["Value"] == 5
     assert lines[1]["Section_Formatted"] == "antidepressant drug item"
+
+
+def test_quarter_keys_agree_whatever_month_a_table_begins_in(spark):
+    span = calendar.fixed_span(spark, 202205, 202212)
+    plain = calendar.time_dim(span).drop("QUARTER_KEY")
+    keys = {r["YEAR_MONTH"]: r["QUARTER_KEY"] for r in calendar.keyed_time_dim(plain).collect()}
+    full = calendar.time_dim(calendar.fixed_span(spark, 202101, 202312)).collect()
+    assert keys == {r["YEAR_MONTH"]: r["QUARTER_KEY"] for r in full if r["YEAR_MONTH"] in keys}
