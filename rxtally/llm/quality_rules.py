@@ -21,6 +21,7 @@ from rxtally.llm.text import WORD, let, words
 
 BUCKETS = 65_536
 WINDOW = 5
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 # Clean prose stays above this mean for each n-gram, short texts of small corpora included.
 THRESHOLD = -0.3
 
@@ -145,4 +146,5 @@ def judged(
     # The subquery stands alone in a column of its own: it may not be written inside a higher-order function.
     scores = ids.withColumn("ratios_", ratios.scalar()).withColumn("llr", mean_log_ratio(F.col("ids_"), F.col("ratios_")))
     counts = base_counts(scores, *keep, "llr")
-    return counts.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
+    verdict = ~F.col("base_failed") & (F.col("llr") >= threshold)
+    return counts.select(*keep, *COUNTS, "base_failed", "llr", verdict.alias("kept"))
