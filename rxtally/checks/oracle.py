@@ -520,6 +520,21 @@ def _t_quantile(z: str) -> str:
         + (79 * {z}^9 + 776 * {z}^7 + 1482 * {z}^5 - 1920 * {z}^3 - 945 * {z}) / (92160 * v^4))"""
 
 
+def _tail(density: str, angle: str, steps: int = 4000) -> str:
+    """Share of a density over 0 to pi/2 that lies above an angle, by Simpson's rule.
+
+    With tan(x)^2 = t^2 / v, Student's t has the density cos(x)^(v-1), both tails together; with
+    tan(x)^2 = d1 F / d2, the F distribution has sin(x)^(d1-1) cos(x)^(d2-1).
+    """
+    def area(low: str) -> str:
+        place = f"({low} + (pi() / 2 - {low}) * i / {steps})"
+        weight = f"CASE WHEN i IN (0, {steps}) THEN 1 ELSE 2 + 2 * (i % 2) END"
+        values = f"list_transform(range({steps} + 1), lambda i: {weight} * {density.format(x=place)})"
+        return f"list_sum({values}) * (pi() / 2 - {low})"
+
+    return f"({area(angle)}) / ({area('0.0')})"
+
+
 _Z95, _Z99 = "1.959963984540054::DOUBLE", "2.5758293035489004::DOUBLE"
 _STEPS["t_value"] = f"""
 SELECT SECTION_CODE, {_t_quantile(_Z95)} AS q95, {_t_quantile(_Z99)} AS q99 FROM fit_stat
@@ -697,10 +712,13 @@ _oracle(
         round((tss - rss) / (p - 1) / s2, 6) AS statistic, CAST(p - 1 AS BIGINT) AS df,
         round(-n / 2 * (ln(2 * pi() * rss / n) + 1), 6) AS log_lik, round({_AIC}, 6) AS aic,
         round(n * (ln(2 * pi() * rss / n) + 1) + ln(n) * (p + 1), 6) AS bic,
-        round(rss, 2) AS deviance, CAST(v AS BIGINT) AS df_resid, CAST(n AS BIGINT) AS nobs FROM fit_stat""",
-    m4_coefficients="""SELECT SECTION_CODE, term, round(estimate, 6) AS estimate,
-        round(sqrt(variance), 6) AS std_error, round(estimate / sqrt(variance), 6) AS t_value
-        FROM coefficient""",
+        round(rss, 2) AS deviance, CAST(v AS BIGINT) AS df_resid, CAST(n AS BIGINT) AS nobs,
+        round({_tail('sin({x}) ^ (p - 2) * cos({x}) ^ (v - 1)', 'atan(sqrt((tss - rss) / s2 / v))')}, 6) AS statistic_p
+        FROM fit_stat""",
+    m4_coefficients=f"""SELECT SECTION_CODE, term, round(estimate, 6) AS estimate,
+        round(sqrt(variance), 6) AS std_error, round(estimate / sqrt(variance), 6) AS t_value,
+        round({_tail('cos({x}) ^ (v - 1)', 'atan(abs(estimate) / sqrt(variance * v))')}, 6) AS p_value
+        FROM coefficient JOIN (SELECT SECTION_CODE, v FROM fit_stat) f USING (SECTION_CODE)""",
     m5_nested_by_aic=_ranked("nested", 6),
     m5_bands_by_aic=_ranked("band_fit", 4),
     m6_diagnostics="""SELECT SECTION_CODE, YEAR_MONTH, PDS_GENDER, BAND_20YR, ITEM_COUNT,

@@ -768,16 +768,16 @@ def m2_price_within_cells(t: Tables) -> DataFrame:
 
 @query
 def m3_fit_statistics(t: Tables) -> DataFrame:
-    out = regression.fit_statistics(t.fitted, model.BY).drop("MODEL", "statistic_p")
+    out = regression.fit_statistics(t.fitted, model.BY).drop("MODEL")
     return rounded(
-        out, r_squared=8, adj_r_squared=8, sigma=6, statistic=6, log_lik=6, aic=6, bic=6, deviance=2
+        out, r_squared=8, adj_r_squared=8, sigma=6, statistic=6, statistic_p=6, log_lik=6, aic=6, bic=6, deviance=2
     )
 
 
 @query
 def m4_coefficients(t: Tables) -> DataFrame:
-    out = regression.coefficient_table(t.fitted, model.BY).drop("MODEL", "p_value")
-    return rounded(out, estimate=6, std_error=6, t_value=6)
+    out = regression.coefficient_table(t.fitted, model.BY).drop("MODEL")
+    return rounded(out, estimate=6, std_error=6, t_value=6, p_value=6)
 
 
 @query
