@@ -275,7 +275,8 @@ class Model:
         for p in np.flatnonzero(np.diff(bounds)):
             own = slice(bounds[p], bounds[p + 1])
             hit, place = found(mapped(f"{self.vocabulary.folder}/contexts-{order}-{p}.npy"), distinct[own])
-            out[own][hit] = mapped(f"{self.vocabulary.folder}/totals-{order}-{p}.npy")[place[hit]]
+            if hit.any():
+                out[own][hit] = mapped(f"{self.vocabulary.folder}/totals-{order}-{p}.npy")[place[hit]]
         return out[back]
 
     def probabilities(self, columns: list[np.ndarray]) -> np.ndarray:
