@@ -38,6 +38,7 @@ from rxtally.llm.text import crc_remainder, lowered, words
 SPREAD = 8
 TOKENS = 1 << 20  # tokens worked on together
 HELD = 1 << 22  # tokens gathered before their n-grams are sent
+ORDER = 3  # words of the longest n-grams, unless a caller says otherwise
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -315,7 +316,7 @@ def _writers(folder: str, order: int, parts: int):
     return grams, contexts
 
 
-def train(documents: DataFrame, order: int = 2) -> Model:
+def train(documents: DataFrame, order: int = ORDER) -> Model:
     """Count the texts of ``documents`` and write the model's arrays."""
     spark = documents.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -358,7 +359,7 @@ def scored(documents: DataFrame, model: Model) -> DataFrame:
 NAMES = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
 
-def held_out_scores(documents: DataFrame, order: int = 2, folds: int = 10) -> DataFrame:
+def held_out_scores(documents: DataFrame, order: int = ORDER, folds: int = 10) -> DataFrame:
     """All documents scored by a model of those that are not held out, with perplexity for each token."""
     held_out = crc_remainder(F.col("doc_id"), folds) == 0
     found_scores = scored(documents, train(documents.filter(~held_out), order))

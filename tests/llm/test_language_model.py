@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rxtally.llm import language_model as lm
+from rxtally.llm.queries import QUERIES
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -98,3 +99,12 @@ def test_model_beats_the_base_on_held_out_documents(spark):
     found = lm.held_out_scores(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).filter("held_out")
     sums = found.agg(F.sum("score"), F.sum("base_score")).first()
     assert sums[0] > sums[1]
+
+
+def test_registered_query_is_a_trigram_model(spark):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    held = lambda doc: zlib.crc32(str(doc).encode()) % 10 == 0
+    plain = Plain([t for d, t in rows if not held(d)], 3)
+    expected = {d: plain.row(d, t)[-1] for d, t in rows if held(d)}
+    found = QUERIES["op1_language_model"](spark, "/root/testdata/sf0.001").filter("held_out").collect()
+    assert {r["doc_id"]: r["score"] for r in found} == pytest.approx(expected, rel=1e-9)
