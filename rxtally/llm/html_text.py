@@ -58,9 +58,11 @@ CUT_CLASS = re.compile(
     r"social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])",
     re.IGNORECASE,
 )
-# Comments, declarations, tags with quoted attributes, and a tag cut off by the end of the page.
+# Comments, declarations and tags; each may be cut off by the end of the page. A quote opens a value after '=' only, if
+# it is closed anywhere; any other quote is a character, and the tag ends at the next '>'.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|</?[a-zA-Z].*\Z",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|"
+    r"<(/?)([a-zA-Z][^\s/>]*)((?:=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*+)|[^>])*+)(?:>|\Z)",
     re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"(class|id|role|hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)

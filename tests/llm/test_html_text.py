@@ -30,6 +30,21 @@ def test_edge_pages(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<p title=Bob's>one two</p><p>three</p>", "one two\nthree"),
+        ('<p class="a"">one</p><p>two</p><p class="b">three</p>', "one\ntwo\nthree"),
+        ("<p title='>'>one</p><p title = \">\">two</p>", "one\ntwo"),
+        ("<p title=\"never closed>one</p><p>two</p>", "one\ntwo"),
+        ("<p \">one</p><p data=x=\"y>two</p><p>three", "one\ntwo\nthree"),
+        ("<p>one<a title=\"cut", "one"),
+    ],
+)
+def test_stray_quotes_lose_no_words(page, text):
+    assert main_text(page) == text
+
+
 def test_density_finds_unmarked_content():
     menu = "".join(f"<li><a href='/{i}'>Link number {i}</a></li>" for i in range(30))
     paragraph = "A sentence with enough words to look like prose, and no link in it. " * 4
