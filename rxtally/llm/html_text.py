@@ -4,7 +4,8 @@ A page is read into a tree of elements. Every node gets its characters, its tags
 links. The composite density is characters for each tag, times a factor that falls with the share of linked text; the
 base of its logarithm brings in the share of links in the whole body. The sum of a node's children's densities finds
 the content: the node with the largest sum is the main text, and the least density on its path to the body is the
-threshold above which other subtrees belong to it as well.
+threshold above which other subtrees belong to it as well. Where the largest sum lies in an article or main element, the
+nearest one is taken whole in place of that node; a mark elsewhere has no say.
 
 Elements that by their name, role or class are menus, notices, adverts, forms, comments and the like are cut out of
 the tree first: a short advert without links has a high density, and no density tells it from a paragraph.
@@ -196,6 +197,9 @@ def content(nodes: list[Node]) -> set[int]:
         path.append(node)
         node = node.parent
     threshold = min(n.density for n in path)
+    # A page that marks its article says how far the text goes: the nearest mark around the best node widens it.
+    at = next((i for i, n in enumerate(path) if n.name in ("article", "main")), 0)
+    best, path = path[at], path[at:]
     chosen, waiting = set(), [nodes[0]]
     on_path = {id(n) for n in path[1:]}
     while waiting:
@@ -240,14 +244,7 @@ def main_text(page: str | None) -> str:
     root = parse(page)
     nodes = _in_order(root)
     measure(nodes)
-    # A page that marks its article says where the text is; densities choose within it.
-    marked = [n for n in nodes if n.name in ("article", "main") and n.chars]
     chosen = content(nodes)
-    if len(marked) == 1:
-        inside, node = set(), marked[0]
-        inside = {id(n) for n in _in_order(node)}
-        if chosen & inside:
-            chosen = {id(node)}
     lines = (BLANK.sub(" ", block).strip() for block in _blocks(root, chosen))
     return "\n".join(line for line in lines if line)
 

@@ -53,6 +53,24 @@ def test_density_finds_unmarked_content():
     assert found == "\n".join(["Head line"] + [paragraph.strip()] * 5)
 
 
+@pytest.mark.parametrize("outer", ["{}", "<main>{}</main>"])
+def test_an_article_beside_the_main_text_does_not_replace_it(outer):
+    """The same with the whole in a main element, where two elements are marked."""
+    paragraph = "A sentence with enough words to look like prose, and no link in it. " * 4
+    text = f"<div>{f'<p>{paragraph}</p>' * 6}</div>"
+    teaser = f"<article><p>{'Read this other story, it is well worth the time. ' * 12}</p></article>"
+    found = main_text(f"<html><body>{outer.format(text + teaser)}</body></html>").split("\n")
+    assert found[:6] == [paragraph.strip()] * 6
+
+
+def test_mark_widens_to_the_whole_article():
+    paragraph = "A sentence with enough words to look like prose, and no link in it. " * 4
+    inside = f"<h1>Head</h1><div>{f'<p>{paragraph}</p>' * 5}</div><p>End.</p>"
+    lines = ["Head", *[paragraph.strip()] * 5, "End."]
+    for page in (f"<article>{inside}</article>", f"<main><article>{inside}</article></main>"):
+        assert main_text(f"<body><div><ul><li><a href=/>Home</a></ul></div>{page}</body>") == "\n".join(lines)
+
+
 def test_driver_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").withColumn("text", F.lit("clash"))
     rows = {r["page_id"]: r["html"] for r in pages.collect()}
