@@ -11,8 +11,8 @@ cells; every row is put into its cell, so each is indexed. Queries first search
 whose boxes pass the same test. Inside a task the tree goes on to leaves of ``LEAF`` rows, which are visited in order
 of their boxes. Nothing else is capped: with a confidence of one every row is verified.
 
-Copies of a vector are folded before they move: of equal vectors in a batch only the k + 1 smallest ids can be among
-anyone's k nearest.
+Copies of a vector are folded before they move: of equal vectors in a batch only the k + 1 smallest different ids can be
+among anyone's k nearest. Repeated rows are taken out first, and once more in their cell.
 
 Defined results: vectors that are null, zero, of another length than most of the sample, or with null or non-finite
 components take no part, nor do rows without an id. A repeated row counts once; an id with several vectors is a
@@ -104,6 +104,16 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
 
+def folded(ids: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
+    """Places of the rows to keep: of each vector the k + 1 smallest different ids, each once."""
+    order = np.lexsort((ids, *rows.T[::-1]))
+    fresh = np.r_[True, (rows[order[1:]] != rows[order[:-1]]).any(axis=1)]
+    single = fresh | np.r_[True, ids[order[1:]] != ids[order[:-1]]]
+    order, fresh = order[single], fresh[single]
+    start = np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))
+    return order[np.arange(len(order)) - start <= k]
+
+
 def box_distances(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Squared distances from every point to every box."""
     out = np.zeros((len(points), len(low)))
@@ -206,16 +216,12 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, cell: int = CELL,
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, rows = batch.column(0).to_numpy(), matrix(batch.column(2), width)
-            order = np.lexsort((ids, *rows.T[::-1]))
-            ids, rows = ids[order], rows[order]
-            fresh = np.r_[True, (rows[1:] != rows[:-1]).any(axis=1)]
-            start = np.maximum.accumulate(np.where(fresh, np.arange(len(ids)), 0))
-            kept = np.arange(len(ids)) - start <= k
-            kept &= np.r_[True, fresh[1:] | (ids[1:] != ids[:-1])]
-            home = index.cells(index.projected(rows[kept]))
-            values = pa.array(rows[kept].ravel())
-            lists = pa.ListArray.from_arrays(np.arange(kept.sum() + 1, dtype=np.int32) * width, values)
-            yield pa.record_batch([pa.array(home), pa.array(ids[kept]), lists], names=["cell", "vec_id", "vector"])
+            kept = folded(ids, rows, k)
+            ids, rows = ids[kept], rows[kept]
+            home = index.cells(index.projected(rows))
+            values = pa.array(rows.ravel())
+            lists = pa.ListArray.from_arrays(np.arange(len(ids) + 1, dtype=np.int32) * width, values)
+            yield pa.record_batch([pa.array(home), pa.array(ids), lists], names=["cell", "vec_id", "vector"])
 
     rows = stored(good.select(*shape.replace(",", "").split()[::2]).mapInArrow(placed, "cell bigint, vec_id bigint, vector array<double>"))
 
@@ -233,6 +239,9 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, cell: int = CELL,
         n, row, score = empty
         if len(ids) and len(own):
             vectors_, asks = (matrix(t.column("vector").combine_chunks(), width) for t in (left, right))
+            if len(np.unique(ids)) < len(ids):  # rows that repeat in several batches would take places of others
+                kept = folded(ids, vectors_, k)
+                ids, vectors_ = ids[kept], vectors_[kept]
             floor = right.column("floor").to_numpy().astype(np.float64)
             n, row, score = search(index, ids, vectors_, own, asks, floor, k, limit)
         return pa.table({"query_id": own[n], "vec_id": ids[row], "score": score})

@@ -39,6 +39,15 @@ def test_exact_with_full_confidence(spark, cell):
     assert np.allclose([f[3] for f in found], [e[3] for e in expected], rtol=1e-12)
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_repeated_rows_in_a_group_of_copies(spark, parts):
+    rows = [(i, [1.0, 2.0, 3.0, 4.0]) for i in range(45) for _ in range(2)] + [(0, [1.0, 2.0, 3.0, 4.0])] * 40
+    rows += [(100 + i, [0.1, 0.2, 0.3, float(i)]) for i in range(2)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(parts)
+    found = [tuple(r)[:3] for r in nn.nearest(frame, confidence=1.0).orderBy("query_id", "rank").collect()]
+    assert found == [e[:3] for e in brute(rows)]
+
+
 def test_few_and_no_rows(spark):
     frame = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id bigint, embedding array<float>")
     assert [tuple(r) for r in nn.nearest(frame).collect()] == [(0, 1, 1, 2.0)]
