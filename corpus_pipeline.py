@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxtally.llm import mixing, near_copies, quality_rules, segmentation, suffix_dedup
+from rxtally.llm import mixing, quality_rules, segmentation, simhash, suffix_dedup
 from rxtally.llm.queries import good_ids, table, tokenizer
 from rxtally.llm.storage import shared_folder, stored
 
@@ -20,8 +20,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of those whose five-word shingles are alike by 0.8 or more."""
-    return near_copies.first_of_each_class(docs).select(*COLUMNS)
+    """One document of each class of fingerprints of three-word shingles that link at two or fewer differing bits."""
+    return simhash.first_of_each_class(docs, budget=2, width=3).select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
