@@ -12,6 +12,7 @@ from rxtally.llm import (
     language_model,
     mixing,
     nearest,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     segmentation,
@@ -84,6 +85,10 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.counted(table(spark, folder, "documents"), tokenizer())
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.digests(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_model": op1_language_model,
     "op2_simhash": op2_simhash,
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_counts": op10_token_counts,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {}
