@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -30,5 +31,43 @@ def save(path: str, array: np.ndarray) -> None:
 
 @lru_cache(maxsize=4096)
 def mapped(path: str) -> np.ndarray:
-    """A file's array, mapped; no rows if no task had any."""
-    return np.load(path, mmap_mode="r") if os.path.exists(path) else np.zeros(0, np.int64)
+    """A file's array, mapped; a missing file is an error."""
+    return np.load(path, mmap_mode="r")
+
+
+@dataclass(frozen=True)
+class Parts:
+    """Arrays of a folder, one file of each name for every part that has rows.
+
+    ``sizes`` says how many rows each part has. It is known where the files are written, so that a file that is not
+    there is told from a part without rows.
+    """
+
+    folder: str
+    sizes: tuple[int, ...]
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    def __call__(self, name: str, part: int) -> np.ndarray:
+        return mapped(f"{self.folder}/{name}-{part}.npy") if self.sizes[part] else np.zeros(0, np.int64)
+
+    @property
+    def offsets(self) -> np.ndarray:
+        return np.concatenate([[0], np.cumsum(self.sizes)]).astype(np.int64)
+
+
+def sizes_of(written, parts: int) -> tuple[int, ...]:
+    """Sizes by part from rows (part, size)."""
+    sizes = [0] * parts
+    for part, size in written:
+        sizes[part] = int(size)
+    return tuple(sizes)
+
+
+def found(known: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the sorted ``asked`` are in the sorted ``known``, and where."""
+    if not len(known):
+        return np.zeros(len(asked), bool), np.zeros(len(asked), np.int64)
+    place = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+    return known[place] == asked, place

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxtally.llm import (
+    collocations,
     html_text,
     language_model,
     mixing,
@@ -89,6 +90,10 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_runs.digests(table(spark, folder, "documents"))
 
 
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_model": op1_language_model,
     "op2_simhash": op2_simhash,
@@ -101,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_token_counts": op10_token_counts,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_collocations": op13_collocations,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op13_collocations": collocations.ORACLE}
