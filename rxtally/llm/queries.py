@@ -14,6 +14,7 @@ from rxtally.llm import (
     mixing,
     nearest,
     periodic_runs,
+    personal_data,
     quality_classifier,
     quality_rules,
     segmentation,
@@ -90,6 +91,10 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_runs.digests(table(spark, folder, "documents"))
 
 
+def op12_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data.digests(table(spark, folder, "documents"))
+
+
 def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents"))
 
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_token_counts": op10_token_counts,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_personal_data": op12_personal_data,
     "op13_collocations": op13_collocations,
 }
 
