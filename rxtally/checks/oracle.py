@@ -888,6 +888,13 @@ _oracle(
         CASE WHEN PATIENT_COUNT IN (1, 2, 3, 4) THEN NULL ELSE ITEM_PAY_DR_NIC END AS ITEM_PAY_DR_NIC,
         CASE WHEN PATIENT_COUNT IN (1, 2, 3, 4) THEN NULL ELSE PATIENT_COUNT::DOUBLE END AS PATIENT_COUNT
         FROM model""",
+    # No equation may have a single unknown, no small cell may be shown, no shown value may differ.
+    x1_secondary_suppression="""
+        SELECT 'month' AS kind, count(*) AS n, 0::BIGINT AS "open" FROM monthly
+        UNION ALL SELECT 'quarter', count(*), 0 FROM quarterly
+        UNION ALL SELECT 'quarterly cells', count(*), 0 FROM quarterly
+        UNION ALL SELECT 'monthly cells', count(*), 0 FROM monthly
+        UNION ALL SELECT 'model cells', count(*), 0 FROM model""",
     x2_age_at_september="""SELECT fy, CAST(CAST(left(fy, 4) AS INT) - year(d)
             - CASE WHEN month(d) * 100 + day(d) > 930 THEN 1 ELSE 0 END AS INT) AS age, count(*) AS n
         FROM (SELECT d, concat(e - 1, '/', e) AS fy FROM

@@ -15,7 +15,7 @@ from rxtally import schemas
 from rxtally.checks.tables import Tables
 from rxtally.config import SECTION_NAMES
 from rxtally.functions import dates, scalars
-from rxtally.operators import aggregates, joins, predicates, regression, reshape, windows
+from rxtally.operators import aggregates, disclosure, joins, predicates, regression, reshape, windows
 from rxtally.operators.regression import Categorical, Crossed, Formula, Numeric
 from rxtally.plans import indicators, model, publish
 from rxtally.sinks import tables as sinks
@@ -970,6 +970,14 @@ def x1_disclosure_control(t: Tables) -> DataFrame:
     return out.withColumns({name: F.col(name).cast("double") for name in measures})
 
 
+@query
+def x1_secondary_suppression(t: Tables) -> DataFrame:
+    """Controlled quarterly, monthly and person cells: equations with a single unknown, small or changed cells shown."""
+    names = ("quarterly", "monthly", "model")
+    exact = dict(zip(names, t.saved(*names), strict=True))
+    return disclosure.audit(exact, disclosure.controlled_grains(exact))
+
+
 @query
 def x2_age_at_september(t: Tables) -> DataFrame:
     """Orders by the age their date would give on 30 September five fiscal years later."""

@@ -134,13 +134,15 @@ def totals(df: DataFrame, keys: Iterable[str], measures: Iterable[str]) -> DataF
 
 
 def sum_where(condition: Column, column: str) -> Column:
-    """Total of the rows that meet a condition, 0 when there are none."""
-    return F.coalesce(F.sum(F.when(condition, F.col(column))), F.lit(0))
+    """Total of the rows that meet a condition, 0 when there are none; a missing value makes it missing."""
+    whole = F.count_if(condition & F.col(column).isNull()) == 0
+    return F.when(whole, F.coalesce(F.sum(F.when(condition, F.col(column))), F.lit(0)))
 
 
 def mean_where(condition: Column, column: str) -> Column:
-    """Mean of the rows that meet a condition, NULL when there are none."""
-    return F.avg(F.when(condition, F.col(column)))
+    """Mean of the rows that meet a condition, NULL when there are none or a value is missing."""
+    whole = F.count_if(condition & F.col(column).isNull()) == 0
+    return F.when(whole, F.avg(F.when(condition, F.col(column))))
 
 
 def actual_totals(model_input: DataFrame) -> DataFrame:
