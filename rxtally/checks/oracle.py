@@ -905,6 +905,7 @@ _oracle(
         LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey GROUP BY 1""",
 )
 ORACLE["k2_s3_snapshot_round_trip"] = ORACLE["a1_quarterly_totals"]
+ORACLE["k2_s2_unfinished_snapshot"] = ORACLE["a2_monthly_totals"]
 ORACLE["k6_stored_indicators"] = ORACLE["q9_indicators"]
 ORACLE["k7_stored_refresh"] = ORACLE["a2_monthly_totals"]
 ORACLE["k1_materialised_table"] = ORACLE["a2_monthly_totals"]

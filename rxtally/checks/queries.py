@@ -134,12 +134,24 @@ def s9_dispensing_days(t: Tables) -> DataFrame:
 def k2_s3_snapshot_round_trip(t: Tables) -> DataFrame:
     """Quarterly totals saved in several parts beside an older snapshot, found as the newest, read back whole."""
     folder = t.new_folder()
-    sinks.save_snapshot(t.quarterly.limit(0), folder, "quarterly", t.config.train_end)
+    older = t.quarterly.filter(F.col("FINANCIAL_YEAR") < "1999")
+    sinks.save_snapshot(older, folder, "quarterly", t.config.train_end)
     sinks.save_snapshot(t.quarterly.repartition(3), folder, "quarterly", t.config.predict_end)
     path = snapshots.newest_snapshot(t.spark, folder, r"quarterly/.*\.csv$")
     return snapshots.read_delimited(t.spark, path, schemas.QUARTERLY)
 
 
+@query
+def k2_s2_unfinished_snapshot(t: Tables) -> DataFrame:
+    """The newest whole snapshot, although a newer one was begun: its parts are there, its mark is not."""
+    folder = t.new_folder()
+    sinks.save_snapshot(t.monthly.repartition(3), folder, "monthly", t.config.predict_start, "parquet")
+    begun = sinks.snapshot_path(folder, "monthly", t.config.predict_end)
+    t.monthly.filter(F.col("YEAR_MONTH") > t.config.train_end).write.parquet(begun)
+    path = snapshots.newest_snapshot(t.spark, folder, r"monthly/.*\.parquet$")
+    return t.spark.read.schema(schemas.MONTHLY).parquet(path)
+
+
 def _table_name(prefix: str) -> str:
     return f"{prefix}_{uuid4().hex}"
 

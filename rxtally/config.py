@@ -22,7 +22,8 @@ class ReleaseConfig:
     ``train_end`` splits the fit from the prediction months, ``index_origin`` is
     the month before month number one, ``chart_start`` the first month shown in
     the monthly figures and ``chart_skip_years`` the fiscal years left out of
-    the quarterly ones.
+    the quarterly ones. Cells of fewer than ``small_cell`` patients are not
+    published.
     """
 
     train_end: int
@@ -34,9 +35,9 @@ class ReleaseConfig:
     first_month: int = 201401
     sections: tuple[str, ...] = tuple(SECTION_NAMES)
     country: int = 1
-    fiscal_start: int = 4
     rate_quarters: int = 4
     levels: tuple[float, ...] = (0.95, 0.99)
+    small_cell: int = 5
 
 
 # The published December 2022 release.

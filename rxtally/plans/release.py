@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxtally.config import ReleaseConfig
-from rxtally.operators import joins, regression, windows
+from rxtally.operators import disclosure, joins, regression, windows
 from rxtally.plans import extract, indicators, model, publish
 from rxtally.session import cut_lineage
+from rxtally.sinks import manifest
 from rxtally.sinks import tables as sinks
 from rxtally.sources import snapshots
 from rxtally.sources import tables as sources
@@ -32,11 +33,15 @@ class Inputs:
 
 @dataclass
 class Release:
-    """Results by name; ``skipped`` when the warehouse holds no complete quarter, or nothing new."""
+    """Results by name; ``skipped`` when the warehouse holds no complete quarter, or nothing new.
+
+    ``tables`` are exact; ``published`` are the same after disclosure control, and what ``store`` gives out.
+    """
 
     month: int | None
     skipped: bool = False
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    published: dict[str, DataFrame] = field(default_factory=dict)
 
 
 def _of_country(organisations: DataFrame, config: ReleaseConfig) -> DataFrame:
@@ -65,27 +70,45 @@ def build(inputs: Inputs, config: ReleaseConfig, quarter: str = "FINANCIAL_QUART
     fact = sources.prescription_fact(inputs.fact, config.first_month, month)
     drugs = inputs.drugs.filter(F.col("BNF_SECTION").isin(*config.sections))
     items = joins.star_join(fact, time, _of_country(inputs.organisations, config), drugs, inputs.ages)
-    return Release(month, tables=_tables(extract.saved_grains(items, time), inputs.days, config))
+    return _release(month, extract.saved_grains(items, time), inputs.days, config)
 
 
 def from_snapshots(spark: SparkSession, folder: str, days: DataFrame, config: ReleaseConfig) -> Release:
-    """The same tables from the newest stored aggregates under ``folder``, without a look at the items."""
+    """The same tables from the stored aggregates of the newest finished release, without a look at the items."""
+    stored = {row["table"]: row for row in manifest.tables(spark, manifest.newest_release(spark, folder)).collect()}
     grains = {}
     for name, schema in extract.GRAINS.items():
-        path = snapshots.newest_snapshot(spark, folder, rf"(^|/){name}/.*\.csv$")
-        grains[name] = snapshots.read_delimited(spark, path, schema)
+        path, form = stored[name]["path"], stored[name]["form"]
+        csv = form == "csv"
+        grains[name] = snapshots.read_delimited(spark, path, schema) if csv else spark.read.schema(schema).parquet(path)
     month = grains["monthly"].agg(F.max("YEAR_MONTH")).first()[0]
-    return Release(month, tables=_tables(grains, days, config))
+    return _release(month, grains, days, config)
 
 
-def _tables(grains: dict[str, DataFrame], days: DataFrame, config: ReleaseConfig) -> dict[str, DataFrame]:
-    """Every published table, from the three stored aggregates."""
-    quarterly, monthly, by_person = grains["quarterly"], grains["monthly"], grains["model"]
-    series = publish.monthly_series(monthly, days)
-
-    banded = cut_lineage(model.banded_input(by_person, days, config))
+def _release(month: int, grains: dict[str, DataFrame], days: DataFrame, config: ReleaseConfig) -> Release:
+    banded = cut_lineage(model.banded_input(grains["model"], days, config))
     models = model.fit_release(banded, config)
     expected = cut_lineage(model.actual_and_expected(banded, models, config))
+    fitted = {
+        "model_statistics": regression.fit_statistics(models, model.BY),
+        "model_coefficients": regression.coefficient_table(models, model.BY),
+    }
+    control = disclosure.control(grains, config.small_cell)
+    shown = {name: cut_lineage(control.table(grains[name], name)) for name in grains}
+    shown_expected = control.table(expected, "known", ["total_items"])
+    return Release(
+        month,
+        tables={**_tables(grains, expected, days, config), **fitted},
+        published={**_tables(shown, shown_expected, days, config), **fitted},
+    )
+
+
+def _tables(
+    grains: dict[str, DataFrame], expected: DataFrame, days: DataFrame, config: ReleaseConfig
+) -> dict[str, DataFrame]:
+    """Every published table, from the three stored aggregates and the expected items."""
+    quarterly, monthly = grains["quarterly"], grains["monthly"]
+    series = publish.monthly_series(monthly, days)
     return {
         **grains,
         "identification_text": publish.identification_text(quarterly, config.rate_quarters),
@@ -95,8 +118,6 @@ def _tables(grains: dict[str, DataFrame], days: DataFrame, config: ReleaseConfig
         "monthly_figures": publish.monthly_figures(series, config),
         "published_monthly": publish.published_monthly(monthly),
         "published_quarterly": publish.published_quarterly(quarterly),
-        "model_statistics": regression.fit_statistics(models, model.BY),
-        "model_coefficients": regression.coefficient_table(models, model.BY),
         "expected": expected,
         "expected_figures": model.expected_figures(expected, config),
         "expected_totals": model.expected_totals(expected, config),
@@ -120,28 +141,39 @@ _FILES = (
 )
 
 
-def store(release: Release, folder: str, prefix: str) -> None:
-    """Write snapshots, published tables, the data dictionary, result files, indicators and views of a release."""
+def store(release: Release, folder: str, prefix: str, form: str = "csv") -> str | None:
+    """Write a release into a folder of its own, its published tables and views; returns the folder.
+
+    The exact aggregates are stored for later runs; everything else that is written has passed disclosure control. The
+    list of all tables comes last, and readers take no release without it, so a run that ends half-way is not seen.
+    """
     if release.skipped:
-        return
-    month = release.month
-    for name in extract.GRAINS:
-        sinks.save_snapshot(release.tables[name], folder, name, month)
-    for name, title in _TITLES.items():
-        sinks.publish_table(
-            release.tables[name],
-            sinks.stamped(f"{prefix}_{name}", month),
-            title,
-            _NOTES,
-            publish.DATA_DICTIONARY,
-        )
-    indicators_ = release.tables["indicators"]
-    dictionary = publish.data_dictionary(indicators_.sparkSession)
-    sinks.materialise(dictionary, f"{prefix}_data_dictionary", month)
+        return None
+    month, shown = release.month, release.published
+    spark, target = shown["indicators"].sparkSession, manifest.new_release(folder, release.month)
+    stored = []
+
+    def noted(name: str, path: str, form_: str, table: DataFrame) -> None:
+        stored.append((name, path, form_, table.count(), table.schema.json()))
+
+    for name, schema in extract.GRAINS.items():
+        path = sinks.save_snapshot(release.tables[name], target, name, month, form)
+        back = snapshots.read_delimited(spark, path, schema) if form == "csv" else spark.read.schema(schema).parquet(path)
+        noted(name, path, form, back)
     for name in _FILES:
-        sinks.save_csv(release.tables[name], f"{folder}/{name}_{month}")
-    path = f"{folder}/indicators_{month}"
-    sinks.save_indicators(indicators_, path)
-    saved = sinks.read_indicators(indicators_.sparkSession, path)
+        path = f"{target}/{name}_{month}"
+        sinks.save_csv(shown[name], path)
+        noted(name, path, "csv", snapshots.read_delimited(spark, path, shown[name].schema))
+    path = f"{target}/indicators_{month}"
+    sinks.save_indicators(shown["indicators"], path)
+    saved = sinks.read_indicators(spark, path)
+    noted("indicators", path, "parquet", saved)
+    for name, title in _TITLES.items():
+        table = sinks.stamped(f"{prefix}_{name}", month)
+        noted(name, table, "table", sinks.publish_table(shown[name], table, title, _NOTES, publish.DATA_DICTIONARY))
+    dictionary = sinks.materialise(publish.data_dictionary(spark), f"{prefix}_data_dictionary", month)
+    noted("data_dictionary", sinks.stamped(f"{prefix}_data_dictionary", month), "table", dictionary)
     codes = [row["SECTION_CODE"] for row in saved.select("SECTION_CODE").distinct().collect()]
     sinks.register_indicators(saved, sorted(codes))
+    manifest.finish(spark, target, stored)
+    return target

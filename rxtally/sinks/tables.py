@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxtally import schemas
+from rxtally.sinks import manifest
 
 
 def stamped(name: str, month: int) -> str:
@@ -39,13 +40,14 @@ def snapshot_path(folder: str, name: str, month: int) -> str:
 
 
 def save_snapshot(df: DataFrame, folder: str, name: str, month: int, form: str = "csv") -> str:
-    """Write an aggregate under ``name/snapshot=YYYYMM``; returns the path."""
+    """Write an aggregate under ``name/snapshot=YYYYMM``, then mark it as finished; returns the path."""
     path = snapshot_path(folder, name, month)
     writer = df.write.mode("overwrite")
     if form == "csv":
         writer.option("header", "true").csv(path)
     else:
         writer.parquet(path)
+    manifest.mark(df, path, form)
     return path
 
 

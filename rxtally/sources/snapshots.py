@@ -26,18 +26,23 @@ def newest_snapshot(spark: SparkSession, folder: str, pattern: str) -> str:
     """Path of the newest match; the later name wins between equal times.
 
     A snapshot that Spark wrote is a folder of part files: the folder is what is found, so that all its parts are
-    read. A single file is a snapshot of its own.
+    read, and only if the file that marks it as finished lies beside it. A single file is a snapshot of its own.
     """
-    snapshot = F.regexp_replace("path", r"/part-[^/]*$", "")
+    parts = r"/part-[^/]*$"
+    files = list_snapshots(spark, folder, pattern).withColumn("snapshot", F.regexp_replace("path", parts, ""))
+    marks = list_snapshots(spark, folder, r"\.finished/part-[^/]*$").select(
+        F.regexp_replace("path", r"\.finished/part-[^/]*$", "").alias("whole")
+    )
+    marked = files.join(marks.distinct(), F.col("snapshot") == F.col("whole"), "left")
     found = (
-        list_snapshots(spark, folder, pattern)
-        .groupBy(snapshot.alias("path"))
+        marked.filter((F.col("path") == F.col("snapshot")) | F.col("whole").isNotNull())
+        .groupBy("snapshot")
         .agg(F.max("modificationTime").alias("written"))
-        .agg(F.max_by("path", F.struct("written", "path")).alias("path"))
+        .agg(F.max_by("snapshot", F.struct("written", "snapshot")).alias("path"))
     )
     path = found.first()["path"]
     if path is None:
-        raise FileNotFoundError(f"no file under {folder} matches {pattern}")
+        raise FileNotFoundError(f"no finished file under {folder} matches {pattern}")
     return path
 
 

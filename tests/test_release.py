@@ -4,8 +4,9 @@ from helpers import drugs
 from pyspark.sql import functions as F
 
 from rxtally.checks.tables import Tables
-from rxtally.operators import joins
+from rxtally.operators import disclosure, joins
 from rxtally.plans import publish, release
+from rxtally.sinks import manifest
 from rxtally.sources import calendar, driver_tables, snapshots
 from rxtally import schemas
 
@@ -32,6 +33,23 @@ def test_release_from_tables_to_files(spark, sf_dir, tmp_path):
     assert spark.table("stats_data_dictionary_200106").count() == len(publish.DATA_DICTIONARY) and spark.table("table_0403").count() == 25
     assert spark.table("stats_identification_200106").count() == 5
 
+    audit = disclosure.audit(done.tables, done.published)
+    assert audit.filter("open > 0").isEmpty()
+    shown = spark.table("stats_published_monthly_200106").withColumnRenamed("Total Items", "n")
+    assert shown.filter("n is null").count() == done.published["monthly"].filter("ITEM_COUNT is null").count()
+
+    # A run that ended before its list is not read; a second one of the month ends well and is.
+    first = manifest.newest_release(spark, str(tmp_path))
+    done.tables["monthly"].write.parquet(f"{manifest.new_release(str(tmp_path), 200107)}/monthly/snapshot=200107")
+    assert manifest.newest_release(spark, str(tmp_path)) == first
+    second = release.store(done, str(tmp_path), "stats", "parquet")
+    newest = manifest.newest_release(spark, str(tmp_path))
+    assert newest.endswith(second) and newest != first
+    listed = {r["table"]: r["rows"] for r in manifest.tables(spark, newest).collect()}
+    assert listed["indicators"] == 125 and listed["monthly"] == monthly.count() and len(listed) == 17
+    later = release.from_snapshots(spark, str(tmp_path), t.days, t.config)
+    assert later.tables["monthly"].exceptAll(monthly).count() == 0
+
     again = release.build(
         release.Inputs(t.fact, t.time, t.org, t.drug, t.age, t.days, history=done.tables["monthly"]),
         t.config,

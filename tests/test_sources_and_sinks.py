@@ -53,6 +53,15 @@ def test_snapshot_round_trip(spark, tmp_path):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, df.collect()))
 
 
+def test_a_snapshot_without_its_mark_is_not_found(spark, tmp_path):
+    df = monthly(spark, [202210])
+    whole = sinks.save_snapshot(df, str(tmp_path), "monthly", 202210, "parquet")
+    df.repartition(2).write.parquet(sinks.snapshot_path(str(tmp_path), "monthly", 202211))
+    assert snapshots.newest_snapshot(spark, str(tmp_path), r"monthly/.*\.parquet$").endswith(whole)
+    with pytest.raises(FileNotFoundError):
+        snapshots.newest_snapshot(spark, str(tmp_path), "snapshot=202211")
+
+
 def test_materialise_replaces_the_month_stamped_table(spark):
     sinks.materialise(spark.range(3).toDF("x"), "tdim", 202212)
     out = sinks.materialise(spark.range(5).toDF("x"), "tdim", 202212)
