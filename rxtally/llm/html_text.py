@@ -8,7 +8,8 @@ threshold above which other subtrees belong to it as well. Where the largest sum
 nearest one is taken whole in place of that node; a mark elsewhere has no say.
 
 Elements that by their name, role or class are menus, notices, adverts, forms, comments and the like are cut out of
-the tree first: a short advert without links has a high density, and no density tells it from a paragraph.
+the tree first: a short advert without links has a high density, and no density tells it from a paragraph. One that
+holds nearly all text, as a form around a whole page, or the page's main element, is not cut (``without_asides``).
 
 Defined results: a null, empty or tagless page gives its text, decoded (an empty text for null). Unclosed and cut-off
 tags end with the page. Every page is one row, repeated rows and null page_ids included. Pages are read in one pass,
@@ -17,6 +18,7 @@ whole; nothing but a row's tree is kept.
 
 from __future__ import annotations
 
+import heapq
 import html
 import math
 import re
@@ -48,17 +50,25 @@ ENDS = {
     "th": ({"td", "th"}, {"table", "tr"}),
     "option": ({"option"}, {"select"}),
 }
-CUT_OUT = frozenset(
-    "aside audio button canvas dialog embed footer form head iframe input map menu nav noscript object script select "
-    "style svg template textarea title video".split()
+# What no reader sees, or nobody reads as text.
+HIDDEN = frozenset(
+    "audio button canvas embed head iframe input map noscript object script select style svg template textarea title "
+    "video".split()
 )
+# Elements, roles and class names of what stands around a text.
+ASIDE = frozenset("aside dialog footer menu nav".split())
 CUT_ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
-CUT_CLASS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|masthead|menu|modal|"
+CUT_NAME = re.compile(
+    r"(?:[a-z]+[-_])?(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|masthead|menu|modal|"
     r"nav\w*|newsletter|notices?|pager|pagination|popup|promo\w*|related|replies|respond|share|sharing|sidebar|"
-    r"social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])",
+    r"social|sponsor\w*|subscribe|toolbar|widget)"
+    r"(?:[-_](?:articles?|area|bar|block|bottom|box|container|content|inner|items?|left|links?|list|outer|overlay|"
+    r"panel|posts?|right|section|slot|thread|top|unit|wrap|wrapper|[0-9]+))*",
     re.IGNORECASE,
 )
+COMMENTS = re.compile(r"comments?|disqus|replies|respond", re.IGNORECASE)
+PROSE = frozenset("article h1 h2 h3 p".split())
+DOMINANT = 4  # times the text around it, a part that is cut by its name has at least to stay
 # Comments, declarations and tags; each may be cut off by the end of the page. A quote opens a value after '=' only, if
 # it is closed anywhere; any other quote is a character, and the tag ends at the next '>'.
 TOKEN = re.compile(
@@ -66,7 +76,7 @@ TOKEN = re.compile(
     r"<(/?)([a-zA-Z][^\s/>]*)((?:=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*+)|[^>])*+)(?:>|\Z)",
     re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"(class|id|role|hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s=>\"'/][^\s=>/]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 BLANK = re.compile(r"\s+")
 
 
@@ -76,6 +86,8 @@ class Node:
     parent: Node | None = None
     parts: list[Node | str] = field(default_factory=list)
     cut: bool = False
+    aside: bool = False  # stands around a text, by its name: goes unless it holds the text
+    lifts: bool = False  # may hold the text nonetheless
     chars: int = 0
     tags: int = 0
     link_chars: int = 0
@@ -83,30 +95,76 @@ class Node:
     density: float = 0.0
 
 
-def _is_cut(name: str, attributes: str, parents: list[Node]) -> bool:
-    if name in CUT_OUT:
-        return True
-    if name == "header":
-        return not any(p.name in ("article", "main") for p in parents)
+def _attributes(found: str) -> dict[str, str]:
+    """Whole names with their values, the first of equal names."""
+    out: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(found):
+        out.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return out
+
+
+def _marked(node: Node, attributes: str, in_article: bool) -> None:
+    """Say whether a node is unseen, stands around a text, and may hold the text although its name says otherwise."""
+    name = node.name
+    node.cut = node.cut or name in HIDDEN
+    node.aside = name in ASIDE or name == "form" or name == "header" and not in_article
+    node.lifts = name == "form"
     if not attributes or name in ("html", "body", "article", "main"):
-        return False
-    for m in ATTRIBUTE.finditer(attributes):
-        kind, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if kind == "hidden" or kind == "role" and value.lower() in CUT_ROLES:
-            return True
-        if kind in ("class", "id") and CUT_CLASS.search(value):
-            return True
-    return False
+        return
+    own = _attributes(attributes)
+    node.cut = node.cut or "hidden" in own
+    if own.get("role", "").lower() in CUT_ROLES:
+        node.aside = node.lifts = True
+    names = [n for n in f"{own.get('class', '')} {own.get('id', '')}".split() if CUT_NAME.fullmatch(n)]
+    if names:
+        node.lifts = (node.lifts or not node.aside) and not any(map(COMMENTS.search, names))
+        node.aside = True
+
+
+class _Open:
+    """The open elements, with the places of each name, so that a name that is not open is never looked for."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.places = [root], {}
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.name, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def close(self, place: int) -> None:
+        while len(self.nodes) > place:
+            self.places[self.nodes.pop().name].pop()
+
+    def last(self, names) -> int:
+        """The place of the innermost open element of these names; 0 if there is none."""
+        return max((own[-1] for name in names if (own := self.places.get(name))), default=0)
+
+    def end(self, name: str) -> None:
+        """What an opening tag of that name ends."""
+        if name in CLOSES_P:
+            ended, within = {"p"}, WITHIN_P
+        elif name in ENDS:
+            ended, within = ENDS[name]
+        else:
+            return
+        place = self.last(ended)
+        if place and place > (bound := self.last(within)):
+            if name == "tr":  # a cell goes with its row
+                place = min(p for e in ended for p in self.places.get(e, ()) if p > bound)
+            self.close(place)
+
+
+WITHIN_P = CLOSES_P - {"p"} | {"td", "th", "li"}
 
 
 def parse(page: str) -> Node:
-    """The page's tree, without what is cut out."""
+    """The page's tree, without what no reader sees and what stands around the text."""
     root = Node("body")
-    stack, at = [root], 0
+    open_, at = _Open(root), 0
 
     def text(piece: str) -> None:
-        if piece and not stack[-1].cut:
-            stack[-1].parts.append(html.unescape(piece))
+        if piece and not open_.nodes[-1].cut:
+            open_.nodes[-1].parts.append(html.unescape(piece))
 
     while m := TOKEN.search(page, at):
         text(page[at : m.start()])
@@ -115,24 +173,13 @@ def parse(page: str) -> Node:
         if not name or name in ("html", "body"):
             continue
         if m[1]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].name == name:
-                    del stack[depth:]
-                    break
+            if place := open_.last((name,)):
+                open_.close(place)
             continue
-        if name in CLOSES_P:
-            ended, within = {"p"}, CLOSES_P - {"p"} | {"td", "th", "li"}
-        else:
-            ended, within = ENDS.get(name, ((), ()))
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].name in within:
-                break
-            if stack[depth].name in ended:
-                del stack[depth:]
-                if name != "tr":
-                    break
-        parent = stack[-1]
-        node = Node(name, parent, cut=parent.cut or _is_cut(name, m[3], stack))
+        open_.end(name)
+        parent = open_.nodes[-1]
+        node = Node(name, parent, cut=parent.cut)
+        _marked(node, m[3], bool(open_.last(("article", "main"))))
         if not node.cut:
             parent.parts.append(node)
         if name in RAW:
@@ -141,11 +188,63 @@ def parse(page: str) -> Node:
                 node.parts.append(html.unescape(page[at : end.start() if end else len(page)]))
             at = end.end() if end else len(page)
         elif name not in VOID and not m[3].endswith("/"):
-            stack.append(node)
+            open_.push(node)
     text(page[at:])
+    without_asides(root)
     return root
 
 
+def without_asides(root: Node) -> None:
+    """Take out what stands around the text; a part that holds the text stays, and what is in it is looked at alone.
+
+    A part holds the text if it has the page's ``main`` element, or paragraphs and headings, and ``DOMINANT`` times what
+    is outside all such parts: a form or a widget around a whole page.
+    """
+    nodes = _in_order(root)
+    if not any(n.aside for n in nodes):
+        return
+    chars, prose, main = {}, {}, {}
+    for n in reversed(nodes):
+        inner = [p for p in n.parts if isinstance(p, Node)]
+        own = sum(len(BLANK.sub(" ", p).strip()) for p in n.parts if isinstance(p, str))
+        chars[id(n)] = own + sum(chars[id(p)] for p in inner)
+        prose[id(n)] = (n.name in PROSE) + sum(prose[id(p)] for p in inner)
+        main[id(n)] = n.name == "main" or any(main[id(p)] for p in inner)
+
+    def topmost(start: Node) -> list[Node]:
+        found, waiting = [], [p for p in start.parts if isinstance(p, Node)]
+        while waiting:
+            n = waiting.pop()
+            if n.aside:
+                found.append(n)
+            else:
+                waiting.extend(p for p in n.parts if isinstance(p, Node))
+        return found
+
+    parts = topmost(root)
+    outside = chars[id(root)] - sum(chars[id(n)] for n in parts)
+    heap = [(-chars[id(n)], k, n) for k, n in enumerate(parts)]
+    heapq.heapify(heap)
+    gone, count = [], len(parts)
+    while heap:
+        _, _, n = heapq.heappop(heap)
+        size = chars[id(n)]
+        if main[id(n)] or n.lifts and prose[id(n)] >= 2 and size > DOMINANT * outside:
+            n.aside = False
+            inner = topmost(n)
+            outside += size - sum(chars[id(p)] for p in inner)
+            for p in inner:
+                count += 1
+                heapq.heappush(heap, (-chars[id(p)], count, p))
+        else:
+            gone.append(n)
+    out: dict[int, set[int]] = {}
+    for n in gone:
+        out.setdefault(id(n.parent), set()).add(id(n))
+    for parent in {id(n.parent): n.parent for n in gone}.values():
+        parent.parts = [p for p in parent.parts if isinstance(p, str) or id(p) not in out[id(parent)]]
+
+
 def _in_order(root: Node) -> list[Node]:
     """All nodes, parents first; no recursion, as pages may be nested very deeply."""
     nodes, waiting = [], [root]

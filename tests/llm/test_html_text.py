@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,3 +88,37 @@ def test_driver_pages(spark):
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "page_id bigint, url string, html string")
     assert extracted(frame, "page_id", "url").collect() == []
+
+
+ARTICLE = "<h1>Title of it</h1><p>" + "A sentence with some words. " * 9 + "</p><p>" + "Another one of them here. " * 9 + "</p>"
+LINES = "\n".join(["Title of it", ("A sentence with some words. " * 9).strip(), ("Another one of them here. " * 9).strip()])
+MENU = "<nav><a href=x>One</a><a href=y>Two</a></nav><footer>Imprint and contact</footer>"
+
+
+def test_wrapped_and_oddly_named_pages_keep_their_text():
+    for page in [
+        f"<body><form id=aspnetForm>{MENU}{ARTICLE}</form>",
+        f"<body><form><div class=content>{ARTICLE}</div><div class=comments><p>First!</p><p>Me too, reader.</p></div></form>",
+        f"<body><div id=widget>{MENU}{ARTICLE}</div>",
+        f"<body>{MENU}<div style='overflow:hidden'>{ARTICLE}</div>",
+        f"<body>{MENU}<div title='hidden gems' aria-hidden='false' data-id=share data-class='ad'>{ARTICLE}</div>",
+        f"<body>{MENU}<div class='related-work'>{ARTICLE}</div>",
+        f"<body><div class=sidebar>{MENU}<main>{ARTICLE}</main></div>",
+    ]:
+        assert main_text(page) == LINES, page
+    for cut in ["<div hidden>", "<div class='post-comments'>", "<div id=cookie-notice>", "<form>", "<div role=banner>", "<aside>"]:
+        assert main_text(f"<body>{ARTICLE}{cut}<p>not this</p></body>") == LINES, cut
+
+
+def test_unbalanced_pages_take_time_by_their_length():
+    start = time.perf_counter()
+    for piece in ("<b></i>", "<b><p></p>", "<ul><li><b>", "<div><b></p>", "<li><ul>", "<tr><td>", "<form><nav>"):
+        main_text(piece * 60_000)
+    assert time.perf_counter() - start < 60
+
+
+def test_repeated_rows_and_null_ids(spark):
+    page = f"<body>{ARTICLE}"
+    frame = spark.createDataFrame([(1, page), (1, page), (None, page), (2, None)], "page_id bigint, html string")
+    found = sorted(map(tuple, extracted(frame, "page_id").collect()), key=repr)
+    assert found == sorted([(1, LINES, len(LINES))] * 2 + [(None, LINES, len(LINES)), (2, "", 0)], key=repr)
