@@ -35,6 +35,14 @@ def mapped(path: str) -> np.ndarray:
     return np.load(path, mmap_mode="r")
 
 
+def save_narrow(folder: str, name: str, part: int, numbers: np.ndarray) -> None:
+    """Small counts in one byte each; those of 255 and more lie in a list of their own, by place."""
+    flat = numbers.ravel()
+    large = np.flatnonzero(flat >= 255)
+    save(f"{folder}/{name}-{part}.npy", np.minimum(numbers, 255).astype(np.uint8))
+    save(f"{folder}/{name}-large-{part}.npy", np.stack([large, flat[large]]).astype(np.int64))
+
+
 @dataclass(frozen=True)
 class Parts:
     """Arrays of a folder, one file of each name for every part that has rows.
@@ -52,6 +60,17 @@ class Parts:
     def __call__(self, name: str, part: int) -> np.ndarray:
         return mapped(f"{self.folder}/{name}-{part}.npy") if self.sizes[part] else np.zeros(0, np.int64)
 
+    def narrow(self, name: str, part: int, places: np.ndarray) -> np.ndarray:
+        """Rows of what ``save_narrow`` wrote; ``places`` are rows of a part that has some."""
+        small, large = self(name, part), mapped(f"{self.folder}/{name}-large-{part}.npy")
+        out = small[places].astype(np.int64)
+        if large.shape[1]:
+            width = small.shape[1] if small.ndim > 1 else 1
+            flat, at = out.reshape(-1), (places[:, None] * width + np.arange(width)).ravel()
+            marked = np.flatnonzero(flat == 255)
+            flat[marked] = large[1][np.searchsorted(large[0], at[marked])]
+        return out
+
     @property
     def offsets(self) -> np.ndarray:
         return np.concatenate([[0], np.cumsum(self.sizes)]).astype(np.int64)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rxtally.llm.arrays import mapped, pack, save, unpack
+from rxtally.llm.arrays import Parts, found, pack, save, save_narrow, sizes_of, unpack
 from rxtally.llm.storage import mounted_path, shared_folder
 from rxtally.llm.text import crc_remainder, lowered, words
 
@@ -115,14 +115,16 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 class Vocabulary:
     """Sorted arrays of word hashes by part; a word's number is its place in all of them."""
 
-    folder: str
-    parts: int
-    offsets: tuple[int, ...]
+    files: Parts
     tokens: int
 
+    @property
+    def parts(self) -> int:
+        return len(self.files)
+
     @property
     def size(self) -> int:
-        return self.offsets[-1]
+        return sum(self.files.sizes)
 
     @property
     def unknown(self) -> int:
@@ -139,20 +141,12 @@ class Vocabulary:
         bounds = np.searchsorted(part_of(distinct, self.parts), np.arange(self.parts + 1))
         for p in np.flatnonzero(np.diff(bounds)):
             own = slice(bounds[p], bounds[p + 1])
-            hit, place = found(mapped(f"{self.folder}/words-{p}.npy"), distinct[own])
-            ids[own][hit] = place[hit] + self.offsets[p]
-            counts[own][hit] = mapped(f"{self.folder}/word-counts-{p}.npy")[place[hit]]
+            hit, place = found(self.files("words", p), distinct[own])
+            ids[own][hit] = place[hit] + self.files.offsets[p]
+            counts[own][hit] = self.files("word-counts", p)[place[hit]]
         return ids[back], counts[back]
 
 
-def found(known: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which of the sorted ``asked`` are in the sorted ``known``, and where."""
-    if not len(known):
-        return np.zeros(len(asked), bool), np.zeros(len(asked), np.int64)
-    place = np.minimum(np.searchsorted(known, asked), len(known) - 1)
-    return known[place] == asked, place
-
-
 def count_words(documents: DataFrame, folder: str, parts: int) -> Vocabulary:
     # An outer explode: an inner one would have Spark test the size of the array first, which splits the text twice.
     exploded = documents.select(F.explode_outer(token_hashes(F.col("text"))).alias("hash"))
@@ -169,10 +163,8 @@ def count_words(documents: DataFrame, folder: str, parts: int) -> Vocabulary:
         return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "size": [len(n)], "tokens": [int(n.sum())]})
 
     made = counts.groupBy("part").applyInArrow(write, "part int, size bigint, tokens bigint").collect()
-    sizes = np.zeros(parts + 1, np.int64)
-    for row in made:
-        sizes[row["part"] + 1] = row["size"]
-    return Vocabulary(folder, parts, tuple(np.cumsum(sizes).tolist()), sum(row["tokens"] for row in made))
+    sizes = sizes_of([(row["part"], row["size"]) for row in made], parts)
+    return Vocabulary(Parts(folder, sizes), sum(row["tokens"] for row in made))
 
 
 def pieces(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -225,9 +217,9 @@ def write_order(part: int, rows: list[list[bytes]], folder: str, order: int, par
     keys = gram_hash(columns)
     place = np.argsort(keys)
     save(f"{folder}/grams-{order}-{part}.npy", keys[place])
-    save(f"{folder}/counts-{order}-{part}.npy", counts[place].astype(np.uint32 if counts.max() < 2**32 else np.int64))
+    save_narrow(folder, f"counts-{order}", part, counts[place])
     seen = np.bincount(np.minimum(counts, 5), minlength=6)[1:5]
-    out = [(-1, "seen", [seen.astype(np.int64).tobytes()])]
+    out = [(part, "seen", [seen.astype(np.int64).tobytes(), np.int64(len(counts)).tobytes()])]
     context = gram_hash(columns[:-1]) if order > 1 else np.zeros(len(counts), np.uint64)
     groups = [counts, counts == 1, counts == 2, counts > 2]
     by = np.argsort(context, kind="stable")
@@ -241,14 +233,15 @@ def write_order(part: int, rows: list[list[bytes]], folder: str, order: int, par
     yield _batch(out)
 
 
-def write_contexts(part: int, rows: list[list[bytes]], folder: str, order: int) -> None:
+def write_contexts(part: int, rows: list[list[bytes]], folder: str, order: int) -> int:
     merged = unblobbed(rows)
     order_by = np.argsort(merged[0].view(np.uint64), kind="stable")
     keys = merged[0].view(np.uint64)[order_by]
     heads = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     sums = np.stack([np.add.reduceat(c[order_by], heads) for c in merged[1:]], axis=1)
     save(f"{folder}/contexts-{order}-{part}.npy", keys[heads])
-    save(f"{folder}/totals-{order}-{part}.npy", sums)
+    save_narrow(folder, f"totals-{order}", part, sums)
+    return len(heads)
 
 
 @dataclass(frozen=True)
@@ -256,17 +249,21 @@ class Model:
     vocabulary: Vocabulary
     order: int
     discounts: tuple[tuple[float, float, float, float], ...]  # by order from 1, for counts of 0, 1, 2 and more
+    grams: tuple[Parts, ...]  # the files of each order's n-grams and contexts
+    contexts: tuple[Parts, ...]
 
     def _counts(self, columns: list[np.ndarray]) -> np.ndarray:
-        folder, n = self.vocabulary.folder, len(columns)
+        n = len(columns)
+        files = self.grams[n - 1]
         part, keys = gram_part(columns, self.vocabulary.parts), gram_hash(columns)
         order = np.lexsort((keys, part))
         keys, out = keys[order], np.zeros(len(keys), np.int64)
         bounds = np.searchsorted(part[order], np.arange(self.vocabulary.parts + 1))
         for p in np.flatnonzero(np.diff(bounds)):
             own = slice(bounds[p], bounds[p + 1])
-            hit, place = found(mapped(f"{folder}/grams-{n}-{p}.npy"), keys[own])
-            out[order[own][hit]] = mapped(f"{folder}/counts-{n}-{p}.npy")[place[hit]]
+            hit, place = found(files(f"grams-{n}", p), keys[own])
+            if hit.any():
+                out[order[own][hit]] = files.narrow(f"counts-{n}", p, place[hit])
         return out
 
     def _totals(self, context: np.ndarray, order: int) -> np.ndarray:
@@ -275,9 +272,9 @@ class Model:
         bounds = np.searchsorted(part_of(distinct, self.vocabulary.parts), np.arange(self.vocabulary.parts + 1))
         for p in np.flatnonzero(np.diff(bounds)):
             own = slice(bounds[p], bounds[p + 1])
-            hit, place = found(mapped(f"{self.vocabulary.folder}/contexts-{order}-{p}.npy"), distinct[own])
+            hit, place = found(self.contexts[order - 1](f"contexts-{order}", p), distinct[own])
             if hit.any():
-                out[own][hit] = mapped(f"{self.vocabulary.folder}/totals-{order}-{p}.npy")[place[hit]]
+                out[own][hit] = self.contexts[order - 1].narrow(f"totals-{order}", p, place[hit])
         return out[back]
 
     def probabilities(self, columns: list[np.ndarray]) -> np.ndarray:
@@ -295,13 +292,17 @@ class Model:
 
 
 def discounts(seen: np.ndarray) -> tuple[float, float, float, float]:
-    """Modified Kneser-Ney discounts from the numbers of n-grams seen once to four times."""
+    """Modified Kneser-Ney discounts from the numbers of n-grams seen once to four times.
+
+    Every discount lies above 0, so that each context leaves some weight to the lower order. Where an estimate does not,
+    as in tables of many copies, one absolute discount takes the place of all three.
+    """
     n1, n2, n3, n4 = (float(x) for x in seen)
     if not (n1 and n2 and n3):
         return 0.0, 0.5, 0.5, 0.5  # too few n-grams to estimate from
     y = n1 / (n1 + 2 * n2)
     raw = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3)
-    return 0.0, *(min(max(d, 0.0), float(k)) for k, d in enumerate(raw, 1))
+    return (0.0, *(min(d, float(k)) for k, d in enumerate(raw, 1))) if min(raw) > 0 else (0.0, y, y, y)
 
 
 def _writers(folder: str, order: int, parts: int):
@@ -310,8 +311,8 @@ def _writers(folder: str, order: int, parts: int):
         return pa.Table.from_batches(write_order(key[0].as_py(), rows, folder, order, parts))
 
     def contexts(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        write_contexts(key[0].as_py(), table.column("columns").to_pylist(), folder, order)
-        return pa.table({"done": [1]})
+        size = write_contexts(key[0].as_py(), table.column("columns").to_pylist(), folder, order)
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "size": [size]})
 
     return grams, contexts
 
@@ -325,16 +326,18 @@ def train(documents: DataFrame, order: int = ORDER) -> Model:
     vocabulary = count_words(documents, folder, parts)
     hashes = documents.select(token_hashes(F.col("text")).alias("hashes"))
     grams = hashes.mapInArrow(lambda b: gather(b, vocabulary, order), SHAPE)
-    found_discounts = []
+    found_discounts, gram_files, context_files = [], [], []
     for n in range(order, 0, -1):
         made, write, total = f"{folder}/made-{n}", *_writers(folder, n, parts)
         grams.filter("kind = 'grams'").groupBy("part").applyInArrow(write, SHAPE).write.parquet(f"file://{made}")
         made = spark.read.schema(SHAPE).parquet(f"file://{made}")
-        seen = made.filter("kind = 'seen'").select("columns").collect()  # one short row from each part
-        found_discounts.insert(0, discounts(sum((np.frombuffer(r[0][0], np.int64) for r in seen), np.zeros(4, np.int64))))
-        made.filter("kind = 'contexts'").groupBy("part").applyInArrow(total, "done bigint").agg(F.sum("done")).collect()
+        seen = made.filter("kind = 'seen'").select("part", "columns").collect()  # one short row from each part
+        found_discounts.insert(0, discounts(sum((np.frombuffer(r[1][0], np.int64) for r in seen), np.zeros(4, np.int64))))
+        gram_files.insert(0, Parts(folder, sizes_of([(r[0], np.frombuffer(r[1][1], np.int64)[0]) for r in seen], parts)))
+        totals = made.filter("kind = 'contexts'").groupBy("part").applyInArrow(total, "part int, size bigint").collect()
+        context_files.insert(0, Parts(folder, sizes_of(totals, parts)))
         grams = made
-    return Model(vocabulary, order, tuple(found_discounts))
+    return Model(vocabulary, order, tuple(found_discounts), tuple(gram_files), tuple(context_files))
 
 
 def scored(documents: DataFrame, model: Model) -> DataFrame:

@@ -32,9 +32,15 @@ def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
 
 
 def mounted_path(folder: str) -> str:
-    """The local path of a shared folder that is mounted on every machine, for memory-mapped files."""
+    """The local path of a shared folder that is mounted on every machine, for memory-mapped files.
+
+    A path without a scheme belongs to the default file system, which must then be the machines' own.
+    """
     if folder.startswith("file:"):
         return "/" + folder[len("file:") :].lstrip("/")
     if folder.startswith("/"):
-        return folder
+        spark = SparkSession.active()
+        default = spark.conf.get("spark.hadoop.fs.defaultFS", None) or spark.conf.get("fs.defaultFS", "file:///")
+        if default.startswith("file:"):
+            return folder
     raise ValueError(f"memory-mapped files need a mounted shared folder (file:), not {folder}")

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rxtally.llm.arrays import mapped, pack, save, unpack
+from rxtally.llm.arrays import Parts, pack, save, sizes_of, unpack
 from rxtally.llm.collection_bwt import window_classes
 from rxtally.llm.storage import mounted_path, shared_folder
 
@@ -200,23 +200,24 @@ def repeated(table: pa.Table) -> np.ndarray:
     return np.unique(key[twice | (entries & 1).astype(bool)])
 
 
-def shared_runs(runs: Runs, folder: str, parts: int) -> np.ndarray:
+def shared_runs(runs: Runs, shared: Parts) -> np.ndarray:
     """Which runs have an anchor that several documents have."""
     order = np.argsort(runs.key, kind="stable")
     key = runs.key[order].astype(np.int64)
-    bounds = np.searchsorted(part_of(runs.key[order], parts), np.arange(parts + 1))
+    bounds = np.searchsorted(part_of(runs.key[order], len(shared)), np.arange(len(shared) + 1))
     hit = np.zeros(len(key), bool)
     for p in np.flatnonzero(np.diff(bounds)):
-        known, asked = mapped(f"{folder}/anchors-{p}.npy"), key[bounds[p] : bounds[p + 1]]
+        known, asked = shared("anchors", p), key[bounds[p] : bounds[p + 1]]
         if len(known):
             place = np.minimum(np.searchsorted(known, asked), len(known) - 1)
             hit[bounds[p] : bounds[p + 1]] = known[place] == asked
     return np.sort(order[hit])
 
 
-def fragments(batches: Iterator[pa.RecordBatch], folder: str, parts: int) -> Iterator[pa.RecordBatch]:
+def fragments(batches: Iterator[pa.RecordBatch], shared: Parts) -> Iterator[pa.RecordBatch]:
     """part, keys, docs, lengths, bytes: distinct fragments with the least and largest doc_id they have here."""
     held: dict[bytes, list[int]] = {}
+    parts = len(shared)
 
     def sent() -> pa.RecordBatch:
         texts, facts = list(held), np.array(list(held.values()), np.int64)
@@ -237,7 +238,7 @@ def fragments(batches: Iterator[pa.RecordBatch], folder: str, parts: int) -> Ite
         known, doc = ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
         view = memoryview(buffer)
         for runs in runs_of(buffer, offsets):
-            use = shared_runs(runs, folder, parts)
+            use = shared_runs(runs, shared)
             use = use[known[runs.row[use]]]
             ends = runs.start[use] + runs.count[use] + WIDTH - 1
             owners, keys = doc[runs.row[use]].tolist(), runs.key[use].tolist()
@@ -322,17 +323,17 @@ def least_documents(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return hashes[by_hash], np.r_[0, np.cumsum(counts)], np.concatenate(offsets)[place], np.concatenate(docs)[place]
 
 
-def covered(runs: Runs, use: np.ndarray, buffer, doc: np.ndarray, folder: str, parts: int):
+def covered(runs: Runs, use: np.ndarray, buffer, doc: np.ndarray, least_of: Parts):
     """First and end of the byte ranges that windows of the shared runs cover and a smaller document has."""
     view = memoryview(buffer)
     ends = runs.start[use] + runs.count[use] + WIDTH - 1
     hashes = np.array(
         [xxhash.xxh64_intdigest(view[s:e]) for s, e in zip(runs.start[use].tolist(), ends.tolist())], np.uint64
     )
-    part = part_of(runs.key[use], parts).astype(np.int64)
+    part = part_of(runs.key[use], len(least_of)).astype(np.int64)
     firsts, lasts = [], []
     for p in np.unique(part):
-        known, first, offset, least = (mapped(f"{folder}/{name}-{p}.npy") for name in ARRAYS)
+        known, first, offset, least = (least_of(name, p) for name in ARRAYS)
         mine = np.flatnonzero(part == p)
         if not len(known):
             continue
@@ -355,15 +356,15 @@ def covered(runs: Runs, use: np.ndarray, buffer, doc: np.ndarray, folder: str, p
 ARRAYS = ("hashes", "first", "offset", "least")
 
 
-def removed_ranges(batch: pa.RecordBatch, ids: int, text: int, folder: str, parts: int):
+def removed_ranges(batch: pa.RecordBatch, ids: int, text: int, shared: Parts, least_of: Parts):
     """The buffer, where each row begins, and the maximal removed ranges: row, first byte, end."""
     (buffer, offsets), column = text_buffer(batch.column(text)), batch.column(ids)
     known, doc = column.is_valid().to_numpy(zero_copy_only=False), column.fill_null(0).to_numpy()
     change = np.zeros(int(offsets[-1] - offsets[0]) + 1, np.int32)
     for runs in runs_of(buffer, offsets):
-        use = shared_runs(runs, folder, parts)
+        use = shared_runs(runs, shared)
         use = use[known[runs.row[use]]]
-        first, last = covered(runs, use, buffer, doc, folder, parts)
+        first, last = covered(runs, use, buffer, doc, least_of)
         np.add.at(change, first - offsets[0], 1)
         np.add.at(change, last - offsets[0], -1)
     gone = np.cumsum(change, out=change)[:-1] > 0
@@ -379,32 +380,37 @@ def removed_ranges(batch: pa.RecordBatch, ids: int, text: int, folder: str, part
     return buffer, offsets, np.searchsorted(offsets - offsets[0], start, "right") - 1, start, end
 
 
-def index(documents: DataFrame) -> tuple[str, int]:
-    """Passes one and two: the folder of the arrays and the number of parts."""
+def index(documents: DataFrame) -> tuple[Parts, Parts]:
+    """Passes one and two: the arrays of shared anchors and of their fragments' least documents."""
     spark = documents.sparkSession
     folder = mounted_path(shared_folder(spark))
     os.makedirs(folder, exist_ok=True)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
+    def kept(key: tuple[pa.Scalar, ...], rows: np.ndarray) -> pa.Table:
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "kept": [len(rows)]})
+
     def keep_repeated(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         found = repeated(table)
         if len(found):
             save(f"{folder}/anchors-{key[0].as_py()}.npy", found)
-        return pa.table({"kept": [len(found)]})
+        return kept(key, found)
 
     def keep_least(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         arrays = least_documents(table)
         for name, array in zip(ARRAYS, arrays):
             save(f"{folder}/{name}-{key[0].as_py()}.npy", array)
-        return pa.table({"kept": [len(arrays[0])]})
+        # The files are there even without a fragment that loses bytes.
+        return kept(key, arrays[1])
 
     found = rows.mapInArrow(lambda b: anchors(b, parts), "part int, keys binary")
-    found.groupBy("part").applyInArrow(keep_repeated, "kept bigint").agg(F.sum("kept")).collect()
+    written = found.groupBy("part").applyInArrow(keep_repeated, "part int, kept bigint").collect()  # a row for each part
+    shared = Parts(folder, sizes_of(written, parts))
     shape = "part int, " + ", ".join(f"{c} binary" for c in FRAGMENT_COLUMNS)
-    sent = rows.mapInArrow(lambda b: fragments(b, folder, parts), shape)
-    sent.groupBy("part").applyInArrow(keep_least, "kept bigint").agg(F.sum("kept")).collect()
-    return folder, parts
+    sent = rows.mapInArrow(lambda b: fragments(b, shared), shape)
+    written = sent.groupBy("part").applyInArrow(keep_least, "part int, kept bigint").collect()
+    return shared, Parts(folder, sizes_of(written, parts))
 
 
 def whole_characters(buffer: np.ndarray, base: int, start: np.ndarray, end: np.ndarray):
@@ -430,7 +436,7 @@ def deduplicated(documents: DataFrame, *keep: str, result: str = "kept_bytes") -
     ``kept_bytes`` has the bytes that stay; ``kept_text`` is made of whole characters, and one that loses only some of
     its bytes stays; ``spans`` has the removed ranges, first and end as byte places in the text.
     """
-    folder, parts = index(documents)
+    shared, least_of = index(documents)
     names = [f"own_{i}" for i in range(len(keep))]
     text = F.coalesce("text", F.lit(""))
     rows = documents.select(F.col("doc_id").alias("id_"), text.alias("text_"), *map(F.col, keep)).toDF("id_", "text_", *names)
@@ -442,7 +448,7 @@ def deduplicated(documents: DataFrame, *keep: str, result: str = "kept_bytes") -
         for batch in batches:
             if not batch.num_rows:
                 continue
-            buffer, offsets, row, start, end = removed_ranges(batch, 0, 1, folder, parts)
+            buffer, offsets, row, start, end = removed_ranges(batch, 0, 1, shared, least_of)
             base, sizes = int(offsets[0]), np.diff(offsets)
             n = np.bincount(row, minlength=len(sizes))
             gone = np.bincount(row, end - start, len(sizes)).astype(np.int64)

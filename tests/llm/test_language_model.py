@@ -4,7 +4,9 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,7 +41,8 @@ class Plain:
             if n1 and n2 and n3:
                 y = n1 / (n1 + 2 * n2)
                 raw = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3)
-                self.d[n] = (0, *(min(max(x, 0), k) for k, x in enumerate(raw, 1)))
+                # No discount may be 0: a context would leave nothing to words it has not seen.
+                self.d[n] = (0, *(min(x, k) for k, x in enumerate(raw, 1))) if min(raw) > 0 else (0, y, y, y)
             grams = Counter(g[1:] for g in grams)
 
     def p(self, gram):
@@ -108,3 +111,28 @@ def test_registered_query_is_a_trigram_model(spark):
     expected = {d: plain.row(d, t)[-1] for d, t in rows if held(d)}
     found = QUERIES["op1_language_model"](spark, "/root/testdata/sf0.001").filter("held_out").collect()
     assert {r["doc_id"]: r["score"] for r in found} == pytest.approx(expected, rel=1e-9)
+
+
+def test_scores_are_finite_on_copies(spark):
+    """Counts of counts of 10, 10, 2, 100: the plain estimate for three and more falls below 0."""
+    rows = [(f"a{k} b{k} c{k} d{k}", n) for n, many in ((1, 10), (2, 10), (3, 2), (4, 100)) for k in range(1000 * n, 1000 * n + many)]
+    texts = [t for t, n in rows for _ in range(n)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    model = lm.train(frame)
+    assert all(0 < d <= k for per in model.discounts for k, d in enumerate(per[1:], 1))
+    asked = spark.createDataFrame([(0, "a4001 b4002 c4003"), (1, "never a4001 b4001 never"), (2, texts[0])], "doc_id bigint, text string")
+    scores = {r["doc_id"]: r["score"] for r in lm.scored(asked, model).collect()}
+    assert all(math.isfinite(x) and x < 0 for x in scores.values())
+    every = np.arange(model.vocabulary.size + 1)  # all words and the unknown one
+    for context in ([model.vocabulary.start] * 2, [3, 5], [model.vocabulary.unknown, 7]):
+        columns = [np.full(len(every), c) for c in context] + [every]
+        assert model.probabilities(columns).sum() == pytest.approx(1)
+
+
+def test_a_missing_file_is_an_error(spark):
+    frame = spark.createDataFrame([(k, f"a b c {k % 3}") for k in range(50)], "doc_id bigint, text string")
+    model = lm.train(frame)
+    part = next(p for p, n in enumerate(model.grams[1].sizes) if n)
+    Path(f"{model.grams[1].folder}/grams-2-{part}.npy").unlink()
+    with pytest.raises(Exception, match="No such file"):
+        lm.scored(frame, model).collect()
