@@ -906,6 +906,8 @@ _oracle(
 )
 ORACLE["k2_s3_snapshot_round_trip"] = ORACLE["a1_quarterly_totals"]
 ORACLE["k2_s2_unfinished_snapshot"] = ORACLE["a2_monthly_totals"]
+ORACLE["k7_incremental_patient_sets"] = ORACLE["q2_all_grains"]
+ORACLE["a4_grains_from_patient_sets"] = ORACLE["q2_all_grains"]
 ORACLE["k6_stored_indicators"] = ORACLE["q9_indicators"]
 ORACLE["k7_stored_refresh"] = ORACLE["a2_monthly_totals"]
 ORACLE["k1_materialised_table"] = ORACLE["a2_monthly_totals"]

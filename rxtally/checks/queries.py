@@ -15,7 +15,7 @@ from rxtally import schemas
 from rxtally.checks.tables import Tables
 from rxtally.config import SECTION_NAMES
 from rxtally.functions import dates, scalars
-from rxtally.operators import aggregates, disclosure, joins, predicates, regression, reshape, windows
+from rxtally.operators import aggregates, disclosure, joins, patient_sets, predicates, regression, reshape, windows
 from rxtally.operators.regression import Categorical, Crossed, Formula, Numeric
 from rxtally.plans import indicators, model, publish
 from rxtally.sinks import tables as sinks
@@ -229,6 +229,22 @@ def k7_incremental_refresh(t: Tables) -> DataFrame:
     return refresh.refreshed(history, monthly)
 
 
+@query
+def k7_incremental_patient_sets(t: Tables) -> DataFrame:
+    """All grains from sets of patients stored by month in two runs; the second reads only the months that are new."""
+    path = f"{t.new_folder()}/sets"
+
+    def items_between(first: int, last: int) -> DataFrame:
+        fact = tables.prescription_fact(t.fact, first, last)
+        return joins.star_join(fact, t.time, t.org, t.drug, t.age)
+
+    first, last = t.fact.agg(F.min("YEAR_MONTH"), F.max("YEAR_MONTH")).first()
+    refresh.extend_sets(t.spark, path, items_between, first, t.config.train_end)
+    sets = refresh.extend_sets(t.spark, path, items_between, first, last)
+    out = patient_sets.all_grains(sets, t.time)
+    return out.withColumn("YEAR_MONTH", F.col("YEAR_MONTH").cast("string"))
+
+
 @query
 def k7_next_month(t: Tables) -> DataFrame:
     return refresh.next_month(t.fact)
@@ -409,6 +425,13 @@ def a4_distinct_patients(t: Tables) -> DataFrame:
     return aggregates.distinct_patients(t.items, ["FINANCIAL_QUARTER", "BNF_SECTION", "IDENTIFIED_FLAG"])
 
 
+@query
+def a4_grains_from_patient_sets(t: Tables) -> DataFrame:
+    """Quarterly, monthly and model totals as unions of one table of patient sets."""
+    out = patient_sets.all_grains(patient_sets.patient_sets(t.items), t.time)
+    return out.withColumn("YEAR_MONTH", F.col("YEAR_MONTH").cast("string"))
+
+
 @query
 def a5_section_months(t: Tables) -> DataFrame:
     return aggregates.totals(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxtally.config import ReleaseConfig
-from rxtally.operators import disclosure, joins, regression, windows
+from rxtally.operators import disclosure, joins, patient_sets, regression, windows
 from rxtally.plans import extract, indicators, model, publish
 from rxtally.session import cut_lineage
 from rxtally.sinks import manifest
@@ -51,11 +51,16 @@ def _of_country(organisations: DataFrame, config: ReleaseConfig) -> DataFrame:
     return organisations
 
 
-def build(inputs: Inputs, config: ReleaseConfig, quarter: str = "FINANCIAL_QUARTER") -> Release:
+def build(
+    inputs: Inputs, config: ReleaseConfig, quarter: str = "FINANCIAL_QUARTER", sets: str | None = None
+) -> Release:
     """Compute every table of the release without writing any.
 
     The items are joined and reduced once; all tables start from the three small
-    aggregates that come out of that job.
+    aggregates that come out of that job. With ``sets``, a folder of stored
+    patient sets, only the items of months that it lacks are read, and it is
+    extended by them; it belongs to one choice of country, sections and first
+    month.
     """
     # A calendar may run past the items: only months that are loaded can complete a quarter.
     loaded = sources.latest_loaded(inputs.time, inputs.fact, config.first_month)
@@ -67,10 +72,20 @@ def build(inputs: Inputs, config: ReleaseConfig, quarter: str = "FINANCIAL_QUART
         return Release(month, skipped=True)
 
     time = inputs.time.filter(F.col("YEAR_MONTH").between(config.first_month, month))
-    fact = sources.prescription_fact(inputs.fact, config.first_month, month)
     drugs = inputs.drugs.filter(F.col("BNF_SECTION").isin(*config.sections))
-    items = joins.star_join(fact, time, _of_country(inputs.organisations, config), drugs, inputs.ages)
-    return _release(month, extract.saved_grains(items, time), inputs.days, config)
+
+    def items_between(first: int, last: int) -> DataFrame:
+        fact = sources.prescription_fact(inputs.fact, first, last)
+        return joins.star_join(fact, time, _of_country(inputs.organisations, config), drugs, inputs.ages)
+
+    if sets is None:
+        grains = extract.saved_grains(items_between(config.first_month, month), time)
+    else:
+        stored = refresh.extend_sets(time.sparkSession, sets, items_between, config.first_month, month)
+        within = stored.filter(F.col("YEAR_MONTH").between(config.first_month, month))
+        saved = cut_lineage(patient_sets.all_grains(within, time))
+        grains = {name: extract.pick_grain(saved, name) for name in extract.GRAINS}
+    return _release(month, grains, inputs.days, config)
 
 
 def from_snapshots(spark: SparkSession, folder: str, days: DataFrame, config: ReleaseConfig) -> Release:
