@@ -880,6 +880,11 @@ _oracle(
         Period, Measure, round(v, 6) AS "Value",
         concat({_shown('s')}, CASE WHEN pct = 1 THEN '%' ELSE '' END) AS Rounded
         FROM (SELECT *, {_signif('v')} AS s FROM indicator_line) q""",
+    p12_p14_from_partitions=f"""SELECT YEAR_MONTH, IDENTIFIED_FLAG, {_TOTALS},
+        CAST(YEAR_MONTH // 100 - (SELECT min(YEAR_MONTH) FROM joined) // 100 AS INT) AS YEARS_BACK
+        FROM joined WHERE YEAR_MONTH = (SELECT max(YEAR_MONTH) FROM joined) GROUP BY 1, 2""",
+    q1_stored_raw_of_a_year=f"""SELECT YEAR_MONTH, BNF_SECTION, SECTION_DESCR, {_TOTALS} FROM joined
+        WHERE YEAR_MONTH BETWEEN 199904 AND 200003 GROUP BY 1, 2, 3""",
     q10_published_monthly=f"""SELECT {_HEAD.format(month='YEAR_MONTH AS "Year Month",')} FROM monthly""",
     q10_published_quarterly=f"SELECT {_HEAD.format(month='')} FROM quarterly",
     x1_disclosure_control="""SELECT FINANCIAL_YEAR, FINANCIAL_QUARTER, YEAR_MONTH, SECTION_NAME, SECTION_CODE,

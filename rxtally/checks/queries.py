@@ -328,6 +328,18 @@ def p12_at_maximum(t: Tables) -> DataFrame:
     return _totals(predicates.at_maximum(t.fact), "YEAR_MONTH", "IDENTIFIED_FLAG")
 
 
+@query
+def p12_p14_from_partitions(t: Tables) -> DataFrame:
+    """Stored items of the last month, known from the table's partitions, and how many years back the first one lies."""
+    name = _table_name("p12")
+    sinks.save_raw(t.items, name)
+    first = t.spark.sql(f"SHOW PARTITIONS {name}").agg(F.min(F.substring_index("partition", "=", -1).cast("int"))).first()[0]
+    last = tables.at_largest_partition(t.spark, name)
+    return _totals(last, "YEAR_MONTH", "IDENTIFIED_FLAG").withColumn(
+        "YEARS_BACK", (F.floor(F.col("YEAR_MONTH") / 100) - first // 100).cast("int")
+    )
+
+
 @query
 def p13_distinct_rows(t: Tables) -> DataFrame:
     return t.items.select("YEAR_MONTH", "BNF_SECTION", "SECTION_DESCR").distinct()
@@ -929,6 +941,15 @@ def q1_raw_items(t: Tables) -> DataFrame:
     return t.items.select(*_RAW_COLUMNS).withColumn("IDENTIFIED_PATIENT_ID", patient)
 
 
+@query
+def q1_stored_raw_of_a_year(t: Tables) -> DataFrame:
+    """Items stored by month, read back for the months of one fiscal year of the time dimension."""
+    name = _table_name("q1")
+    sinks.save_raw(t.items, name)
+    year = t.time.filter(F.col("FINANCIAL_YEAR") == "1999/2000")
+    return _totals(tables.raw_of_periods(t.spark, name, year), "YEAR_MONTH", "BNF_SECTION", "SECTION_DESCR")
+
+
 @query
 def q2_all_grains(t: Tables) -> DataFrame:
     """Quarterly, monthly and model totals from one shared patient base."""

@@ -20,15 +20,20 @@ from rxtally.streaming import refresh
 
 @dataclass
 class Inputs:
-    """The tables a release reads; ``history`` is the stored monthly aggregate, if any."""
+    """The tables a release reads; ``history`` is the stored monthly aggregate, if any.
 
-    fact: DataFrame
+    ``raw`` names the stored table of joined items (``sinks.save_raw``). With it the fact and the dimensions of
+    organisations, drugs and ages are not read, and ``fact`` may be None.
+    """
+
+    fact: DataFrame | None
     time: DataFrame
     organisations: DataFrame
     drugs: DataFrame
     ages: DataFrame
     days: DataFrame
     history: DataFrame | None = None
+    raw: str | None = None
 
 
 @dataclass
@@ -63,7 +68,11 @@ def build(
     month.
     """
     # A calendar may run past the items: only months that are loaded can complete a quarter.
-    loaded = sources.latest_loaded(inputs.time, inputs.fact, config.first_month)
+    if inputs.raw is None:
+        loaded = sources.latest_loaded(inputs.time, inputs.fact, config.first_month)
+    else:
+        last = sources.largest_partition(inputs.time.sparkSession, inputs.raw)
+        loaded = inputs.time.filter(F.col("YEAR_MONTH").between(config.first_month, F.lit(last)))
     latest = windows.latest_complete_quarter(loaded, quarter).first()
     if latest is None:
         return Release(None, skipped=True)
@@ -75,6 +84,9 @@ def build(
     drugs = inputs.drugs.filter(F.col("BNF_SECTION").isin(*config.sections))
 
     def items_between(first: int, last: int) -> DataFrame:
+        if inputs.raw is not None:
+            sections = F.col("BNF_SECTION").isin(*config.sections)
+            return time.sparkSession.table(inputs.raw).filter(F.col("YEAR_MONTH").between(first, last) & sections)
         fact = sources.prescription_fact(inputs.fact, first, last)
         return joins.star_join(fact, time, _of_country(inputs.organisations, config), drugs, inputs.ages)
 

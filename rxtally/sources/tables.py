@@ -79,3 +79,24 @@ def latest_loaded(dim: DataFrame, fact: DataFrame, first_month: int) -> DataFram
     """Calendar rows from ``first_month`` up to the last month the fact holds."""
     loaded = fact.agg(F.max("YEAR_MONTH").alias("LOADED")).scalar()
     return dim.filter((F.col("YEAR_MONTH") >= first_month) & (F.col("YEAR_MONTH") <= loaded))
+
+
+def largest_partition(spark: SparkSession, table: str, key: str = "YEAR_MONTH") -> int | None:
+    """The largest key of a stored table partitioned by it, from the catalog: no file is opened."""
+    value = F.regexp_extract("partition", rf"(?:^|/){key}=([0-9]+)(?:/|$)", 1)
+    return spark.sql(f"SHOW PARTITIONS {table}").agg(F.max(value.cast("int"))).first()[0]
+
+
+def at_largest_partition(spark: SparkSession, table: str, key: str = "YEAR_MONTH") -> DataFrame:
+    """The rows of the last stored month: one partition is read, once."""
+    return spark.table(table).filter(F.col(key) == F.lit(largest_partition(spark, table, key)))
+
+
+def raw_of_periods(spark: SparkSession, table: str, periods: DataFrame) -> DataFrame:
+    """Stored items of the months in ``periods``.
+
+    A join by month, so that Spark works out the months first and reads only their partitions.
+    """
+    months = periods.select(F.col("YEAR_MONTH").alias("_MONTH")).distinct()
+    raw = spark.table(table)
+    return raw.join(months, raw["YEAR_MONTH"] == months["_MONTH"]).drop("_MONTH")
