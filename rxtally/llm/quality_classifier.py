@@ -13,7 +13,9 @@ each bad one; the sample's features are gathered, a few hundred numbers a row. E
 
 Defined results: null and empty texts have the features of no words and are scored. Labels that are null or neither 0
 nor 1 teach nothing; without a pair of a good and a bad label all scores are ``CUT``. A doc_id may have several labels
-or rows: each pair of a row and a label counts. Only doc_id and text are read, and from labels doc_id and quality.
+or rows: each value of its labels teaches once, by the least of its rows' features, so that what is gathered is bounded
+by ``MAX_LABELLED``. Ties between good and bad leave weights at 0 and all scores at ``CUT``. Every row is scored. Only
+doc_id and text are read, and from labels doc_id and quality.
 """
 
 from __future__ import annotations
@@ -145,7 +147,9 @@ def learn(documents: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED, se
             rows = [features(text).astype(np.float32).tobytes() for text in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["labelled"].astype(str), "quality": batch["quality"], "row": rows})
 
-    found = marked.mapInPandas(measured, "doc_id string, quality int, row binary").toPandas()
+    rows = marked.mapInPandas(measured, "doc_id string, quality int, row binary")
+    # One row for each label, however often its document stands in the table.
+    found = rows.groupBy("doc_id", "quality").agg(F.min("row").alias("row")).toPandas()
     found = found.sort_values(["doc_id", "quality", "row"])  # the order of arrival must not matter
     rows = np.array([np.frombuffer(row, np.float32) for row in found["row"]], np.float64)
     return fit(rows, found["quality"].to_numpy(), seed)

@@ -1,6 +1,7 @@
 """Bradley-Terry ranking: held-out accuracy, whole scoring and edge rows."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from rxtally.llm import quality_classifier as qc
@@ -41,3 +42,17 @@ def test_fit_orders_pairs():
     rows = draw.normal(size=(400, 5)) + quality[:, None] * np.array([3, 0, 0, 1, 0])
     ranking = qc.fit(rows, quality)
     assert np.mean((ranking.scores(rows) >= qc.CUT) == quality) > 0.9  # the best possible is 0.945
+
+
+def test_repeated_rows_and_ties(spark):
+    """A labelled document that stands in the table many times teaches once; equal good and bad ones teach nothing."""
+    texts = [(k, f"good words of a text number {k} here" if k % 2 else f"BAD!!! {k} {k} {k} ###") for k in range(1, 41)]
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in texts], "doc_id bigint, quality int")
+    shape = "doc_id bigint, text string"
+    once = qc.learn(spark.createDataFrame(texts, shape), labels)
+    often = qc.learn(spark.createDataFrame(texts + texts[:1] * 500, shape), labels)
+    assert (once.weights == often.weights).all() and once.cut == often.cut
+    same = spark.createDataFrame([(k, "the same text") for k in range(20)], shape)
+    tied = qc.learn(same, labels)
+    assert not tied.weights.any()
+    assert [r["score"] for r in qc.scored(same, tied, "doc_id").collect()] == pytest.approx([qc.CUT] * 20)
