@@ -135,6 +135,14 @@ def fit_candidates(
     return rows
 
 
+def with_residuals(row: dict, rss: float, total: float, levels: Sequence[float]) -> dict:
+    """A model row with its residual sum, and all that follows from it, replaced."""
+    coef = np.array([np.nan if value is None else value for value in row["coef"]], dtype=float)
+    inverse = np.array([list(line) for line in row["cov_unscaled"]], dtype=float)
+    fit = Solution(coef, inverse, int(row["rank"]), float(rss))
+    return {**row, "cov_unscaled": inverse.tolist(), **statistics(fit, float(total), int(row["nobs"]), levels)}
+
+
 def uncentred(fit: Solution, terms: list[str], centres: dict[str, float], response: float) -> Solution:
     """The solution for the columns as they are: only the intercept and its covariances change."""
     back = np.eye(len(terms))
@@ -171,8 +179,19 @@ def fit_group(
     fit = solve(gram, moment, square)
     n = int(round(gram[0, 0]))
     fit = uncentred(fit, terms, numeric, response)
-    free = n - fit.rank
     total = max(square - moment[0] ** 2 / n, 0.0)
+    return {
+        "terms": terms,
+        "known_terms": terms + sorted(set(diagonal["i_term"]) - set(terms)),
+        "coef": [_clean(v) for v in fit.coef],
+        "cov_unscaled": fit.inverse.tolist(),
+        **statistics(fit, total, n, levels),
+    }
+
+
+def statistics(fit: Solution, total: float, n: int, levels: Sequence[float]) -> dict:
+    """What follows from a solution, its residual sum, the total sum of squares and the number of rows."""
+    free = n - fit.rank
     model_df = fit.rank - 1
     sigma2 = fit.rss / free if free > 0 else np.nan
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -183,16 +202,12 @@ def fit_group(
         explained = (total - fit.rss) / model_df / sigma2 if model_df and free > 0 else np.nan
     log_lik = log_likelihood(fit.rss, n)
     return {
-        "terms": terms,
-        "known_terms": terms + sorted(set(diagonal["i_term"]) - set(terms)),
-        "coef": [_clean(v) for v in fit.coef],
         "std_error": [_clean(v) for v in error],
         "t_value": [_clean(v) for v in t_value],
         "p_value": [
             t_two_sided(v, free) if np.isfinite(v) and free > 0 else None
             for v in t_value
         ],
-        "cov_unscaled": fit.inverse.tolist(),
         "r_squared": _clean(r_squared),
         "adj_r_squared": _clean(1 - (1 - r_squared) * (n - 1) / free) if free > 0 else None,
         "sigma": _clean(np.sqrt(sigma2)),

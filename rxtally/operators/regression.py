@@ -3,9 +3,10 @@
 A row's regressors are kept sparse, as an array of named terms: a categorical
 column adds one entry, a crossing adds one more, zeros are left out. The sums
 behind a fit are then a group-by over pairs of entries, with no list of levels
-on the driver and no wide rows. Rows that share all categories are added up
-before pairs are formed, with the sums of products of the numeric columns, so
-their number is bounded by the label combinations, not by the data.
+on the driver and no wide rows. Rows that share all categories are one design
+point: its number of rows, its means and its centred products, which Spark
+merges across tasks in one pass. All later steps work on the points, so their
+work is bounded by the label combinations, not by the data.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rxtally.functions.least_squares import INTERCEPT, fit_candidates
+from rxtally.functions.least_squares import INTERCEPT, fit_candidates, with_residuals
 from rxtally.session import cut_lineage
 
 MODEL = "MODEL"
@@ -124,6 +125,18 @@ def complete_rows(df: DataFrame, formula: Formula) -> DataFrame:
     return df.dropna(subset=[formula.response, *formula.columns()])
 
 
+def _weighted(formula: Formula) -> Column:
+    """Weighted regressors of a design point, or an error where one of its rows lacks a regressor."""
+    numeric = formula.numeric()
+    gap = F.col("_gap")
+    for name in formula.columns():
+        if name not in numeric:
+            gap = gap | F.col(name).isNull()
+    entries = _entries(formula.effects(), numeric, F.col("_sw"), lambda name: F.col(f"_wx{numeric.index(name)}"))
+    message = F.lit("missing regressor in a row to be predicted: one of " + ", ".join(formula.columns()))
+    return F.when(gap, F.raise_error(message).cast(_DESIGN)).otherwise(entries)
+
+
 def _require_regressors(formula: Formula) -> Column:
     """The design, or an error on a row to be predicted that lacks a regressor."""
     missing = F.lit(False)
@@ -161,50 +174,68 @@ def gram_sums(
     has no value for, so that each model can leave those rows out. Response and
     numeric columns are taken from their means in the group, which come along as
     ``_cy`` and ``_c0``, ``_c1``, ...: sums of large numbers lose the digits that
-    a fit depends on.
+    a fit depends on. The data are read once: a design point has its own means and
+    the products around them, and is moved to the group's means afterwards.
     """
     numeric = list(numeric)
     columns = list(dict.fromkeys(name for effect in effects for name in effect))
     groups = [name for name in columns if name not in numeric]
-    filled = df.filter(F.col(response).isNotNull())
-    # Any number near the mean will do as a centre: it only keeps the sums small.
-    centres = filled.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)]).agg(
-        F.avg(F.col(response).cast("double")).alias("_cy"),
-        *[F.coalesce(F.avg(F.col(x).cast("double")), F.lit(0.0)).alias(f"_c{i}") for i, x in enumerate(numeric)],
-    )
-    same = F.lit(True)
-    for i, k in enumerate(by):
-        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    y = F.col(response).cast("double") - F.col("_cy")
-    xs = [F.lit(1.0), *[F.col(x).cast("double") - F.col(f"_c{i}") for i, x in enumerate(numeric)]]
-    centre = ["_cy", *[f"_c{i}" for i in range(len(numeric))]]
+    y, xs = F.col(response).cast("double"), [F.col(x).cast("double") for x in numeric]
     missing = F.array(
         *[F.when(reduce(or_, [F.col(name).isNull() for name in effect]), position) for position, effect in enumerate(effects, 1)]
     )
-    # Rows are added up by their categories; of numeric columns the sums of products are carried along.
     gaps = [F.col(x).isNull().alias(f"_gap{i}") for i, x in enumerate(numeric)]
-    rows = filled.join(centres, same)
-    known = [F.coalesce(x, F.lit(0.0)) for x in xs]
-    sums = {(i, j): F.sum(a * b) for i, a in enumerate(known) for j, b in enumerate(known) if i <= j}
-    moments = [F.array(*[sums[min(i, j), max(i, j)] for j in range(len(known))]) for i in range(len(known))]
+    places = range(len(numeric))
+    rows = F.count(F.lit(1))
 
-    def place(name: str) -> Column:
-        """Where a numeric column's sums are among the moments; the categories share the first place."""
-        return F.when(~F.col(f"_gap{numeric.index(name)}"), numeric.index(name) + 1)
+    def around(a: Column, b: Column, name: str) -> Column:
+        """Sum of products around the point's means; nothing where a numeric column is missing."""
+        return F.coalesce(F.covar_pop(a, b) * rows, F.lit(0.0)).alias(name)
 
     points = (
-        rows.withColumn("missing", F.array_compact(missing))
-        .groupBy(*by, *groups, *centre, *gaps, "missing")
+        df.filter(F.col(response).isNotNull())
+        .withColumn("missing", F.array_compact(missing))
+        .groupBy(*by, *groups, *gaps, "missing")
         .agg(
-            F.array(*moments).alias("_m"),
-            F.array(*[F.sum(a * y) for a in known]).alias("_my"),
-            F.sum(y * y).alias("_yy"),
+            rows.cast("double").alias("_n"),
+            F.avg(y).alias("_y"),
+            around(y, y, "_syy"),
+            *[F.avg(x).alias(f"_x{i}") for i, x in enumerate(xs)],
+            *[around(x, y, f"_sy{i}") for i, x in enumerate(xs)],
+            *[around(xs[i], xs[j], f"_s{i}_{j}") for i in places for j in places if i <= j],
         )
-        .select(
-            *by, *centre, "missing", "_m", "_my", "_yy",
-            _entries(effects, numeric, F.lit(0.0), place).alias("_x"),
-        )
     )
+    # Any number near the mean will do as a centre: it only keeps the sums small.
+    group = W.partitionBy(*by)
+
+    def centre_of(name: str) -> Column:
+        known = F.when(F.col(name).isNotNull(), F.col("_n"))
+        return F.coalesce(F.try_divide(F.sum(known * F.col(name)).over(group), F.sum(known).over(group)), F.lit(0.0))
+
+    centre = ["_cy", *[f"_c{i}" for i in places]]
+    points = points.withColumns({"_cy": centre_of("_y"), **{f"_c{i}": centre_of(f"_x{i}") for i in places}})
+    n, off_y = F.col("_n"), F.col("_y") - F.col("_cy")
+    # The categories share the first place among the moments: their regressor is one in every row.
+    off = [F.lit(1.0), *[F.coalesce(F.col(f"_x{i}") - F.col(f"_c{i}"), F.lit(0.0)) for i in places]]
+
+    def moment(i: int, j: int) -> Column:
+        own = n * off[i] * off[j]
+        return own if i == 0 or j == 0 else F.col(f"_s{min(i, j) - 1}_{max(i, j) - 1}") + own
+
+    def moment_y(i: int) -> Column:
+        return n * off_y if i == 0 else F.col(f"_sy{i - 1}") + n * off[i] * off_y
+
+    def place(name: str) -> Column:
+        """Where a numeric column's sums are among the moments."""
+        return F.when(~F.col(f"_gap{numeric.index(name)}"), numeric.index(name) + 1)
+
+    points = points.select(
+        *by, *centre, "missing",
+        F.array(*[F.array(*[moment(i, j) for j in range(len(off))]) for i in range(len(off))]).alias("_m"),
+        F.array(*[moment_y(i) for i in range(len(off))]).alias("_my"),
+        (F.col("_syy") + n * off_y * off_y).alias("_yy"),
+        _entries(effects, numeric, F.lit(0.0), place).alias("_x"),
+    )
     nobody = F.lit(None).cast(_ENTRY)
 
     def pair(i, j, value):
@@ -274,7 +305,8 @@ def fit_many(
     The sums are taken once for all candidates together: the matrix of each one
     is a block of the whole. Each group handed to Python is such a matrix in long
     form, whatever the number of data rows behind it. The fit runs at once and its
-    rows are saved, since several steps read them.
+    rows are saved, since several steps read them. Where next to nothing of the
+    response is left over, the residuals are summed from the rows themselves.
     """
     responses = {formula.response for formula in candidates.values()}
     if len(responses) != 1:
@@ -292,7 +324,45 @@ def fit_many(
 
     model = T.StructField(MODEL, T.StringType())
     schema = T.StructType([*[sums.schema[name] for name in keys], model, *_FIT_FIELDS])
-    return cut_lineage(sums.groupBy(*keys).applyInPandas(solve_group, schema))
+    models = cut_lineage(sums.groupBy(*keys).applyInPandas(solve_group, schema))
+    return _with_exact_residuals(df, models, candidates, keys, levels)
+
+
+_SUBTRACTION = 1e-9  # share of the total sum of squares below which a residual sum needs the rows
+
+
+def _with_exact_residuals(
+    df: DataFrame, models: DataFrame, candidates: Mapping[str, Formula], by: Sequence[str], levels: Sequence[float]
+) -> DataFrame:
+    """Models whose residual sum is too small a share of the total to come from subtraction get it from the rows.
+
+    The rows are read a second time only if there is such a model, and only those of its groups. Rows of a group
+    whose key is NULL find no model and keep the subtraction.
+    """
+    close = models.filter(1 - F.col("r_squared") < _SUBTRACTION)
+    names = [row[MODEL] for row in close.select(MODEL).distinct().collect()]  # at most the candidates
+    if not names:
+        return models
+    sums = []
+    for name in names:
+        formula = candidates[name]
+        rows = predict(complete_rows(df, formula), close.filter(F.col(MODEL) == name), formula, by)
+        y = F.col(formula.response).cast("double")
+        rest = rows.groupBy(*by).agg(
+            F.sum((y - F.col("fitted")) ** 2).alias("_rss"), (F.var_pop(y) * F.count(y)).alias("_total")
+        )
+        sums.append(rest.withColumn(MODEL, F.lit(name)))
+    exact = reduce(DataFrame.unionByName, sums)
+
+    def replace(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+        for batch in batches:
+            rows = batch.drop(columns=["_rss", "_total"]).astype(object).to_dict("records")
+            found = zip(rows, batch["_rss"], batch["_total"], strict=True)
+            yield pd.DataFrame([with_residuals(row, rss, total, levels) for row, rss, total in found])
+
+    again = close.join(exact, [*by, MODEL]).select(*models.columns, "_rss", "_total")
+    redone = cut_lineage(again.mapInPandas(replace, models.schema))
+    return models.join(redone.select(*by, MODEL), [*by, MODEL], "left_anti").unionByName(redone)
 
 
 def fit(
@@ -381,7 +451,7 @@ def _with_places(
 
 _PLACES = "array<struct<k:int,v:double>>"
 _MODEL_COLUMNS = [
-    "_x", "_places", "_v", "terms", "known_terms", "coef", "cov_unscaled", "sigma2", "rank",
+    "_x", "_places", "_v", "terms", "known_terms", "coef",
 ]
 
 
@@ -393,18 +463,6 @@ def _fitted() -> Column:
     return _sum_places(lambda k: F.coalesce(F.col("coef")[k], F.lit(0.0)))
 
 
-def _leverage() -> Column:
-    """x' (X'X)^-1 x over the non-zero regressors only."""
-    def row(k):
-        return F.aggregate(
-            "_v",
-            F.lit(0.0),
-            lambda total, q: total + q["v"] * F.col("cov_unscaled")[k][q["k"] - 1],
-        )
-
-    return _sum_places(row)
-
-
 def predict(df: DataFrame, models: DataFrame, formula: Formula, by: Sequence[str]) -> DataFrame:
     """Point prediction of every row as ``fitted``; aliased terms count as zero."""
     rows = _with_places(df, models, formula, by)
@@ -414,25 +472,56 @@ def predict(df: DataFrame, models: DataFrame, formula: Formula, by: Sequence[str
 def residual_diagnostics(
     df: DataFrame, models: DataFrame, formula: Formula, by: Sequence[str]
 ) -> DataFrame:
-    """Fitted value, residual, leverage, standardised residual and Cook's distance per row."""
-    variance = ["cov_unscaled", "sigma2", "rank"]
-    rows = _with_places(complete_rows(df, formula), models, formula, by, variance)
+    """Fitted value, residual, leverage, standardised residual and Cook's distance per row.
+
+    What the categories add is worked out once for each design point: their part of the prediction and of the leverage,
+    and one factor for each numeric column. Rows join their point and only put their own numbers in. The points are
+    saved, so that Spark knows their number before it plans that join.
+    """
+    rows = complete_rows(df, formula)
+    numeric = formula.numeric()
+    labels = [name for name in formula.columns() if name not in numeric]
+    ones = Formula(formula.response, tuple(t for t in formula.terms if not isinstance(t, Numeric)))
+    points = _with_places(
+        rows.select(*by, *labels).distinct(), models, ones, by, ["cov_unscaled", "sigma2", "rank"]
+    )
+    place = [F.array_position("terms", F.lit(name)).cast("int") - 1 for name in numeric]
+
+    def cov(i: Column, j: Column) -> Column:
+        return F.col("cov_unscaled")[i][j]
+
+    points = points.select(
+        *by, *labels, F.col("sigma2").alias("_sigma2"), F.col("rank").alias("_rank"),
+        _fitted().alias("_fit"),
+        _sum_places(lambda k: _sum_places(lambda j: cov(k, j))).alias("_lev"),
+        F.array(*[F.coalesce(F.col("coef")[i], F.lit(0.0)) for i in place]).cast("array<double>").alias("_slope"),
+        F.array(*[_sum_places(lambda k, i=i: cov(i, k)) for i in place]).cast("array<double>").alias("_cross"),
+        F.array(*[F.array(*[cov(i, j) for j in place]) for i in place]).cast("array<array<double>>").alias("_square"),
+    )
+    rows = rows.join(cut_lineage(points), [*by, *labels])
+    x = [F.col(name).cast("double") for name in numeric]
+    fitted, leverage = F.col("_fit"), F.col("_lev")
+    for i, value in enumerate(x):
+        fitted = fitted + value * F.col("_slope")[i]
+        leverage = leverage + 2 * value * F.col("_cross")[i]
+        for j, other in enumerate(x):
+            leverage = leverage + value * other * F.col("_square")[i][j]
     room = 1 - F.col("leverage")
     return (
-        rows.withColumns({"fitted": _fitted(), "leverage": _leverage()})
+        rows.withColumns({"fitted": fitted, "leverage": leverage})
         .withColumn("residual", F.col(formula.response) - F.col("fitted"))
         .withColumns(
             {
                 "std_residual": F.try_divide(
-                    F.col("residual"), F.sqrt(F.col("sigma2") * F.greatest(room, F.lit(0.0)))
+                    F.col("residual"), F.sqrt(F.col("_sigma2") * F.greatest(room, F.lit(0.0)))
                 ),
                 "cooks_distance": F.try_divide(
                     F.col("residual") ** 2 * F.col("leverage"),
-                    F.col("rank") * F.col("sigma2") * room**2,
+                    F.col("_rank") * F.col("_sigma2") * room**2,
                 ),
             }
         )
-        .drop(*_MODEL_COLUMNS)
+        .drop("_sigma2", "_rank", "_fit", "_lev", "_slope", "_cross", "_square")
     )
 
 
@@ -449,19 +538,29 @@ def predict_sums(
     One row per ``by`` and ``within``: mean, variance of the mean, and the half
     widths of the confidence and prediction intervals at each of the model's
     levels. Only the sums of the weighted regressors and of the squared weights
-    are needed, so the rows are grouped first and the matrix is used once per
-    group.
+    are needed: rows are added up by their categories first, those few sums are
+    spread over the terms, and the matrix is used once per group.
     """
     w = F.lit(1.0) if weight is None else weight.cast("double")
     keys = [*by, *within]
-    sums = (
-        df.withColumns({"_x": _require_regressors(formula), "_w": w})
-        .select(*keys, "_w", F.explode("_x").alias("_e"))
-        .groupBy(*keys, F.col("_e.term").alias("_term"))
+    numeric = formula.numeric()
+    labels = [name for name in formula.columns() if name not in [*numeric, *keys]]
+    gaps = [F.count(F.lit(1)) > F.count(name) for name in numeric]
+    points = (
+        df.withColumn("_w", w)
+        .groupBy(*keys, *labels)
         .agg(
-            F.sum(F.col("_w") * F.col("_e.value")).alias("_s"),
+            F.sum("_w").alias("_sw"),
             F.sum(F.col("_w") * F.col("_w")).alias("_ww"),
+            reduce(or_, gaps, F.lit(False)).alias("_gap"),
+            *[F.sum(F.col("_w") * F.col(name).cast("double")).alias(f"_wx{i}") for i, name in enumerate(numeric)],
         )
+        .withColumn("_x", _weighted(formula))
+    )
+    sums = (
+        points.select(*keys, "_ww", F.explode("_x").alias("_e"))
+        .groupBy(*keys, F.col("_e.term").alias("_term"))
+        .agg(F.sum("_e.value").alias("_s"), F.sum("_ww").alias("_ww"))
         .groupBy(*keys)
         .agg(
             F.map_from_entries(F.collect_list(F.struct("_term", "_s"))).alias("_s"),

@@ -233,3 +233,69 @@ def test_numeric_regressors_are_no_grouping_key(spark):
     plan = regression.gram_sums(frame, "y", [("x",)], ["x"], ["g"])._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning" in plan
     assert not any("x#" in part for part in plan.split("hashpartitioning(")[1:] for part in [part.split(")")[0]])
+
+
+@pytest.mark.parametrize("scale", [1e-2, 1e-5])
+def test_residuals_far_below_the_response(spark, scale):
+    """R squared up to 1 - 1e-14 and beyond: the residual sum agrees with a solver that works on the rows."""
+    draw = np.random.default_rng(8)
+    x = np.arange(200.0)
+    y = 1e6 + 3 * x + scale * draw.normal(size=200)
+    rows = [(g, float(v), float(w) if g == "near" else float(5 * n)) for g in ("near", "far") for v, w, n in zip(x, y, draw.normal(size=200), strict=True)]
+    frame = spark.createDataFrame(rows, "g string, x double, y double")
+    found = {r["g"]: r for r in regression.fit(frame, Formula("y", (Numeric("x"),)), ["g"]).collect()}
+    for group, row in found.items():
+        own = np.array([r[1:] for r in rows if r[0] == group])
+        design = np.column_stack([np.ones(200), own[:, 0] - own[:, 0].mean()])
+        q, _ = np.linalg.qr(design)
+        rest = own[:, 1] - own[:, 1].mean()
+        rss = float(((rest - q @ (q.T @ rest)) ** 2).sum())
+        assert row["deviance"] == pytest.approx(rss, rel=1e-6 if scale == 1e-2 else 1e-3)
+        assert row["sigma2"] == pytest.approx(row["deviance"] / 198)
+        assert row["aic"] == pytest.approx(200 * (np.log(2 * np.pi * row["deviance"] / 200) + 1) + 6)
+
+
+def _plan(frame) -> str:
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def _items(spark, folder):
+    frame = spark.range(2_000).selectExpr(
+        "concat('s', id % 5) section", "id % 2 g", "id % 3 b", "cast(id % 11 as double) x", "cast(id % 7 as double) y", "id % 4 month"
+    )
+    frame.write.mode("overwrite").parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def test_a_fit_reads_the_items_once(spark, tmp_path):
+    items = _items(spark, str(tmp_path / "items"))
+    effects = [("x",), ("g",), ("b",), ("g", "b")]
+    plan = _plan(regression.gram_sums(items, "y", effects, ["x"], ["section"]))
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+    below = plan[plan.rindex("Exchange"):]  # nearest to the scan
+    assert below.count("HashAggregate") == 1, "items are added up before they are sent"
+
+
+def test_diagnostics_and_sums_work_on_design_points(spark, tmp_path):
+    items = _items(spark, str(tmp_path / "items"))
+    formula = Formula("y", (Numeric("x"), Crossed("g", "b")))
+    models = regression.fit(items, formula, ["section"])
+    sums = _plan(regression.predict_sums(items, models, formula, ["section"], ["month"], F.col("y")))
+    assert sums.count("Generate explode") >= 1
+    scan = sums[sums.rindex("Generate explode"):]  # all that lies below the expansion
+    assert "HashAggregate" in scan and "Exchange" in scan
+    rows = _plan(regression.residual_diagnostics(items, models, formula, ["section"]))
+    assert "cov_unscaled" not in rows and "known_terms" not in rows
+
+
+def test_weighted_sums_with_numeric_and_missing_weights(spark):
+    pdf = sample(seed=9)
+    data = spark.createDataFrame(pdf)
+    models = regression.fit(data, model.FINAL, BY)
+    rows = data.withColumn("w", F.when(F.col("MONTH_NUM") != 3, F.col("DISPENSING_DAYS") / 7))
+    found = regression.predict_sums(rows, models, model.FINAL, BY, ["PDS_GENDER"], F.col("w")).collect()
+    points = regression.predict(rows, models, model.FINAL, BY).toPandas()
+    assert len(found) == 4
+    for row in found:
+        own = points[(points.SECTION_CODE == row["SECTION_CODE"]) & (points.PDS_GENDER == row["PDS_GENDER"])]
+        assert row["mean"] == pytest.approx((own.fitted * own.w).sum(), rel=1e-9)
