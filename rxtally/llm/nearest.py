@@ -4,13 +4,18 @@ Largest inner product becomes least Euclidean distance by one more component, ``
 as zero. Vectors are projected to ``DIMENSIONS`` numbers by Gaussian, that is 2-stable, projections: the squared
 projected distance of a pair over its squared distance is chi-square distributed. A kd-tree indexes the projections. A
 query meets them by growing projected distance and verifies each on the original vectors. It stops when the chi-square
-test says that a vector as near as its present k-th neighbour would, with chance ``CONFIDENCE``, have come already.
+test says that a vector ``RATIO`` times nearer than its present k-th neighbour would, with chance ``CONFIDENCE``, have
+come already: projected distances beyond that are passed over, by boxes of cells, by boxes of leaves and row by row.
 
 The top of the tree is fitted on a bounded sample (``SAMPLE`` rows with the smallest hashes) and cuts space into
 cells; every row is put into its cell, so each is indexed. Queries first search their own cell, then only the cells
 whose boxes pass the same test. Inside a task the tree goes on to leaves of ``LEAF`` rows, which are visited in order
 of their boxes. Nothing else is capped: with a confidence of one every row is verified.
 
+No group grows with the data. A cell's rows are dealt by hash into parts of about ``ROWS``, the queries that reach it into
+blocks of about ``ASKS``, and every block meets every part. Their numbers come from counts of rows and queries by cell,
+a table of at most an eighth of the sample.
+
 Copies of a vector are folded before they move: of equal vectors in a batch only the k + 1 smallest different ids can be
 among anyone's k nearest. Repeated rows are taken out first, and once more in their cell.
 
@@ -32,12 +37,15 @@ from pyspark.sql import functions as F
 
 from rxtally.llm.storage import stored
 
-DIMENSIONS = 8  # even: the chi-square distribution then has a closed form
-CONFIDENCE = 0.97
+DIMENSIONS = 16  # even: the chi-square distribution then has a closed form
+CONFIDENCE = 0.9
+RATIO = 1.0
 SAMPLE = 16_384
 CELL = 16_384  # rows in a cell, on average
 LEAF = 256
 QUERIES = 1024  # queries searched together
+ROWS = 65_536  # rows of a cell in one task's group, about
+ASKS = 16_384  # queries in one task's group, about
 
 
 def chi_square_limit(degrees: int, confidence: float) -> float:
@@ -83,9 +91,9 @@ class Index:
         return node - (2**self.depth - 1)
 
 
-def build_index(sample: np.ndarray, bound: float, rows: int, cell: int, seed: int) -> Index:
+def build_index(sample: np.ndarray, bound: float, rows: int, cell: int, seed: int, dimensions: int = DIMENSIONS) -> Index:
     """Median cuts along the widest axis of the projected sample, to about ``rows / cell`` cells."""
-    projection = np.random.default_rng(seed).normal(size=(sample.shape[1] + 1, DIMENSIONS))
+    projection = np.random.default_rng(seed).normal(size=(sample.shape[1] + 1, dimensions))
     depth = max(0, min(math.ceil(math.log2(max(rows / cell, 1))), int(math.log2(max(len(sample) / 8, 1)))))
     flat = Index(projection, bound, np.zeros(0, np.int64), np.zeros(0), 0)
     axes, values = np.zeros(2**depth - 1, np.int64), np.zeros(2**depth - 1)
@@ -106,6 +114,8 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
 
 def folded(ids: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
     """Places of the rows to keep: of each vector the k + 1 smallest different ids, each once."""
+    if not len(ids):
+        return np.zeros(0, np.int64)
     order = np.lexsort((ids, *rows.T[::-1]))
     fresh = np.r_[True, (rows[order[1:]] != rows[order[:-1]]).any(axis=1)]
     single = fresh | np.r_[True, ids[order[1:]] != ids[order[:-1]]]
@@ -123,6 +133,12 @@ def box_distances(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.n
     return out
 
 
+def point_distances(points: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Squared distances of every point to every other, within rounding."""
+    squares = np.einsum("ij,ij->i", points, points)[:, None] + np.einsum("ij,ij->i", others, others)[None, :]
+    return squares - 2 * points @ others.T
+
+
 def leaves(points: np.ndarray, leaf: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Row numbers of the tree's leaves, with their boxes."""
     waiting, done = [np.arange(len(points))], []
@@ -150,15 +166,18 @@ def exact_scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
 def search(index: Index, ids, vectors, query_ids, queries, floor, k: int, limit: float):
     """(query number, row number, score) of the k best of one cell for each query, where they reach ``floor``.
 
-    ``floor`` is the k-th score that a query has from elsewhere; minus infinity if it has fewer.
+    Last comes the number of pairs verified on the original vectors. ``floor`` is the k-th score that a query has from elsewhere; minus infinity if it has fewer.
     """
     points = index.projected(vectors)
     parts, low, high = leaves(points, LEAF)
-    out = []
+    out, verified = [], 0
+    # Rounding must not part equal points, nor lose equal scores before they are added up in one order.
+    hair = 1e-9 * (1 + index.bound**2)
     for at in range(0, len(queries), QUERIES):
         block = slice(at, min(at + QUERIES, len(queries)))
         q, own = queries[block], query_ids[block]
-        ahead = box_distances(index.projected(q, query=True), low, high)
+        seen = index.projected(q, query=True)
+        ahead = box_distances(seen, low, high)
         order = np.argsort(ahead, axis=1)
         kth = floor[block].copy()
         best_score, best_row = np.full((len(q), k), -np.inf), np.full((len(q), k), -1)
@@ -172,9 +191,13 @@ def search(index: Index, ids, vectors, query_ids, queries, floor, k: int, limit:
                 break
             for part in np.unique(leaf):
                 asks, rows = active[leaf == part], parts[part]
-                # A hair below: equal scores must not be lost to rounding before they are added up in one order.
+                reach = squared_reach(q[asks], kth[asks], index.bound) * limit
+                take = ~(point_distances(seen[asks], points[rows]) > reach[:, None] + hair)
+                verified += int(take.sum())
+                near = take.any(axis=0)
+                rows, take = rows[near], take[:, near]
                 rough = q[asks] @ vectors[rows].T
-                take = rough >= np.maximum(kth[asks], best_score[asks, -1])[:, None] - 1e-9 * (1 + index.bound**2)
+                take &= rough >= np.maximum(kth[asks], best_score[asks, -1])[:, None] - hair
                 take &= own[asks][:, None] != ids[rows][None, :]
                 for n in np.flatnonzero(take.any(axis=1)):
                     ask, found = asks[n], rows[take[n]]
@@ -186,11 +209,17 @@ def search(index: Index, ids, vectors, query_ids, queries, floor, k: int, limit:
                     kth[ask] = max(floor[block][ask], best_score[ask, -1])
         n, place = np.nonzero(best_row >= 0)
         out.append((n + at, best_row[n, place], best_score[n, place]))
-    return [np.concatenate(x) for x in zip(*out)]
+    return *(np.concatenate(x) for x in zip(*out)), verified
 
 
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, cell: int = CELL, confidence: float = CONFIDENCE, seed: int = 7):
-    """query_id, rank, vec_id, score: the k nearest of every row whose vec_id is divisible by ``every``."""
+def nearest(
+    vectors: DataFrame, every: int = 20, k: int = 20, cell: int = CELL, confidence: float = CONFIDENCE, seed: int = 7,
+    ratio: float = RATIO, dimensions: int = DIMENSIONS, block: tuple[int, int] = (ROWS, ASKS),
+):
+    """query_id, rank, vec_id, score: the k nearest of every row whose vec_id is divisible by ``every``.
+
+    ``confidence``, ``ratio`` and ``dimensions`` (even) trade recall for work; ``block`` bounds rows and queries of a group.
+    """
     spark = vectors.sparkSession
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
@@ -210,8 +239,8 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, cell: int = CELL,
     width = max(set(widths), key=lambda w: (widths.count(w), w))
     good = good.filter(F.size("vector") == width)
     total = good.agg(F.count("*"), F.max("square")).first()
-    index = build_index(np.array([r["vector"] for r in sample if len(r["vector"]) == width]), math.sqrt(total[1]), total[0], cell, seed)
-    limit = chi_square_limit(DIMENSIONS, confidence)
+    index = build_index(np.array([r["vector"] for r in sample if len(r["vector"]) == width]), math.sqrt(total[1]), total[0], cell, seed, dimensions)
+    limit = chi_square_limit(dimensions, confidence) / ratio**2
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,11 +272,24 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, cell: int = CELL,
                 kept = folded(ids, vectors_, k)
                 ids, vectors_ = ids[kept], vectors_[kept]
             floor = right.column("floor").to_numpy().astype(np.float64)
-            n, row, score = search(index, ids, vectors_, own, asks, floor, k, limit)
+            n, row, score, _ = search(index, ids, vectors_, own, asks, floor, k, limit)
         return pa.table({"query_id": own[n], "vec_id": ids[row], "score": score})
 
+    sizes = rows.groupBy("cell").agg(F.ceil(F.count("*") / block[0]).cast("int").alias("parts"))
+
     def searched(queries: DataFrame) -> DataFrame:
-        pairs = rows.groupBy("cell").cogroup(queries.groupBy("cell"))
+        asks = queries.groupBy("cell").agg(F.ceil(F.count("*") / block[1]).cast("int").alias("blocks"))
+        plan = F.broadcast(sizes.join(asks, "cell"))  # a row for each cell: at most an eighth of the sample
+
+        def dealt(frame: DataFrame, own: str, total: str, other: str, others: str, *by: str) -> DataFrame:
+            every_other = F.explode(F.sequence(F.lit(0), F.col(others) - 1))
+            place = F.pmod(F.xxhash64(*by), F.col(total)).cast("int")
+            return frame.join(plan, "cell").withColumn(own, place).withColumn(other, every_other).drop("parts", "blocks")
+
+        left = dealt(rows, "part", "parts", "asked", "blocks", "vec_id", "vector")
+        right = dealt(queries, "asked", "blocks", "part", "parts", "query_id")
+        keys = ["cell", "part", "asked"]
+        pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys))
         return pairs.applyInArrow(lambda left, right: found(left, right), "query_id bigint, vec_id bigint, score double")
 
     first = stored(searched(asked.withColumn("floor", F.lit(float("-inf")))))
@@ -289,7 +331,8 @@ def _boxes(rows: DataFrame, index: Index, width: int) -> tuple[np.ndarray, np.nd
                 yield pa.record_batch([pa.array([cell]), low, high], names=["cell", "low", "high"])
 
     edges = rows.select("cell", "vector").mapInArrow(corners, "cell bigint, low array<double>, high array<double>")
-    least = [F.min(F.get("low", F.lit(i))).alias(f"l{i}") for i in range(DIMENSIONS)]
-    most = [F.max(F.get("high", F.lit(i))).alias(f"h{i}") for i in range(DIMENSIONS)]
+    size = index.projection.shape[1]
+    least = [F.min(F.get("low", F.lit(i))).alias(f"l{i}") for i in range(size)]
+    most = [F.max(F.get("high", F.lit(i))).alias(f"h{i}") for i in range(size)]
     found = np.array([tuple(r) for r in edges.groupBy("cell").agg(*least, *most).collect()], np.float64)
-    return found[:, 0].astype(np.int64), found[:, 1 : 1 + DIMENSIONS], found[:, 1 + DIMENSIONS :]
+    return found[:, 0].astype(np.int64), found[:, 1 : 1 + size], found[:, 1 + size :]

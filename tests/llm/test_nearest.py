@@ -69,3 +69,40 @@ def test_recall_on_driver_vectors(spark):
         assert sorted(own["rank"]) == list(range(1, 21))
         hits, total = hits + len(best & set(own["vec_id"])), total + 20
     assert hits / total >= 0.9
+
+
+@pytest.mark.parametrize("block", [(40, 4), (7, 10_000), (10_000, 3)])
+def test_small_blocks_give_the_same_rows(spark, block):
+    draw = np.random.default_rng(6)
+    rows = [(int(i), [float(np.float32(x)) for x in draw.normal(size=4)]) for i in range(300)]
+    rows += [(1000 + i, [1.0, 2.0, 3.0, 4.0]) for i in range(60)] * 2
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    found = nn.nearest(frame, cell=64, confidence=1.0, block=block).orderBy("query_id", "rank").collect()
+    expected = brute(rows)
+    assert [tuple(f)[:3] for f in found] == [e[:3] for e in expected]
+    assert np.allclose([f["score"] for f in found], [e[3] for e in expected], rtol=1e-12)
+
+
+def test_folding_nothing():
+    assert len(nn.folded(np.zeros(0, np.int64), np.zeros((0, 3)), 5)) == 0
+
+
+def test_the_stopping_test_passes_rows_over():
+    """A larger ratio verifies fewer rows; clear neighbours stay found."""
+    draw = np.random.default_rng(2)
+    middle = draw.normal(size=(40, 32)) * 4
+    vectors = (middle[:, None, :] + draw.normal(size=(40, 50, 32)) * 0.2).reshape(-1, 32)
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    ids = np.arange(len(vectors))
+    index = nn.build_index(vectors, 1.0, len(vectors), 10**9, 7)
+    asks, nothing = vectors[::50], np.full(40, -np.inf)
+    shares = []
+    for ratio in (1.0, 1.5):
+        limit = nn.chi_square_limit(nn.DIMENSIONS, nn.CONFIDENCE) / ratio**2
+        n, row, _, verified = nn.search(index, ids, vectors, ids[::50], asks, nothing, 20, limit)
+        shares.append(verified / len(asks) / len(vectors))
+        scores = asks @ vectors.T
+        scores[np.arange(40), np.arange(0, 2000, 50)] = -np.inf
+        best = [set(np.argsort(-s)[:20]) for s in scores]
+        assert np.mean([i in best[q] for q, i in zip(n, row)]) >= 0.9
+    assert shares[1] <= shares[0] < 0.5
