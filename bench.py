@@ -31,6 +31,8 @@ HEADLINE = [
     "m2_price_within_cells",
     "m3_fit_statistics",
     "m5_nested_by_aic",
+    "m6_cell_diagnostics",
+    "m8_weighted_sums",
     "q8_expected_totals",
     "q9_indicators",
 ]
