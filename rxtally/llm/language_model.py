@@ -4,11 +4,12 @@ Counting has one step for each order. Tasks reduce their texts to distinct n-gra
 packed, to the parts of their keys; parts add up what came. The highest order counts occurrences, each lower one the
 different words in front, which a part knows for its own n-grams, as each n-gram is in one part alone. A context's
 n-grams are spread over ``SPREAD`` parts by their last word, so that a context with very many followers is no hot
-part; totals of contexts and the numbers of n-grams seen once, twice and more often are added up in a further step.
+part. Contexts are n-grams of the next lower order, but for those of a text's start alone: their totals and the numbers
+of n-grams seen once, twice and more often go to the parts of that order, and are written beside its n-grams.
 
 Words are numbered by the place of their hash in sorted arrays, the vocabulary. Each part of an order writes the sorted
-hashes of its n-grams with their counts, and those of contexts with their totals, as files in the shared folder, which
-must be mounted. Scoring maps these files: a worker holds no part of the model itself, and workers of a machine share
+hashes of its n-grams with their counts, and their totals as contexts, as files in the shared folder, which must be
+mounted; tables between two orders are removed when the lower one is written. Scoring maps these files: a worker holds no part of the model itself, and workers of a machine share
 the pages they read. Probabilities are interpolated when they are looked up, from counts and discounts.
 
 n-grams are told apart by 64-bit hashes of their words' numbers. The model has everything the training texts have: no
@@ -23,12 +24,14 @@ out. Only doc_id and text are read.
 from __future__ import annotations
 
 import os
+import shutil
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxtally.llm.arrays import Parts, found, pack, save, save_narrow, sizes_of, unpack
@@ -210,38 +213,58 @@ def gather(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, order: int
         yield sent()
 
 
-def write_order(part: int, rows: list[list[bytes]], folder: str, order: int, parts: int) -> Iterator[pa.RecordBatch]:
-    """Write one part's n-grams; give on the contexts' totals and the n-grams of the next lower order."""
-    merged = unblobbed(rows)
+def write_order(part: int, rows: dict[str, list], folder: str, order: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """Write one part's n-grams and their totals as contexts; give on what the next lower order needs."""
+    nothing = [np.zeros(0, np.int64)] * (order + 1)
+    merged = unblobbed(rows["grams"]) if rows.get("grams") else nothing
     columns, counts = added_up(merged[:-1], merged[-1])
-    keys = gram_hash(columns)
-    place = np.argsort(keys)
-    save(f"{folder}/grams-{order}-{part}.npy", keys[place])
-    save_narrow(folder, f"counts-{order}", part, counts[place])
+    keys, totals = gram_hash(columns), None
     seen = np.bincount(np.minimum(counts, 5), minlength=6)[1:5]
-    out = [(part, "seen", [seen.astype(np.int64).tobytes(), np.int64(len(counts)).tobytes()])]
-    context = gram_hash(columns[:-1]) if order > 1 else np.zeros(len(counts), np.uint64)
-    groups = [counts, counts == 1, counts == 2, counts > 2]
-    by = np.argsort(context, kind="stable")
-    heads = np.flatnonzero(np.r_[True, context[by][1:] != context[by][:-1]])
-    sums = [np.add.reduceat(g[by].astype(np.int64), heads) for g in groups]
-    distinct = context[by][heads]
-    out += blobs("contexts", part_of(distinct, parts), [distinct.view(np.int64), *sums])
-    if order > 1:
+    if rows.get("contexts"):
+        contexts, totals = total_contexts(rows["contexts"])
+        # Only texts' starts are contexts and no n-grams: they get a count of 0.
+        every = np.union1d(keys, contexts)
+        both = np.zeros((len(every), 4), np.int64)
+        both[np.searchsorted(every, contexts)] = totals
+        own = np.zeros(len(every), np.int64)
+        own[np.searchsorted(every, keys)] = counts
+        save_order(folder, order, part, every, own, both)
+    else:
+        place = np.argsort(keys)
+        every = keys[place]
+        save_order(folder, order, part, every, counts[place], None)
+    out = [(part, "seen", [seen.astype(np.int64).tobytes(), np.int64(len(every)).tobytes(), np.int64(totals is not None).tobytes()])]
+    if len(counts):
+        context = gram_hash(columns[:-1]) if order > 1 else np.zeros(len(counts), np.uint64)
+        groups = [counts, counts == 1, counts == 2, counts > 2]
+        by = np.argsort(context, kind="stable")
+        heads = np.flatnonzero(np.r_[True, context[by][1:] != context[by][:-1]])
+        sums = [np.add.reduceat(g[by].astype(np.int64), heads) for g in groups]
+        distinct = context[by][heads]
+        home = gram_part([c[by][heads] for c in columns[:-1]], parts) if order > 1 else np.zeros(len(heads), np.int64)
+        # By hash, as differences of sorted numbers are short.
+        out += blobs("contexts", home, [distinct.view(np.int64), *sums])
+    if order > 1 and len(counts):
         lower, different = added_up(columns[1:], np.ones(len(counts), np.int64))
         out += blobs("grams", gram_part(lower, parts), [*lower, different])
     yield _batch(out)
 
 
-def write_contexts(part: int, rows: list[list[bytes]], folder: str, order: int) -> int:
+def total_contexts(rows: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct context hashes, sorted, with the sums of their totals."""
     merged = unblobbed(rows)
     order_by = np.argsort(merged[0].view(np.uint64), kind="stable")
     keys = merged[0].view(np.uint64)[order_by]
     heads = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    sums = np.stack([np.add.reduceat(c[order_by], heads) for c in merged[1:]], axis=1)
-    save(f"{folder}/contexts-{order}-{part}.npy", keys[heads])
-    save_narrow(folder, f"totals-{order}", part, sums)
-    return len(heads)
+    return keys[heads], np.stack([np.add.reduceat(c[order_by], heads) for c in merged[1:]], axis=1)
+
+
+def save_order(folder: str, order: int, part: int, keys: np.ndarray, counts: np.ndarray, totals: np.ndarray | None) -> None:
+    """Sorted hashes of n-grams, their counts, and their totals as contexts, if the part has such."""
+    save(f"{folder}/grams-{order}-{part}.npy", keys)
+    save_narrow(folder, f"counts-{order}", part, counts)
+    if totals is not None:
+        save_narrow(folder, f"totals-{order}", part, totals)
 
 
 @dataclass(frozen=True)
@@ -249,41 +272,42 @@ class Model:
     vocabulary: Vocabulary
     order: int
     discounts: tuple[tuple[float, float, float, float], ...]  # by order from 1, for counts of 0, 1, 2 and more
-    grams: tuple[Parts, ...]  # the files of each order's n-grams and contexts
-    contexts: tuple[Parts, ...]
+    grams: tuple[Parts, ...]  # the files of each order's n-grams, with their counts and their totals as contexts
+    totals: tuple[frozenset[int], ...]  # the parts of each order that have contexts
+    whole: tuple[int, int, int, int]  # totals of the empty context
 
-    def _counts(self, columns: list[np.ndarray]) -> np.ndarray:
+    def _looked_up(self, name: str, columns: list[np.ndarray], width: int, held: frozenset[int] | None = None) -> np.ndarray:
+        """What the files of that name have for n-grams; zeros for n-grams that are not there."""
         n = len(columns)
         files = self.grams[n - 1]
         part, keys = gram_part(columns, self.vocabulary.parts), gram_hash(columns)
         order = np.lexsort((keys, part))
-        keys, out = keys[order], np.zeros(len(keys), np.int64)
+        keys, out = keys[order], np.zeros((len(keys), width) if width > 1 else len(keys), np.int64)
         bounds = np.searchsorted(part[order], np.arange(self.vocabulary.parts + 1))
         for p in np.flatnonzero(np.diff(bounds)):
+            if held is not None and p not in held:
+                continue
             own = slice(bounds[p], bounds[p + 1])
             hit, place = found(files(f"grams-{n}", p), keys[own])
             if hit.any():
-                out[order[own][hit]] = files.narrow(f"counts-{n}", p, place[hit])
+                out[order[own][hit]] = files.narrow(f"{name}-{n}", p, place[hit])
         return out
 
-    def _totals(self, context: np.ndarray, order: int) -> np.ndarray:
-        distinct, back = np.unique(context, return_inverse=True)
-        out = np.zeros((len(distinct), 4), np.int64)
-        bounds = np.searchsorted(part_of(distinct, self.vocabulary.parts), np.arange(self.vocabulary.parts + 1))
-        for p in np.flatnonzero(np.diff(bounds)):
-            own = slice(bounds[p], bounds[p + 1])
-            hit, place = found(self.contexts[order - 1](f"contexts-{order}", p), distinct[own])
-            if hit.any():
-                out[own][hit] = self.contexts[order - 1].narrow(f"totals-{order}", p, place[hit])
-        return out[back]
+    def _counts(self, columns: list[np.ndarray]) -> np.ndarray:
+        return self._looked_up("counts", columns, 1)
+
+    def _totals(self, context: list[np.ndarray], rows: int) -> np.ndarray:
+        if not context:
+            return np.tile(np.array(self.whole, np.int64), (rows, 1))
+        _, first, back = np.unique(gram_hash(context), return_index=True, return_inverse=True)
+        return self._looked_up("totals", [c[first] for c in context], 4, self.totals[len(context) - 1])[back]
 
     def probabilities(self, columns: list[np.ndarray]) -> np.ndarray:
         """The interpolated probability of each row's last word after the words in front."""
         chance = np.full(len(columns[-1]), 1 / (self.vocabulary.size + 1))
         for n in range(1, self.order + 1):
             own, discount = columns[self.order - n :], np.array(self.discounts[n - 1])
-            context = gram_hash(own[:-1]) if n > 1 else np.zeros(len(chance), np.uint64)
-            totals, counts = self._totals(context, n), self._counts(own)
+            totals, counts = self._totals(own[:-1], len(chance)), self._counts(own)
             total = np.maximum(totals[:, 0], 1)
             direct = (counts - discount[np.minimum(counts, 3)]) / total
             left = totals[:, 1:] @ discount[1:] / total
@@ -305,16 +329,14 @@ def discounts(seen: np.ndarray) -> tuple[float, float, float, float]:
     return (0.0, *(min(d, float(k)) for k, d in enumerate(raw, 1))) if min(raw) > 0 else (0.0, y, y, y)
 
 
-def _writers(folder: str, order: int, parts: int):
-    def grams(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        rows = table.column("columns").to_pylist()
-        return pa.Table.from_batches(write_order(key[0].as_py(), rows, folder, order, parts))
-
-    def contexts(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        size = write_contexts(key[0].as_py(), table.column("columns").to_pylist(), folder, order)
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "size": [size]})
+def _writer(folder: str, order: int, parts: int):
+    def write(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        own: dict[str, list] = {}
+        for kind, columns in zip(table.column("kind").to_pylist(), table.column("columns").to_pylist()):
+            own.setdefault(kind, []).append(columns)
+        return pa.Table.from_batches(write_order(key[0].as_py(), own, folder, order, parts))
 
-    return grams, contexts
+    return write
 
 
 def train(documents: DataFrame, order: int = ORDER) -> Model:
@@ -323,21 +345,37 @@ def train(documents: DataFrame, order: int = ORDER) -> Model:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = mounted_path(shared_folder(spark))
     os.makedirs(folder, exist_ok=True)
-    vocabulary = count_words(documents, folder, parts)
-    hashes = documents.select(token_hashes(F.col("text")).alias("hashes"))
-    grams = hashes.mapInArrow(lambda b: gather(b, vocabulary, order), SHAPE)
-    found_discounts, gram_files, context_files = [], [], []
-    for n in range(order, 0, -1):
-        made, write, total = f"{folder}/made-{n}", *_writers(folder, n, parts)
-        grams.filter("kind = 'grams'").groupBy("part").applyInArrow(write, SHAPE).write.parquet(f"file://{made}")
-        made = spark.read.schema(SHAPE).parquet(f"file://{made}")
-        seen = made.filter("kind = 'seen'").select("part", "columns").collect()  # one short row from each part
-        found_discounts.insert(0, discounts(sum((np.frombuffer(r[1][0], np.int64) for r in seen), np.zeros(4, np.int64))))
-        gram_files.insert(0, Parts(folder, sizes_of([(r[0], np.frombuffer(r[1][1], np.int64)[0]) for r in seen], parts)))
-        totals = made.filter("kind = 'contexts'").groupBy("part").applyInArrow(total, "part int, size bigint").collect()
-        context_files.insert(0, Parts(folder, sizes_of(totals, parts)))
-        grams = made
-    return Model(vocabulary, order, tuple(found_discounts), tuple(gram_files), tuple(context_files))
+    with shuffles_removed(spark):
+        vocabulary = count_words(documents, folder, parts)
+        hashes = documents.select(token_hashes(F.col("text")).alias("hashes"))
+        rows = hashes.mapInArrow(lambda b: gather(b, vocabulary, order), SHAPE)
+        found_discounts, files, totals, before = [], [], [], None
+        for n in range(order, 0, -1):
+            path = f"{folder}/made-{n}"
+            rows.filter("kind != 'seen'").groupBy("part").applyInArrow(_writer(folder, n, parts), SHAPE).write.parquet(f"file://{path}")
+            if before:
+                shutil.rmtree(before)
+            rows, before = spark.read.schema(SHAPE).parquet(f"file://{path}"), path
+            seen = rows.filter("kind = 'seen'").select("part", "columns").collect()  # one short row from each part
+            found_discounts.insert(0, discounts(sum((np.frombuffer(r[1][0], np.int64) for r in seen), np.zeros(4, np.int64))))
+            files.insert(0, Parts(folder, sizes_of([(r[0], np.frombuffer(r[1][1], np.int64)[0]) for r in seen], parts)))
+            totals.insert(0, frozenset(r[0] for r in seen if np.frombuffer(r[1][2], np.int64)[0]))
+    # The empty context has one short row from each part of the lowest order.
+    last = [r["columns"] for r in rows.filter("kind = 'contexts'").select("columns").collect()]
+    whole = tuple(int(x) for x in total_contexts(last)[1][0]) if last else (0, 0, 0, 0)
+    return Model(vocabulary, order, tuple(found_discounts), tuple(files), tuple(totals), whole)
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Have Spark remove the shuffle files of a step when it has ended: what follows reads what the step wrote."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def scored(documents: DataFrame, model: Model) -> DataFrame:
