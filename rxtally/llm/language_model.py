@@ -40,7 +40,7 @@ from rxtally.llm.text import crc_remainder, lowered, words
 
 SPREAD = 8
 TOKENS = 1 << 20  # tokens worked on together
-HELD = 1 << 22  # tokens gathered before their n-grams are sent
+HELD = 1 << 21  # tokens gathered before their n-grams are sent
 ORDER = 3  # words of the longest n-grams, unless a caller says otherwise
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -77,9 +77,35 @@ def gram_part(columns: list[np.ndarray], parts: int) -> np.ndarray:
     return part_of(mixed(columns[-1] % SPREAD if len(columns) > 1 else columns[-1], context), parts)
 
 
+def sort_order(columns: list[np.ndarray]) -> np.ndarray:
+    """The order of rows by columns of numbers from 0, the first column first; equal rows in any order.
+
+    Numbers are packed into one 64-bit key. Bits of the last column that have no room there are compared afterwards,
+    among the rows whose keys are equal.
+    """
+    widths = [max(int(c.max(initial=0)).bit_length(), 1) for c in columns]
+    over = max(sum(widths) - 64, 0)
+    if over >= widths[-1]:
+        return np.lexsort(columns[::-1])
+    key = np.zeros(len(columns[0]), np.uint64)
+    for column, width in zip(columns[:-1], widths):
+        key = key << np.uint64(width) | column.astype(np.uint64)
+    key = key << np.uint64(widths[-1] - over) | (columns[-1] >> over).astype(np.uint64)
+    order = np.argsort(key)
+    if over:
+        key, last = key[order], columns[-1][order]
+        same = key[1:] == key[:-1]
+        run = np.concatenate([[0], np.cumsum(~same)])[: len(key)]
+        uneven = np.zeros(run[-1] + 1 if len(run) else 0, bool)
+        uneven[run[1:][same & (last[1:] != last[:-1])]] = True
+        rows = np.flatnonzero(uneven[run])
+        order[rows] = order[rows][np.lexsort((last[rows], key[rows]))]
+    return order
+
+
 def added_up(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Distinct rows of the columns, sorted, with the sums of their counts."""
-    order = np.lexsort(columns[::-1])
+    order = sort_order(columns)
     columns, counts = [c[order] for c in columns], counts[order]
     head = np.zeros(len(counts), bool)
     head[:1] = True
@@ -218,32 +244,33 @@ def write_order(part: int, rows: dict[str, list], folder: str, order: int, parts
     nothing = [np.zeros(0, np.int64)] * (order + 1)
     merged = unblobbed(rows["grams"]) if rows.get("grams") else nothing
     columns, counts = added_up(merged[:-1], merged[-1])
-    keys, totals = gram_hash(columns), None
     seen = np.bincount(np.minimum(counts, 5), minlength=6)[1:5]
+    keys, totals = gram_hash(columns), None
+    place = np.argsort(keys)
+    every, own = keys[place], counts[place]
     if rows.get("contexts"):
-        contexts, totals = total_contexts(rows["contexts"])
+        contexts, sums = total_contexts(rows["contexts"])
         # Only texts' starts are contexts and no n-grams: they get a count of 0.
-        every = np.union1d(keys, contexts)
-        both = np.zeros((len(every), 4), np.int64)
-        both[np.searchsorted(every, contexts)] = totals
-        own = np.zeros(len(every), np.int64)
-        own[np.searchsorted(every, keys)] = counts
-        save_order(folder, order, part, every, own, both)
-    else:
-        place = np.argsort(keys)
-        every = keys[place]
-        save_order(folder, order, part, every, counts[place], None)
+        starts = contexts[~found(every, contexts)[0]]
+        at = np.searchsorted(every, starts)
+        every, own = np.insert(every, at, starts), np.insert(own, at, 0)
+        totals = np.zeros((len(every), 4), np.int64)
+        totals[np.searchsorted(every, contexts)] = sums
+    save_order(folder, order, part, every, own, totals)
     out = [(part, "seen", [seen.astype(np.int64).tobytes(), np.int64(len(every)).tobytes(), np.int64(totals is not None).tobytes()])]
     if len(counts):
-        context = gram_hash(columns[:-1]) if order > 1 else np.zeros(len(counts), np.uint64)
-        groups = [counts, counts == 1, counts == 2, counts > 2]
-        by = np.argsort(context, kind="stable")
-        heads = np.flatnonzero(np.r_[True, context[by][1:] != context[by][:-1]])
-        sums = [np.add.reduceat(g[by].astype(np.int64), heads) for g in groups]
-        distinct = context[by][heads]
-        home = gram_part([c[by][heads] for c in columns[:-1]], parts) if order > 1 else np.zeros(len(heads), np.int64)
-        # By hash, as differences of sorted numbers are short.
-        out += blobs("contexts", home, [distinct.view(np.int64), *sums])
+        # Sorted rows have those of a context together.
+        head = np.zeros(len(counts), bool)
+        head[0] = True
+        for column in columns[:-1]:
+            head[1:] |= column[1:] != column[:-1]
+        heads = np.flatnonzero(head)
+        contexts = [c[heads] for c in columns[:-1]]
+        hashes = gram_hash(contexts) if order > 1 else np.zeros(1, np.uint64)
+        home = gram_part(contexts, parts) if order > 1 else np.zeros(1, np.int64)
+        sums = [np.add.reduceat(g.astype(np.int64), heads) for g in (counts, counts == 1, counts == 2, counts > 2)]
+        by = np.argsort(hashes)  # differences of sorted numbers are short
+        out += blobs("contexts", home[by], [hashes[by].view(np.int64), *(x[by] for x in sums)])
     if order > 1 and len(counts):
         lower, different = added_up(columns[1:], np.ones(len(counts), np.int64))
         out += blobs("grams", gram_part(lower, parts), [*lower, different])
@@ -281,16 +308,17 @@ class Model:
         n = len(columns)
         files = self.grams[n - 1]
         part, keys = gram_part(columns, self.vocabulary.parts), gram_hash(columns)
-        order = np.lexsort((keys, part))
-        keys, out = keys[order], np.zeros((len(keys), width) if width > 1 else len(keys), np.int64)
+        order = np.argsort(part.astype(np.uint16) if self.vocabulary.parts < 1 << 16 else part, kind="stable")
+        out = np.zeros((len(keys), width) if width > 1 else len(keys), np.int64)
         bounds = np.searchsorted(part[order], np.arange(self.vocabulary.parts + 1))
         for p in np.flatnonzero(np.diff(bounds)):
             if held is not None and p not in held:
                 continue
-            own = slice(bounds[p], bounds[p + 1])
+            own = order[bounds[p] : bounds[p + 1]]
+            own = own[np.argsort(keys[own])]
             hit, place = found(files(f"grams-{n}", p), keys[own])
             if hit.any():
-                out[order[own][hit]] = files.narrow(f"{name}-{n}", p, place[hit])
+                out[own[hit]] = files.narrow(f"{name}-{n}", p, place[hit])
         return out
 
     def _counts(self, columns: list[np.ndarray]) -> np.ndarray:
@@ -299,8 +327,7 @@ class Model:
     def _totals(self, context: list[np.ndarray], rows: int) -> np.ndarray:
         if not context:
             return np.tile(np.array(self.whole, np.int64), (rows, 1))
-        _, first, back = np.unique(gram_hash(context), return_index=True, return_inverse=True)
-        return self._looked_up("totals", [c[first] for c in context], 4, self.totals[len(context) - 1])[back]
+        return self._looked_up("totals", context, 4, self.totals[len(context) - 1])
 
     def probabilities(self, columns: list[np.ndarray]) -> np.ndarray:
         """The interpolated probability of each row's last word after the words in front."""

@@ -136,3 +136,22 @@ def test_a_missing_file_is_an_error(spark):
     Path(f"{model.grams[1].folder}/grams-2-{part}.npy").unlink()
     with pytest.raises(Exception, match="No such file"):
         lm.scored(frame, model).collect()
+
+
+@pytest.mark.parametrize("tops", [(5, 9, 3), (1 << 22, 1 << 22, 1 << 22), (1 << 30, 1 << 31, 4), (1 << 30, 1 << 30, 1 << 30), (1 << 40, 1 << 40, 7), (70,)])
+def test_sort_order(tops):
+    """Keys that fit in 64 bits, that go beyond by some bits of the last column, and by more."""
+    draw = np.random.default_rng(3)
+    for spread in (1, 40, 3000):
+        columns = [(draw.integers(0, min(spread, top), 3000) + (top - min(spread, top)) * draw.integers(0, 2, 3000)).astype(np.int64) for top in tops]
+        order = lm.sort_order(columns)
+        assert sorted(order) == list(range(3000))
+        assert [tuple(c[i] for c in columns) for i in order] == sorted(zip(*columns))
+    assert len(lm.sort_order([np.zeros(0, np.int64)] * len(tops))) == 0
+
+
+def test_intermediate_tables_are_removed(spark):
+    model = lm.train(spark.createDataFrame([(k, f"a b c {k % 3}") for k in range(50)], "doc_id bigint, text string"))
+    left = {p.name for p in Path(model.grams[0].folder).iterdir() if p.is_dir()}
+    assert left == {"made-1"}
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
