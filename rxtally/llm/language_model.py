@@ -41,6 +41,7 @@ from rxtally.llm.text import crc_remainder, lowered, words
 SPREAD = 8
 TOKENS = 1 << 20  # tokens worked on together
 HELD = 1 << 21  # tokens gathered before their n-grams are sent
+PART = 1 << 20  # tokens for each part of an order, where that gives more parts than the session has for shuffles
 ORDER = 3  # words of the longest n-grams, unless a caller says otherwise
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -220,13 +221,13 @@ def histories(ids: np.ndarray, offsets: np.ndarray, order: int, start: int) -> l
     return [*columns, ids]
 
 
-def gather(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, order: int) -> Iterator[pa.RecordBatch]:
+def gather(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, order: int, parts: int) -> Iterator[pa.RecordBatch]:
     """Packed distinct n-grams of a task's texts."""
     held, size = [], 0
 
     def sent() -> pa.RecordBatch:
         columns, counts = added_up([np.concatenate(c) for c in zip(*held)], np.ones(size, np.int64))
-        return _batch(list(blobs("grams", gram_part(columns, vocabulary.parts), [*columns, counts])))
+        return _batch(list(blobs("grams", gram_part(columns, parts), [*columns, counts])))
 
     for _, hashes, offsets in pieces(batches, 0):
         ids, _ = vocabulary.look_up(hashes)
@@ -307,10 +308,11 @@ class Model:
         """What the files of that name have for n-grams; zeros for n-grams that are not there."""
         n = len(columns)
         files = self.grams[n - 1]
-        part, keys = gram_part(columns, self.vocabulary.parts), gram_hash(columns)
-        order = np.argsort(part.astype(np.uint16) if self.vocabulary.parts < 1 << 16 else part, kind="stable")
+        parts = len(files)
+        part, keys = gram_part(columns, parts), gram_hash(columns)
+        order = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")
         out = np.zeros((len(keys), width) if width > 1 else len(keys), np.int64)
-        bounds = np.searchsorted(part[order], np.arange(self.vocabulary.parts + 1))
+        bounds = np.searchsorted(part[order], np.arange(parts + 1))
         for p in np.flatnonzero(np.diff(bounds)):
             if held is not None and p not in held:
                 continue
@@ -374,8 +376,9 @@ def train(documents: DataFrame, order: int = ORDER) -> Model:
     os.makedirs(folder, exist_ok=True)
     with shuffles_removed(spark):
         vocabulary = count_words(documents, folder, parts)
+        parts = max(parts, -(-vocabulary.tokens // PART))
         hashes = documents.select(token_hashes(F.col("text")).alias("hashes"))
-        rows = hashes.mapInArrow(lambda b: gather(b, vocabulary, order), SHAPE)
+        rows = hashes.mapInArrow(lambda b: gather(b, vocabulary, order, parts), SHAPE)
         found_discounts, files, totals, before = [], [], [], None
         for n in range(order, 0, -1):
             path = f"{folder}/made-{n}"

@@ -155,3 +155,12 @@ def test_intermediate_tables_are_removed(spark):
     left = {p.name for p in Path(model.grams[0].folder).iterdir() if p.is_dir()}
     assert left == {"made-1"}
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_parts_follow_the_tokens(spark, monkeypatch):
+    frame = spark.createDataFrame([(k, f"a b c {k % 7} d") for k in range(90)], "doc_id bigint, text string")
+    whole = {r["doc_id"]: r["score"] for r in lm.scored(frame, lm.train(frame)).collect()}
+    monkeypatch.setattr(lm, "PART", 10)
+    model = lm.train(frame)
+    assert {len(files) for files in model.grams} == {54} and model.vocabulary.parts < 54
+    assert {r["doc_id"]: r["score"] for r in lm.scored(frame, model).collect()} == pytest.approx(whole)
