@@ -35,12 +35,36 @@ def mapped(path: str) -> np.ndarray:
     return np.load(path, mmap_mode="r")
 
 
+def narrowed(numbers: np.ndarray) -> np.ndarray:
+    """Numbers from 0 in the smallest type that holds them."""
+    return numbers.astype(np.min_scalar_type(int(numbers.max(initial=0))))
+
+
 def save_narrow(folder: str, name: str, part: int, numbers: np.ndarray) -> None:
     """Small counts in one byte each; those of 255 and more lie in a list of their own, by place."""
-    flat = numbers.ravel()
-    large = np.flatnonzero(flat >= 255)
+    large = np.flatnonzero(numbers >= 255)
     save(f"{folder}/{name}-{part}.npy", np.minimum(numbers, 255).astype(np.uint8))
-    save(f"{folder}/{name}-large-{part}.npy", np.stack([large, flat[large]]).astype(np.int64))
+    save(f"{folder}/{name}-large-{part}.npy", narrowed(large))
+    save(f"{folder}/{name}-values-{part}.npy", narrowed(numbers[large]))
+
+
+def save_rows(folder: str, name: str, part: int, rows: np.ndarray) -> None:
+    """Rows of four counts in one byte each: the place of the row among the 255 most frequent small ones of the part.
+
+    Other rows have the byte 255 and lie in a list of their own, by place.
+    """
+    small = np.flatnonzero(rows.max(axis=1) < 256)
+    keys = np.ascontiguousarray(rows[small].astype(np.uint8)).view(np.uint32).ravel()
+    kinds, many = np.unique(keys, return_counts=True)
+    known = np.sort(kinds[np.argsort(-many, kind="stable")[:255]])
+    hit, place = found(known, keys)
+    codes = np.full(len(rows), 255, np.uint8)
+    codes[small[hit]] = place[hit]
+    large = np.flatnonzero(codes == 255)
+    save(f"{folder}/{name}-{part}.npy", codes)
+    save(f"{folder}/{name}-known-{part}.npy", known.view(np.uint8).reshape(-1, 4))
+    save(f"{folder}/{name}-large-{part}.npy", narrowed(large))
+    save(f"{folder}/{name}-values-{part}.npy", narrowed(rows[large]))
 
 
 @dataclass(frozen=True)
@@ -61,16 +85,25 @@ class Parts:
         return mapped(f"{self.folder}/{name}-{part}.npy") if self.sizes[part] else np.zeros(0, np.int64)
 
     def narrow(self, name: str, part: int, places: np.ndarray) -> np.ndarray:
-        """Rows of what ``save_narrow`` wrote; ``places`` are rows of a part that has some."""
-        small, large = self(name, part), mapped(f"{self.folder}/{name}-large-{part}.npy")
-        out = small[places].astype(np.int64)
-        if large.shape[1]:
-            width = small.shape[1] if small.ndim > 1 else 1
-            flat, at = out.reshape(-1), (places[:, None] * width + np.arange(width)).ravel()
-            marked = np.flatnonzero(flat == 255)
-            flat[marked] = large[1][np.searchsorted(large[0], at[marked])]
+        """Numbers of what ``save_narrow`` wrote; ``places`` are rows of a part that has some."""
+        out = self(name, part)[places].astype(np.int64)
+        marked = np.flatnonzero(out == 255)
+        if len(marked):
+            out[marked] = self._large(name, part, places[marked])
+        return out
+
+    def rows(self, name: str, part: int, places: np.ndarray) -> np.ndarray:
+        """Rows of what ``save_rows`` wrote; ``places`` are rows of a part that has some."""
+        codes, out = self(name, part)[places], np.zeros((len(places), 4), np.int64)
+        coded = codes < 255
+        out[coded] = self(f"{name}-known", part)[codes[coded]]
+        if not coded.all():
+            out[~coded] = self._large(name, part, places[~coded])
         return out
 
+    def _large(self, name: str, part: int, places: np.ndarray) -> np.ndarray:
+        return self(f"{name}-values", part)[np.searchsorted(self(f"{name}-large", part), places)]
+
     @property
     def offsets(self) -> np.ndarray:
         return np.concatenate([[0], np.cumsum(self.sizes)]).astype(np.int64)

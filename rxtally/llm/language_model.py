@@ -2,15 +2,18 @@
 
 Counting has one step for each order. Tasks reduce their texts to distinct n-grams with counts and send them, sorted and
 packed, to the parts of their keys; parts add up what came. The highest order counts occurrences, each lower one the
-different words in front, which a part knows for its own n-grams, as each n-gram is in one part alone. A context's
-n-grams are spread over ``SPREAD`` parts by their last word, so that a context with very many followers is no hot
-part. Contexts are n-grams of the next lower order, but for those of a text's start alone: their totals and the numbers
-of n-grams seen once, twice and more often go to the parts of that order, and are written beside its n-grams.
+different words in front, which a part knows for its own n-grams, as each n-gram is in one part alone. An n-gram's part
+is that of the words between its first and its last one, so that a part has all n-grams of a context and all words in
+front of an n-gram of the next lower order, and sends either once. Where the word before the last stands more than
+``CELL`` times in the texts, its n-grams are spread over parts by their last word, as many as its count asks for.
+Contexts are n-grams of the next lower order, but for those of a text's start alone: their totals and the numbers of
+n-grams seen once, twice and more often go to the parts of that order, and are written beside its n-grams.
 
 Words are numbered by the place of their hash in sorted arrays, the vocabulary. Each part of an order writes the sorted
 hashes of its n-grams with their counts, and their totals as contexts, as files in the shared folder, which must be
-mounted; tables between two orders are removed when the lower one is written. Scoring maps these files: a worker holds no part of the model itself, and workers of a machine share
-the pages they read. Probabilities are interpolated when they are looked up, from counts and discounts.
+mounted; tables between two orders are removed when the lower one is written. Scoring maps these files: a worker holds
+no part of the model itself, and workers of a machine share the pages they read. Each n-gram of a text is looked up once
+for its count and, as the context of the token behind it, for its totals. Probabilities are interpolated from these.
 
 n-grams are told apart by 64-bit hashes of their words' numbers. The model has everything the training texts have: no
 count is cut off, no n-gram pruned.
@@ -34,14 +37,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxtally.llm.arrays import Parts, found, pack, save, save_narrow, sizes_of, unpack
+from rxtally.llm.arrays import Parts, found, pack, save, save_narrow, save_rows, sizes_of, unpack
 from rxtally.llm.storage import mounted_path, shared_folder
 from rxtally.llm.text import crc_remainder, lowered, words
 
-SPREAD = 8
 TOKENS = 1 << 20  # tokens worked on together
 HELD = 1 << 21  # tokens gathered before their n-grams are sent
 PART = 1 << 20  # tokens for each part of an order, where that gives more parts than the session has for shuffles
+CELL = 1 << 17  # tokens; n-grams of a more frequent word are spread over parts
 ORDER = 3  # words of the longest n-grams, unless a caller says otherwise
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -73,9 +76,31 @@ def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     return ((hashes >> np.uint64(33)) * np.uint64(parts) >> np.uint64(31)).astype(np.int64)
 
 
-def gram_part(columns: list[np.ndarray], parts: int) -> np.ndarray:
-    context = gram_hash(columns[:-1]) if len(columns) > 1 else np.zeros(len(columns[0]), np.uint64)
-    return part_of(mixed(columns[-1] % SPREAD if len(columns) > 1 else columns[-1], context), parts)
+@dataclass(frozen=True)
+class Placement:
+    """Which part an n-gram belongs to."""
+
+    parts: int
+    frequent: np.ndarray  # numbers of the words that stand more than ``CELL`` times, and of a text's start, sorted
+    spread: np.ndarray  # over how many parts the n-grams go that have such a word before their last one
+
+    def of(self, columns: list[np.ndarray]) -> np.ndarray:
+        if len(columns) == 1:
+            return part_of(mixed(columns[0]), self.parts)
+        hit, place = found(self.frequent, columns[-2])
+        # One part after the other, so that no two shares of a word meet in one.
+        share = np.where(hit, columns[-1] % self.spread[place], 0)
+        return (part_of(gram_hash(columns[1:-1] or columns[:1]), self.parts) + share) % self.parts
+
+
+def sent_order(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """The word before the last in front: it differs least within a part, and rows are packed in its order."""
+    return [columns[-2], *columns[:-2], columns[-1]] if len(columns) > 2 else columns
+
+
+def text_order(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """What ``sent_order`` was made of."""
+    return [*columns[1:-1], columns[0], columns[-1]] if len(columns) > 2 else columns
 
 
 def sort_order(columns: list[np.ndarray]) -> np.ndarray:
@@ -147,6 +172,13 @@ class Vocabulary:
 
     files: Parts
     tokens: int
+    frequent: tuple[tuple[int, int], ...]  # numbers and counts of words that stand more than ``CELL`` times
+
+    def placement(self, parts: int, cell: int) -> Placement:
+        spread = [min(n // cell + 1, parts) for _, n in self.frequent]
+        # Texts have one end each: their starts are no more than the tokens of the most frequent word.
+        numbers, spread = [*(word for word, _ in self.frequent), self.start], [*spread, max(spread, default=1)]
+        return Placement(parts, np.array(numbers, np.int64), np.array(spread, np.int64))
 
     @property
     def parts(self) -> int:
@@ -177,7 +209,7 @@ class Vocabulary:
         return ids[back], counts[back]
 
 
-def count_words(documents: DataFrame, folder: str, parts: int) -> Vocabulary:
+def count_words(documents: DataFrame, folder: str, parts: int, cell: int) -> Vocabulary:
     # An outer explode: an inner one would have Spark test the size of the array first, which splits the text twice.
     exploded = documents.select(F.explode_outer(token_hashes(F.col("text"))).alias("hash"))
     upper = F.shiftrightunsigned("hash", 33)
@@ -190,11 +222,16 @@ def count_words(documents: DataFrame, folder: str, parts: int) -> Vocabulary:
         order = np.argsort(hashes)
         save(f"{folder}/words-{key[0].as_py()}.npy", hashes[order])
         save(f"{folder}/word-counts-{key[0].as_py()}.npy", n[order])
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "size": [len(n)], "tokens": [int(n.sum())]})
+        frequent = np.flatnonzero(n[order] > cell)
+        lists = [pa.array([x.tolist()], pa.list_(pa.int64())) for x in (frequent, n[order][frequent])]
+        columns = [pa.array([key[0].as_py()], pa.int32()), [len(n)], [int(n.sum())], *lists]
+        return pa.table(columns, names=["part", "size", "tokens", "places", "counts"])
 
-    made = counts.groupBy("part").applyInArrow(write, "part int, size bigint, tokens bigint").collect()
-    sizes = sizes_of([(row["part"], row["size"]) for row in made], parts)
-    return Vocabulary(Parts(folder, sizes), sum(row["tokens"] for row in made))
+    shape = "part int, size bigint, tokens bigint, places array<bigint>, counts array<bigint>"
+    made = counts.groupBy("part").applyInArrow(write, shape).collect()
+    files = Parts(folder, sizes_of([(row["part"], row["size"]) for row in made], parts))
+    frequent = [(int(files.offsets[row["part"]]) + at, n) for row in made for at, n in zip(row["places"], row["counts"])]
+    return Vocabulary(files, sum(row["tokens"] for row in made), tuple(sorted(frequent)))
 
 
 def pieces(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -215,23 +252,24 @@ def histories(ids: np.ndarray, offsets: np.ndarray, order: int, start: int) -> l
     inside = np.arange(len(ids)) - np.repeat(offsets[:-1], np.diff(offsets))
     columns = []
     for back in range(order - 1, 0, -1):
-        before = np.full(len(ids), start, np.int64)
+        before = np.full(len(ids), start, ids.dtype)
         before[back:] = ids[:-back] if back < len(ids) else before[back:]
         columns.append(np.where(inside >= back, before, start))
     return [*columns, ids]
 
 
-def gather(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, order: int, parts: int) -> Iterator[pa.RecordBatch]:
+def gather(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, order: int, placement: Placement) -> Iterator[pa.RecordBatch]:
     """Packed distinct n-grams of a task's texts."""
     held, size = [], 0
+    kind = np.int32 if vocabulary.start < 1 << 31 else np.int64
 
     def sent() -> pa.RecordBatch:
-        columns, counts = added_up([np.concatenate(c) for c in zip(*held)], np.ones(size, np.int64))
-        return _batch(list(blobs("grams", gram_part(columns, parts), [*columns, counts])))
+        columns, counts = added_up(sent_order([np.concatenate(c) for c in zip(*held)]), np.ones(size, np.int32))
+        return _batch(list(blobs("grams", placement.of(text_order(columns)), [*columns, counts])))
 
     for _, hashes, offsets in pieces(batches, 0):
         ids, _ = vocabulary.look_up(hashes)
-        held.append(histories(ids, offsets, order, vocabulary.start))
+        held.append(histories(ids.astype(kind), offsets, order, vocabulary.start))
         size += len(ids)
         if size >= HELD:
             yield sent()
@@ -240,11 +278,12 @@ def gather(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, order: int
         yield sent()
 
 
-def write_order(part: int, rows: dict[str, list], folder: str, order: int, parts: int) -> Iterator[pa.RecordBatch]:
+def write_order(part: int, rows: dict[str, list], folder: str, order: int, placement: Placement) -> Iterator[pa.RecordBatch]:
     """Write one part's n-grams and their totals as contexts; give on what the next lower order needs."""
     nothing = [np.zeros(0, np.int64)] * (order + 1)
     merged = unblobbed(rows["grams"]) if rows.get("grams") else nothing
-    columns, counts = added_up(merged[:-1], merged[-1])
+    packed, counts = added_up(merged[:-1], merged[-1])
+    columns = text_order(packed)
     seen = np.bincount(np.minimum(counts, 5), minlength=6)[1:5]
     keys, totals = gram_hash(columns), None
     place = np.argsort(keys)
@@ -263,28 +302,30 @@ def write_order(part: int, rows: dict[str, list], folder: str, order: int, parts
         # Sorted rows have those of a context together.
         head = np.zeros(len(counts), bool)
         head[0] = True
-        for column in columns[:-1]:
+        for column in packed[:-1]:
             head[1:] |= column[1:] != column[:-1]
         heads = np.flatnonzero(head)
-        contexts = [c[heads] for c in columns[:-1]]
-        hashes = gram_hash(contexts) if order > 1 else np.zeros(1, np.uint64)
-        home = gram_part(contexts, parts) if order > 1 else np.zeros(1, np.int64)
         sums = [np.add.reduceat(g.astype(np.int64), heads) for g in (counts, counts == 1, counts == 2, counts > 2)]
-        by = np.argsort(hashes)  # differences of sorted numbers are short
-        out += blobs("contexts", home[by], [hashes[by].view(np.int64), *(x[by] for x in sums)])
-    if order > 1 and len(counts):
-        lower, different = added_up(columns[1:], np.ones(len(counts), np.int64))
-        out += blobs("grams", gram_part(lower, parts), [*lower, different])
+        if order > 1:
+            contexts = [c[heads] for c in columns[:-1]]
+            by = sort_order(sent_order(contexts))  # differences of sorted numbers are short
+            contexts, sums = [c[by] for c in contexts], [x[by] for x in sums]
+            out += blobs("contexts", placement.of(contexts), [*sent_order(contexts), *sums])
+            lower, different = added_up(sent_order(columns[1:]), np.ones(len(counts), np.int64))
+            out += blobs("grams", placement.of(text_order(lower)), [*lower, different])
+        else:
+            out += blobs("contexts", np.zeros(1, np.int64), [np.zeros(1, np.int64), *sums])
     yield _batch(out)
 
 
 def total_contexts(rows: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct context hashes, sorted, with the sums of their totals."""
+    """Hashes of distinct contexts, sorted, with the sums of their totals."""
     merged = unblobbed(rows)
-    order_by = np.argsort(merged[0].view(np.uint64), kind="stable")
-    keys = merged[0].view(np.uint64)[order_by]
+    hashes = gram_hash(text_order(merged[:-4]))
+    order_by = np.argsort(hashes)
+    keys = hashes[order_by]
     heads = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    return keys[heads], np.stack([np.add.reduceat(c[order_by], heads) for c in merged[1:]], axis=1)
+    return keys[heads], np.stack([np.add.reduceat(c[order_by], heads) for c in merged[-4:]], axis=1)
 
 
 def save_order(folder: str, order: int, part: int, keys: np.ndarray, counts: np.ndarray, totals: np.ndarray | None) -> None:
@@ -292,7 +333,7 @@ def save_order(folder: str, order: int, part: int, keys: np.ndarray, counts: np.
     save(f"{folder}/grams-{order}-{part}.npy", keys)
     save_narrow(folder, f"counts-{order}", part, counts)
     if totals is not None:
-        save_narrow(folder, f"totals-{order}", part, totals)
+        save_rows(folder, f"totals-{order}", part, totals)
 
 
 @dataclass(frozen=True)
@@ -302,45 +343,54 @@ class Model:
     discounts: tuple[tuple[float, float, float, float], ...]  # by order from 1, for counts of 0, 1, 2 and more
     grams: tuple[Parts, ...]  # the files of each order's n-grams, with their counts and their totals as contexts
     totals: tuple[frozenset[int], ...]  # the parts of each order that have contexts
+    placement: Placement
     whole: tuple[int, int, int, int]  # totals of the empty context
 
-    def _looked_up(self, name: str, columns: list[np.ndarray], width: int, held: frozenset[int] | None = None) -> np.ndarray:
-        """What the files of that name have for n-grams; zeros for n-grams that are not there."""
+    def _looked_up(self, columns: list[np.ndarray], as_context: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """The counts of n-grams, and their totals as contexts if asked for; zeros for n-grams that are not there."""
         n = len(columns)
         files = self.grams[n - 1]
         parts = len(files)
-        part, keys = gram_part(columns, parts), gram_hash(columns)
+        part, keys = self.placement.of(columns), gram_hash(columns)
         order = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")
-        out = np.zeros((len(keys), width) if width > 1 else len(keys), np.int64)
+        counts, totals = np.zeros(len(keys), np.int64), np.zeros((len(keys) * as_context, 4), np.int64)
         bounds = np.searchsorted(part[order], np.arange(parts + 1))
         for p in np.flatnonzero(np.diff(bounds)):
-            if held is not None and p not in held:
-                continue
             own = order[bounds[p] : bounds[p + 1]]
             own = own[np.argsort(keys[own])]
             hit, place = found(files(f"grams-{n}", p), keys[own])
             if hit.any():
-                out[own[hit]] = files.narrow(f"{name}-{n}", p, place[hit])
-        return out
-
-    def _counts(self, columns: list[np.ndarray]) -> np.ndarray:
-        return self._looked_up("counts", columns, 1)
-
-    def _totals(self, context: list[np.ndarray], rows: int) -> np.ndarray:
-        if not context:
-            return np.tile(np.array(self.whole, np.int64), (rows, 1))
-        return self._looked_up("totals", context, 4, self.totals[len(context) - 1])
+                own, place = own[hit], place[hit]
+                counts[own] = files.narrow(f"counts-{n}", p, place)
+                if as_context and p in self.totals[n - 1]:
+                    totals[own] = files.rows(f"totals-{n}", p, place)
+        return counts, totals
+
+    def _interpolated(self, n: int, counts: np.ndarray, totals: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        discount, total = np.array(self.discounts[n - 1]), np.maximum(totals[:, 0], 1)
+        direct = (counts - discount[np.minimum(counts, 3)]) / total
+        left = totals[:, 1:] @ discount[1:] / total
+        return np.where(totals[:, 0] > 0, direct + left * lower, lower)
 
     def probabilities(self, columns: list[np.ndarray]) -> np.ndarray:
         """The interpolated probability of each row's last word after the words in front."""
         chance = np.full(len(columns[-1]), 1 / (self.vocabulary.size + 1))
         for n in range(1, self.order + 1):
-            own, discount = columns[self.order - n :], np.array(self.discounts[n - 1])
-            totals, counts = self._totals(own[:-1], len(chance)), self._counts(own)
-            total = np.maximum(totals[:, 0], 1)
-            direct = (counts - discount[np.minimum(counts, 3)]) / total
-            left = totals[:, 1:] @ discount[1:] / total
-            chance = np.where(totals[:, 0] > 0, direct + left * chance, chance)
+            own = columns[self.order - n :]
+            totals = self._looked_up(own[:-1])[1] if n > 1 else np.tile(np.array(self.whole, np.int64), (len(chance), 1))
+            chance = self._interpolated(n, self._looked_up(own, False)[0], totals, chance)
+        return chance
+
+    def text_probabilities(self, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The same for every token of texts, none empty: a token's context is the n-gram that ends in front of it."""
+        chance = np.full(len(ids), 1 / (self.vocabulary.size + 1))
+        totals = np.tile(np.array(self.whole, np.int64), (len(ids), 1))
+        for n in range(1, self.order + 1):
+            counts, behind = self._looked_up(histories(ids, offsets, n, self.vocabulary.start), n < self.order)
+            chance = self._interpolated(n, counts, totals, chance)
+            if n < self.order and len(ids):
+                totals = np.roll(behind, 1, axis=0)
+                totals[offsets[:-1]] = self._looked_up([np.full(1, self.vocabulary.start)] * n)[1]
         return chance
 
 
@@ -358,31 +408,32 @@ def discounts(seen: np.ndarray) -> tuple[float, float, float, float]:
     return (0.0, *(min(d, float(k)) for k, d in enumerate(raw, 1))) if min(raw) > 0 else (0.0, y, y, y)
 
 
-def _writer(folder: str, order: int, parts: int):
+def _writer(folder: str, order: int, placement: Placement):
     def write(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         own: dict[str, list] = {}
         for kind, columns in zip(table.column("kind").to_pylist(), table.column("columns").to_pylist()):
             own.setdefault(kind, []).append(columns)
-        return pa.Table.from_batches(write_order(key[0].as_py(), own, folder, order, parts))
+        return pa.Table.from_batches(write_order(key[0].as_py(), own, folder, order, placement))
 
     return write
 
 
-def train(documents: DataFrame, order: int = ORDER) -> Model:
+def train(documents: DataFrame, order: int = ORDER, cell: int = CELL) -> Model:
     """Count the texts of ``documents`` and write the model's arrays."""
     spark = documents.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = mounted_path(shared_folder(spark))
     os.makedirs(folder, exist_ok=True)
     with shuffles_removed(spark):
-        vocabulary = count_words(documents, folder, parts)
+        vocabulary = count_words(documents, folder, parts, cell)
         parts = max(parts, -(-vocabulary.tokens // PART))
+        placement = vocabulary.placement(parts, cell)
         hashes = documents.select(token_hashes(F.col("text")).alias("hashes"))
-        rows = hashes.mapInArrow(lambda b: gather(b, vocabulary, order, parts), SHAPE)
+        rows = hashes.mapInArrow(lambda b: gather(b, vocabulary, order, placement), SHAPE)
         found_discounts, files, totals, before = [], [], [], None
         for n in range(order, 0, -1):
             path = f"{folder}/made-{n}"
-            rows.filter("kind != 'seen'").groupBy("part").applyInArrow(_writer(folder, n, parts), SHAPE).write.parquet(f"file://{path}")
+            rows.filter("kind != 'seen'").groupBy("part").applyInArrow(_writer(folder, n, placement), SHAPE).write.parquet(f"file://{path}")
             if before:
                 shutil.rmtree(before)
             rows, before = spark.read.schema(SHAPE).parquet(f"file://{path}"), path
@@ -393,7 +444,7 @@ def train(documents: DataFrame, order: int = ORDER) -> Model:
     # The empty context has one short row from each part of the lowest order.
     last = [r["columns"] for r in rows.filter("kind = 'contexts'").select("columns").collect()]
     whole = tuple(int(x) for x in total_contexts(last)[1][0]) if last else (0, 0, 0, 0)
-    return Model(vocabulary, order, tuple(found_discounts), tuple(files), tuple(totals), whole)
+    return Model(vocabulary, order, tuple(found_discounts), tuple(files), tuple(totals), placement, whole)
 
 
 @contextmanager
@@ -417,7 +468,7 @@ def scored(documents: DataFrame, model: Model) -> DataFrame:
         words_, n_train = model.vocabulary, model.vocabulary.tokens
         for part, hashes, offsets in pieces(batches, 1):
             ids, counts = words_.look_up(hashes)
-            chance = model.probabilities(histories(ids, offsets, model.order, words_.start))
+            chance = model.text_probabilities(ids, offsets)
             base = np.log10((counts + 0.1) / (n_train + 0.1 * (words_.size + 1)))
             sums = [np.add.reduceat(x, offsets[:-1]) for x in (counts > 0, base, np.log10(chance))]
             columns = [np.diff(offsets), sums[0].astype(np.int64), np.full(part.num_rows, n_train, np.int64), *sums[1:]]

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rxtally.llm import language_model as lm
+from rxtally.llm.arrays import Parts, save_narrow, save_rows
 from rxtally.llm.queries import QUERIES
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -76,7 +77,7 @@ def compare(frame, order):
         assert f[4] == pytest.approx(e[4], rel=1e-9) and f[5] == pytest.approx(e[5], rel=1e-9)
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
 def test_driver_documents(spark, order):
     compare(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text"), order)
 
@@ -164,3 +165,40 @@ def test_parts_follow_the_tokens(spark, monkeypatch):
     model = lm.train(frame)
     assert {len(files) for files in model.grams} == {54} and model.vocabulary.parts < 54
     assert {r["doc_id"]: r["score"] for r in lm.scored(frame, model).collect()} == pytest.approx(whole)
+
+
+def test_frequent_words_are_spread_over_parts(spark):
+    """One word is a third of all; its n-grams lie in several parts, and scores stay those of the plain model."""
+    texts = [f"the {k % 40} the {k % 9} a{k % 5} the {k % 23}" for k in range(150)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    model, plain = lm.train(frame, cell=20), Plain(texts, 3)
+    assert len(model.vocabulary.frequent) > 1 and model.placement.spread.max() == len(model.grams[2])
+    word = max(model.vocabulary.frequent, key=lambda x: x[1])[0]
+    others = np.arange(model.vocabulary.size)
+    assert len(set(model.placement.of([others, np.full(len(others), word), others]))) == model.placement.parts > 1
+    rare = np.setdiff1d(others, [w for w, _ in model.vocabulary.frequent])[0]
+    assert len(set(model.placement.of([others, np.full(len(others), rare), others]))) == 1
+    scores = {r["doc_id"]: r["score"] for r in lm.scored(frame, model).collect()}
+    assert scores == pytest.approx({k: plain.row(k, t)[-1] for k, t in enumerate(texts)}, rel=1e-9)
+
+
+def test_texts_and_rows_have_the_same_probabilities(spark):
+    frame = spark.createDataFrame([(k, f"a b {k % 3} c a b") for k in range(60)], "doc_id bigint, text string")
+    model = lm.train(frame)
+    start, unknown = model.vocabulary.start, model.vocabulary.unknown
+    ids, offsets = np.array([0, 1, 2, unknown, 1, 2, 0, 3, 3]), np.array([0, 4, 5, 9])
+    rows = model.probabilities(lm.histories(ids, offsets, 3, start))
+    assert model.text_probabilities(ids, offsets) == pytest.approx(rows, rel=1e-12)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_rows_of_counts_are_kept_whole(tmp_path, seed):
+    """Frequent rows, more than 255 kinds, and numbers beyond one and two bytes."""
+    draw = np.random.default_rng(seed)
+    rows = np.concatenate([np.tile([[1, 1, 0, 0]], (500, 1)), draw.integers(0, 9, (3000, 4)), draw.integers(0, 1 << (10 + 12 * seed), (40, 4))])
+    rows = rows[draw.permutation(len(rows))]
+    save_rows(str(tmp_path), "totals", 0, rows)
+    save_narrow(str(tmp_path), "counts", 0, rows[:, 0])
+    parts, places = Parts(str(tmp_path), (len(rows),)), draw.integers(0, len(rows), 5000)
+    assert (parts.rows("totals", 0, places) == rows[places]).all()
+    assert (parts.narrow("counts", 0, places) == rows[places, 0]).all()
