@@ -3,7 +3,8 @@
 Round j adds the suffix of length j of every string: the symbol before its suffix of length j - 1 tells where. The
 transform and the array of common prefixes are read once from front to back in each round and written anew with the new
 rows put in between: two arrays of one byte a row. Nothing else is kept from round to round but one row number for each
-string. The arrays are held in memory, not in files, as collections come in small sets (``suffix_dedup.STRINGS``).
+string. The arrays are held in memory, as most collections come in small sets (``suffix_dedup.STRINGS``); those of
+large ones are files (``external_bwt``).
 
 A new suffix ``cX`` follows the suffix ``cY`` of the nearest row above X that has the symbol c; their common prefix is
 one more than the least common prefix of the rows between Y and X. The row below changes likewise.

@@ -12,7 +12,8 @@ the collection is cut first, by content, into parts that share no string of ``WI
     part of their anchor. The different fragments of an anchor are a collection: a part builds the transform and common
     prefixes of its collections, one symbol of each string a round (``collection_bwt``), in sets of about ``STRINGS``
     strings. (If all documents have the same fragment at an anchor, its collection is one string and there is nothing
-    to sort.) Neighbours with a common prefix of ``WIDTH`` or more are the
+    to sort.) A set of over ``LARGE`` strings is built in sequential files of the shared folder (``external_bwt``), so that
+    its rows, about 70 for each string, are never held. Neighbours with a common prefix of ``WIDTH`` or more are the
     same window; the least doc_id of each such run goes into sorted arrays, a fragment's hash with its windows.
 3.  A third pass maps these arrays, looks up each document's fragments, and marks the bytes of windows whose least
     doc_id is smaller than its own.
@@ -45,8 +46,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rxtally.llm import collection_bwt, external_bwt
 from rxtally.llm.arrays import Parts, pack, save, sizes_of, unpack
-from rxtally.llm.collection_bwt import window_classes
 from rxtally.llm.storage import mounted_path, shared_folder
 
 WIDTH = 50
@@ -56,6 +57,7 @@ KEY_BITS = 40
 CHUNK = 1 << 16  # bytes looked at together: the arrays stay in a core's cache
 HELD = 1 << 21  # anchors or fragments gathered before they are sent
 STRINGS = 4096
+LARGE = 1 << 16  # strings of a set that is built in files
 NO_DOC = np.iinfo(np.int64).max
 BYTE_HASH = np.random.default_rng(50).integers(0, 2**64, 256, dtype=np.uint64)
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -260,7 +262,7 @@ def fragments(batches: Iterator[pa.RecordBatch], shared: Parts) -> Iterator[pa.R
 FRAGMENT_COLUMNS = ["keys", "least", "spread", "lengths", "bytes"]
 
 
-def least_documents(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def least_documents(table: pa.Table, folder: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """hash, first, offset, doc: for every fragment that may lose bytes, its windows' least doc_ids, in runs.
 
     The runs of fragment i are ``first[i]`` to ``first[i + 1]``; each holds from its offset on.
@@ -302,7 +304,9 @@ def least_documents(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray
         if len(several):
             text = np.frombuffer(b"".join(mine[i] for i in several.tolist()), np.uint8)
             starts = np.cumsum(lengths[several]) - lengths[several]
-            classes = window_classes(text, starts, lengths[several], WIDTH, facts[own, 1][several])
+            collection = (text, starts, lengths[several], WIDTH, facts[own, 1][several])
+            large = len(several) > LARGE
+            classes = external_bwt.window_classes(*collection, folder) if large else collection_bwt.window_classes(*collection)
             string = np.concatenate([string, several[classes[0]]])
             offset, least = np.concatenate([offset, classes[1]]), np.concatenate([least, classes[2]])
         by_place = np.lexsort((offset, string))
@@ -398,7 +402,7 @@ def index(documents: DataFrame) -> tuple[Parts, Parts]:
         return kept(key, found)
 
     def keep_least(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        arrays = least_documents(table)
+        arrays = least_documents(table, folder)
         for name, array in zip(ARRAYS, arrays):
             save(f"{folder}/{name}-{key[0].as_py()}.npy", array)
         # The files are there even without a fragment that loses bytes.

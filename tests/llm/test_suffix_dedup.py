@@ -3,10 +3,13 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
-from rxtally.llm import collection_bwt, suffix_dedup
+from rxtally.llm import collection_bwt, external_bwt, suffix_dedup
+from rxtally.llm.arrays import pack
 
 
 def brute(rows, width=50):
@@ -94,3 +97,45 @@ def test_transform(seed):
         a, b = suffixes[row - 1][0][:-1], suffixes[row][0][:-1]
         shared = next((n for n, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
         assert prefixes[row] == shared
+
+
+@pytest.mark.parametrize("block", [3, 17, 1 << 20])
+@pytest.mark.parametrize("seed", range(6))
+def test_files_hold_the_same_transform(tmp_path, seed, block):
+    """Blocks far smaller than the files, repeated strings, few and many symbols."""
+    draw = np.random.default_rng(seed)
+    strings = [draw.integers(0, draw.integers(1, [3, 255][seed % 2]), draw.integers(1, 20)).astype(np.uint8) for _ in range(draw.integers(1, 40))]
+    strings += strings[: draw.integers(0, 3)]
+    lengths = np.array([len(s) for s in strings])
+    starts, text = np.cumsum(lengths) - lengths, np.concatenate(strings)
+    bwt, prefixes = collection_bwt.build(text, starts, lengths)
+    total = external_bwt.build(text, starts, lengths, str(tmp_path), block)
+    read = {name: np.fromfile(tmp_path / name, kind) for name, kind in external_bwt.COLUMNS.items()}
+    assert total == len(bwt) and read["symbols"].tolist() == bwt.tolist() and read["prefixes"].tolist() == prefixes.tolist()
+    suffixes = sorted(([*(s[i:] + 1).tolist(), 0], k, len(s) - i) for k, s in enumerate(strings) for i in range(len(s) + 1))
+    assert [(k, n) for _, k, n in suffixes] == list(zip(read["strings"].tolist(), read["lengths"].tolist()))
+    ranks = draw.integers(0, 50, len(strings))
+    expected = sorted(zip(*(x.tolist() for x in collection_bwt.window_classes(text, starts, lengths, 5, ranks))))
+    found = external_bwt.window_classes(text, starts, lengths, 5, ranks, str(tmp_path), block)
+    assert sorted(zip(*(x.tolist() for x in found))) == expected
+    assert not [p for p in tmp_path.iterdir() if p.is_dir()]
+
+
+def test_a_large_set_is_built_in_files(tmp_path, monkeypatch):
+    """Many different texts around one anchor give the same windows in files as in memory."""
+    draw = np.random.default_rng(5)
+    anchor = b"c" * suffix_dedup.GRAM
+    sides = [bytes(draw.integers(97, 99, 26).astype(np.uint8)) for _ in range(6)]
+    texts = list({(sides[a] + anchor + sides[b])[draw.integers(0, 20) :][:76] for a in range(6) for b in range(6) for _ in range(4)})
+    texts = [t for t in texts if len(t) >= 50]
+    least, spread = draw.integers(0, 90, len(texts)), draw.integers(0, 9, len(texts))
+    numbers = [np.diff(np.full(len(texts), 7), prepend=0), least, spread, np.array([len(t) for t in texts])]
+    blob = zstandard.ZstdCompressor().compress(b"".join(texts))
+    table = pa.table([[x] for x in (*map(pack, numbers), blob)], names=suffix_dedup.FRAGMENT_COLUMNS)
+    expected = suffix_dedup.least_documents(table, str(tmp_path))
+    monkeypatch.setattr(suffix_dedup, "LARGE", 8)
+    calls = []
+    plain = external_bwt.build
+    monkeypatch.setattr(external_bwt, "build", lambda *a: calls.append(len(a[1])) or plain(*a))
+    assert [x.tolist() for x in suffix_dedup.least_documents(table, str(tmp_path))] == [x.tolist() for x in expected]
+    assert calls == [len(texts)] and len(expected[0]) > 10
