@@ -9,10 +9,11 @@ score at which spans of other documents were right as often as ``PRECISION``.
 Trees learn from the corpus. Where the surroundings decide, a span has a label: a secret after ``token =`` and the like
 is one, a run without digits or of digits alone is none; a number after a country code is a phone number, one that
 goes on in more digits is none. The trees do not see what gave the label, and so judge the spans that have none. They
-are fitted on counts of feature cells, at most ``product of the bins`` rows, of about ``SAMPLE`` documents taken by hash.
-A kind with too few labelled spans gets no threshold and adds nothing.
+are fitted on counts of feature cells, at most ``product of the bins`` rows, over all documents: a hash of the doc_id puts
+three quarters of them under the trees and the rest under the thresholds. A kind with too few labelled spans gets no
+threshold and adds nothing.
 
-Everything runs as column expressions in one scan, and one more of the sample; there is no shuffle but that of the
+Everything runs as column expressions in two scans, one to learn and one to find; there is no shuffle but that of the
 cells. Patterns are possessive and begin where a run does, so that long runs cost no more than their length; their
 matches are those of the plain patterns.
 
@@ -33,7 +34,6 @@ from rxtally.llm import boosted_trees
 from rxtally.llm.boosted_trees import Boosted
 from rxtally.llm.text import let
 
-SAMPLE = 20_000  # documents to learn from, on average
 PRECISION = 0.95
 SUPPORT = 20
 AROUND = 40  # characters kept before and after a span
@@ -180,11 +180,9 @@ class Model:
     thresholds: dict[str, float | None] = field(default_factory=dict)
 
 
-def learn(documents: DataFrame, sample: int = SAMPLE, precision: float = PRECISION, support: int = SUPPORT) -> Model:
-    """Trees fitted on three quarters of the sample's documents, thresholds on the rest."""
-    share = min(1.0, sample / max(documents.count(), 1))
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(12), "doc_id"), 11) / float(1 << 53)
-    few = documents.filter(F.col("doc_id").isNotNull() & (draw < share))
+def learn(documents: DataFrame, precision: float = PRECISION, support: int = SUPPORT) -> Model:
+    """Trees fitted on the labelled spans of three quarters of all documents with a doc_id, thresholds on the rest."""
+    named = documents.filter(F.col("doc_id").isNotNull())
     text = F.coalesce(F.col("text"), F.lit(""))
     names = [f"f{k}" for k in range(9)]
 
@@ -194,7 +192,7 @@ def learn(documents: DataFrame, sample: int = SAMPLE, precision: float = PRECISI
         )
         return F.filter(F.transform(proposed(text, generator), row), lambda c: c["label"].isNotNull())
 
-    rows = few.select(
+    rows = named.select(
         (F.pmod(F.xxhash64(F.lit(13), "doc_id"), F.lit(4)) == 0).alias("tested"),
         F.explode(F.concat(*[cells(g) for g in ADDED])).alias("c"),
     )

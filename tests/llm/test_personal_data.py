@@ -136,6 +136,17 @@ def test_learnt_kinds(spark, learnt):
     ]
 
 
+def test_learns_from_all_documents(spark):
+    """One secret in 500 documents: only all of them together hold enough to set a threshold."""
+    secret = F.concat(F.lit('token = "'), F.sha1(F.col("id").cast("string")), F.lit('"'))
+    text = F.when(F.col("id") % 500 == 0, secret).otherwise(F.lit("an Unfreundlichkeitsbescheinigung here"))
+    frame = spark.range(0, 100_000, 1, 4).select(F.col("id").alias("doc_id"), text.alias("text"))
+    model = pd.learn(frame)
+    assert model.thresholds["secret"] is not None
+    found = pd.detected(frame, model, "doc_id").filter(F.size("spans.secret") > 0)
+    assert found.count() == 200
+
+
 def test_python_and_columns_agree(spark, learnt):
     _, model = learnt
     import itertools
