@@ -2,7 +2,8 @@
 
 No side is broadcast by hint here: Spark broadcasts a dimension whose measured
 size is under its threshold and otherwise shuffles, where adaptive execution
-splits the partitions of a hot key.
+splits the partitions of a hot key. Only a drug dimension by months is always
+shuffled.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 
 from rxtally.sources.calendar import keyed_time_dim
 
+BLOCK = 20  # month keys counted in one row; a year's twelve lie in one block of its hundred keys
+
 
 def join_time(fact: DataFrame, time_dim: DataFrame) -> DataFrame:
     return fact.join(time_dim, "YEAR_MONTH")
@@ -32,12 +35,36 @@ def join_drug(fact: DataFrame, drug_dim: DataFrame) -> DataFrame:
     record and run of months (``VALID_FROM``, ``VALID_TO``). The second form is
     the one to use at scale: it is shorter by the number of months.
     """
-    record = fact["CALC_PREC_DRUG_RECORD_ID"] == drug_dim["RECORD_ID"]
     if "VALID_FROM" in drug_dim.columns:
+        record = fact["CALC_PREC_DRUG_RECORD_ID"] == drug_dim["RECORD_ID"]
         month = fact["YEAR_MONTH"].between(drug_dim["VALID_FROM"], drug_dim["VALID_TO"])
         return fact.join(drug_dim, record & month).drop("RECORD_ID", "VALID_FROM", "VALID_TO")
-    month = fact["YEAR_MONTH"] == drug_dim["YEAR_MONTH"]
-    return fact.join(drug_dim, record & month).drop(drug_dim["YEAR_MONTH"]).drop("RECORD_ID")
+    years = drug_years(drug_dim)
+    record = fact["CALC_PREC_DRUG_RECORD_ID"] == years["RECORD_ID"]
+    year = F.floor(fact["YEAR_MONTH"] / BLOCK) == years["_block"]
+    # Merged: Spark takes the size of months for that of the files they were written out from, and would broadcast them.
+    place = F.pmod(fact["YEAR_MONTH"], F.lit(BLOCK)).cast("int")
+    copies = F.coalesce(F.get("_counts", place), F.getbit("_months", place)).cast("int")
+    found = fact.join(years.hint("merge"), record & year).withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies)))
+    return found.drop("RECORD_ID", "_block", "_months", "_counts", "_copy")
+
+
+def drug_years(by_month: DataFrame) -> DataFrame:
+    """Drug dimension with one row per record, section and year, its months as the bits of ``_months``.
+
+    The months are put together before they are sent, so that few rows are. ``_block`` is the month key divided by
+    ``BLOCK``, and the rest of that division the place of the bit. Where a month has repeated rows, ``_counts`` has
+    their number by place; else it is null.
+    """
+    same = [name for name in by_month.columns if name != "YEAR_MONTH"]
+    place = F.pmod("YEAR_MONTH", F.lit(BLOCK))
+    counts = [F.count_if(place == k).alias(f"_{k}") for k in range(BLOCK)]
+    found = by_month.filter("RECORD_ID is not null and YEAR_MONTH is not null")
+    found = found.groupBy(*same, F.floor(F.col("YEAR_MONTH") / BLOCK).alias("_block")).agg(*counts)
+    each = [F.col(f"_{k}") for k in range(BLOCK)]
+    months = sum((F.shiftleft((n > 0).cast("long"), k) for k, n in enumerate(each)), F.lit(0).cast("long"))
+    repeats = F.when(F.greatest(*each) > 1, F.array(*each))
+    return found.select(*same, "_block", months.alias("_months"), repeats.alias("_counts"))
 
 
 def drug_runs(by_month: DataFrame) -> DataFrame:

@@ -100,3 +100,39 @@ def test_drug_runs_join_like_the_months(spark):
     one = joins.join_drug(fact, by_month).select("ITEM_COUNT", "BNF_SECTION", "SECTION_DESCR")
     two = joins.join_drug(fact, runs).select("ITEM_COUNT", "BNF_SECTION", "SECTION_DESCR")
     assert one.exceptAll(two).count() == 0 and two.exceptAll(one).count() == 0 and one.count() > 0
+
+
+def test_drug_by_month_keeps_repeats_and_any_key(spark):
+    months = (202212, 202301, 202300, 202399, -7, None)
+    rows = [(r, m, "0403", d) for r in (1, 2, None) for m in months for d in ("x", None)]
+    rows += [(1, 202212, "0403", "x")] * 300 + [(2, 202301, "0401", "y")]
+    by_month = spark.createDataFrame(rows, schemas.DRUG_DIM)
+    fact = spark.createDataFrame(
+        [(r, m, n) for r in (1, 2, 3, None) for m in (*months, 202302, 202319) for n in (1, 1)],
+        "CALC_PREC_DRUG_RECORD_ID bigint, YEAR_MONTH int, ITEM_COUNT int",
+    )
+    names = ["CALC_PREC_DRUG_RECORD_ID", "YEAR_MONTH", "ITEM_COUNT", "BNF_SECTION", "SECTION_DESCR"]
+    one = joins.join_drug(fact, by_month)
+    assert one.columns == names
+    two = fact.join(by_month.withColumnRenamed("RECORD_ID", "CALC_PREC_DRUG_RECORD_ID"), names[:2]).select(names)
+    assert one.count() == two.count() > 600 and one.exceptAll(two).count() == 0 and two.exceptAll(one).count() == 0
+
+
+def test_drug_by_month_is_planned_by_its_size(spark, tmp_path):
+    """A few kilobytes of records, their months written out, are not broadcast because the file is small."""
+    spark.range(2000).withColumnRenamed("id", "RECORD_ID").write.parquet(f"{tmp_path}/records")
+    months = F.array(*[F.lit(100 * y + m) for y in range(1995, 2002) for m in range(1, 13)])
+    by_month = spark.read.parquet(f"{tmp_path}/records").select(
+        "RECORD_ID", F.explode(months).alias("YEAR_MONTH"), F.lit("0403").alias("BNF_SECTION"), F.lit("x").alias("SECTION_DESCR")
+    )
+    fact = spark.range(20_000, numPartitions=4).select(
+        (F.col("id") % 3000).alias("CALC_PREC_DRUG_RECORD_ID"), (199501 + F.col("id") % 12).cast("int").alias("YEAR_MONTH"), "id"
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        found = joins.join_drug(fact.localCheckpoint(), by_month)
+        assert len(found.collect()) == 14_000
+        plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
