@@ -33,6 +33,7 @@ BITS = 64
 SUBTREE = 16_384  # fingerprints in a subtree, on average
 HASHES = 1 << 16  # hashes whose bits are spread out at a time
 LEAF = 64  # pairs below a node pair that are compared outright
+NODES = 32_768  # node pairs held and split at a time
 
 
 def shingle_hashes(text: Column, width: int = 3) -> Column:
@@ -104,18 +105,20 @@ def close_pairs(marks: np.ndarray, a: tuple[int, int], b: tuple[int, int], depth
     """
     start = np.array([[a[0], a[1], b[0], b[1]]], np.int64).T
     path = int(np.bitwise_count((marks[a[0]] ^ marks[b[0]]) >> np.uint64(BITS - depth))) if depth else 0
-    frontier, errors = start, np.array([path], np.int64)
-    for bit in range(BITS - 1 - depth, -2, -1):
+    # Depth first, in lists of at most ``NODES`` node pairs of a level, so that few are held at a time.
+    waiting = [(BITS - 1 - depth, start, np.array([path], np.int64))]
+    while waiting:
+        bit, frontier, errors = waiting.pop()
         low_a, high_a, low_b, high_b = frontier
         small = (high_a - low_a) * (high_b - low_b) <= LEAF if bit >= 0 else np.ones(len(low_a), bool)
-        for part in np.array_split(np.flatnonzero(small), max(1, int(small.sum()) // 65_536)):
-            i, j = _cross(*frontier[:, part])
+        if small.any():
+            i, j = _cross(*frontier[:, small])
             near = (np.bitwise_count(marks[i] ^ marks[j]) <= budget) & (i < j)
             if near.any():
                 yield i[near], j[near]
         frontier, errors = frontier[:, ~small], errors[~small]
         if not len(errors):
-            return
+            continue
         low_a, high_a, low_b, high_b = frontier
         middle_a = np.clip(_split(marks, low_a, bit), low_a, high_a)
         middle_b = np.clip(_split(marks, low_b, bit), low_b, high_b)
@@ -132,7 +135,8 @@ def close_pairs(marks: np.ndarray, a: tuple[int, int], b: tuple[int, int], depth
             live &= True if twice is None else ~twice
             kept.append(np.stack([l1, h1, l2, h2, wrong])[:, live])
         joined = np.concatenate(kept, axis=1)
-        frontier, errors = joined[:4], joined[4]
+        for at in range(0, joined.shape[1], NODES):
+            waiting.append((bit - 1, joined[:4, at : at + NODES], joined[4, at : at + NODES]))
 
 
 def _hook(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:

@@ -92,3 +92,17 @@ def test_components_of_chains_and_stars(spark):
     roots = {r["node"]: r["root"] for r in components.components(frame).collect()}
     assert {roots[i] for i in range(101, 161)} == {100} and {roots[i] for i in range(200, 260)} == {5}
     assert components.components(frame.limit(0)).collect() == []
+
+
+def test_pairs_are_searched_in_bounded_memory():
+    import tracemalloc
+
+    draw = np.random.default_rng(3)
+    marks = draw.integers(0, 1 << 64, 100_000, dtype=np.uint64)
+    near = marks[:5000] ^ (np.uint64(1) << draw.integers(0, 64, 5000, dtype=np.uint64))
+    marks = np.unique(np.r_[marks, near])
+    tracemalloc.start()
+    found = sum(len(i) for i, _ in simhash.close_pairs(marks, (0, len(marks)), (0, len(marks)), 0, 2))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 5000 and peak < 100e6
