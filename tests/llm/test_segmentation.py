@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rxtally.llm import segmentation as sg
 from rxtally.llm.queries import tokenizer
-from rxtally.llm.token_counts import processor
+from rxtally.llm.token_counts import processor, split
 
 PATH = tokenizer()
 
@@ -87,6 +87,36 @@ def test_edge_texts(spark):
     assert {r["text"] for r in texts} == {TEXTS[6]}
 
 
+def test_pre_tokens_are_built_once_for_many_slices(monkeypatch):
+    words = [f"w{n:04d}x" for n in range(300)]
+    slices = [[" ".join(words[n : n + 60] + words[:40])] * 3 for n in range(0, 240, 20)]
+    seeds, built, build = np.array([4, 5, 6]), [], sg.build
+    monkeypatch.setattr(sg, "build", lambda tokens, vocabulary: built.extend(tokens) or build(tokens, vocabulary))
+    alone = [sg.segment(texts, seeds, PATH, 2) for texts in slices]
+    once = len({w for (text, *_) in slices for w in sg.pre_tokens(text)})
+    for held, most in ((sg.HELD, once), (1 << 10, len(built) - 300), (0, len(built))):
+        monkeypatch.setattr(sg, "HELD", held)
+        built.clear()
+        known = sg.Known(sg.pieces(PATH))
+        for texts, expected in zip(slices, alone):
+            for a, b in zip(sg.segment(texts, seeds, PATH, 2, known), expected):
+                assert [(ids.tolist(), p) for ids, p, _ in a] == [(ids.tolist(), p) for ids, p, _ in b]
+                assert [s for _, _, s in a] == pytest.approx([s for _, _, s in b])
+        assert once <= len(built) <= most
+
+
+def test_draws_do_not_depend_on_other_pre_tokens():
+    tokens = [f" {n}word{n % 7}" for n in range(3000)]
+    vocabulary = sg.pieces(PATH)
+    together, alone = sg.build(tokens, vocabulary), sg.build(tokens[-1:], vocabulary)
+    assert together.reach[-len(alone.reach) :].tolist() == alone.reach.tolist()
+
+
+@pytest.mark.parametrize("text", ["a b", " a", "a  b", "a \n\n b\n", "\n", " ", "a▁ b", "x\x00 y", "\ta\u3000b "])
+def test_pre_tokens_cut_without_an_expression(text):
+    assert sg.pre_tokens(text) == split(" " + text)
+
+
 def test_slices_do_not_matter(spark, monkeypatch):
     frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(40).select("doc_id", "text")
     rows = [(r["doc_id"], r["text"]) for r in frame.collect()]
