@@ -9,13 +9,14 @@ front of an n-gram of the next lower order, and sends either once. Where the wor
 Contexts are n-grams of the next lower order, but for those of a text's start alone: their totals and the numbers of
 n-grams seen once, twice and more often go to the parts of that order, and are written beside its n-grams.
 
-Words are numbered by the place of their hash in sorted arrays, the vocabulary. Each part of an order writes the sorted
+Words are cut and hashed from the bytes of a slice of texts at once. They are numbered by the place of their hash in
+sorted arrays, the vocabulary. Each part of an order writes the sorted
 hashes of its n-grams with their counts, and their totals as contexts, as files in the shared folder, which must be
 mounted; tables between two orders are removed when the lower one is written. Scoring maps these files: a worker holds
 no part of the model itself, and workers of a machine share the pages they read. Each n-gram of a text is looked up once
 for its count and, as the context of the token behind it, for its totals. Probabilities are interpolated from these.
 
-n-grams are told apart by 64-bit hashes of their words' numbers. The model has everything the training texts have: no
+Words are told apart by 64-bit hashes, n-grams by such of their words' numbers. The model has everything the training texts have: no
 count is cut off, no n-gram pruned.
 
 Defined results: null and empty texts have one token, the end. A word outside the vocabulary has the share of the
@@ -26,6 +27,7 @@ out. Only doc_id and text are read.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import shutil
 from collections.abc import Iterator
@@ -34,14 +36,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxtally.llm.arrays import Parts, found, pack, save, save_narrow, save_rows, sizes_of, unpack
 from rxtally.llm.storage import mounted_path, shared_folder
-from rxtally.llm.text import crc_remainder, lowered, words
+from rxtally.llm.text import crc_remainder
 
-TOKENS = 1 << 20  # tokens worked on together
+TEXT = 1 << 22  # bytes of text worked on together
+LONG = 256  # bytes; longer words are hashed one by one
 HELD = 1 << 21  # tokens gathered before their n-grams are sent
 PART = 1 << 20  # tokens for each part of an order, where that gives more parts than the session has for shuffles
 CELL = 1 << 17  # tokens; n-grams of a more frequent word are spread over parts
@@ -49,19 +53,57 @@ ORDER = 3  # words of the longest n-grams, unless a caller says otherwise
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-def token_hashes(text: Column) -> Column:
-    """A hash for each lower-case word, then that of the empty text for the end."""
-    hashes = F.transform(words(lowered(text)), lambda w: F.xxhash64(w))
-    return F.concat(hashes, F.array(F.xxhash64(F.lit(""))))
+def text_bytes(text: Column) -> Column:
+    return F.coalesce(text, F.lit("")).cast("binary")
 
 
 def mixed(numbers: np.ndarray, seed: np.ndarray | int = 0) -> np.ndarray:
     """A 64-bit hash of each number, chained to another."""
     with np.errstate(over="ignore"):
-        x = numbers.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15) + np.asarray(seed).astype(np.uint64) * M2
-        x = (x ^ (x >> np.uint64(30))) * M1
-        x = (x ^ (x >> np.uint64(27))) * M2
-        return x ^ (x >> np.uint64(31))
+        x = numbers.astype(np.uint64) + (np.asarray(seed).astype(np.uint64, copy=False) * M2 + np.uint64(0x9E3779B97F4A7C15))
+        x ^= x >> np.uint64(30)
+        x *= M1
+        x ^= x >> np.uint64(27)
+        x *= M2
+        x ^= x >> np.uint64(31)
+        return x
+
+
+def word_hashes(data: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word of the data, by its size and its bytes, eight at a time; the words leave 8 bytes behind them."""
+    blocks = np.frombuffer(data, "<u8", len(data) // 8)
+    out, left, at, words = mixed(sizes), sizes, starts, np.arange(len(sizes))
+    for word in np.flatnonzero(sizes > LONG).tolist():
+        own = hashlib.blake2b(data[starts[word] : starts[word] + sizes[word]], digest_size=8).digest()
+        out[word] = mixed(np.frombuffer(own, np.uint64), out[word])[0]
+    open_ = np.flatnonzero(sizes <= LONG)
+    while len(open_):
+        at, left, words = at[open_], left[open_], words[open_]
+        place, shift = at >> 3, ((at & 7) << 3).astype(np.uint64)
+        # Two neighbouring blocks hold the eight bytes; a shift by 64 bits is none, so the second one takes two.
+        block = blocks[place] >> shift | blocks[place + 1] << (np.uint64(63) - shift) << np.uint64(1)
+        unused = (np.maximum(8 - left, 0) << 3).astype(np.uint64)
+        out[words] = mixed(block << unused, out[words])
+        at, left = at + 8, left - 8
+        open_ = np.flatnonzero(left > 0)
+    return out
+
+
+def token_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A hash for each lower-case word of texts, and one for the end of each text; where each text's begin."""
+    data = b" ".join([b"", *texts, b" " * 16]).lower()  # of bytes: A-Z alone
+    codes = np.frombuffer(data, np.uint8)
+    inside = (codes != 0x20) & (codes - np.uint8(9) > 4)
+    # The data begin and end outside of words.
+    changes = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    starts, ends = changes[::2], changes[1::2]
+    text_ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    last = np.searchsorted(starts, text_ends) + np.arange(len(texts))
+    hashes = np.empty(len(starts) + len(texts), np.uint64)
+    word = np.ones(len(hashes), bool)
+    word[last] = False
+    hashes[word], hashes[last] = word_hashes(data, starts, ends - starts), mixed(np.zeros(1, np.int64))[0]
+    return hashes, np.r_[0, last + 1]
 
 
 def gram_hash(columns: list[np.ndarray]) -> np.ndarray:
@@ -209,11 +251,28 @@ class Vocabulary:
         return ids[back], counts[back]
 
 
+def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct hashes of a task's words with counts, for every ``HELD`` tokens or so."""
+    held, size = [], 0
+
+    def sent() -> pa.RecordBatch:
+        distinct, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.record_batch([pa.array(distinct.view(np.int64)), pa.array(n)], names=["hash", "n"])
+
+    for _, hashes, _ in pieces(batches, 0):
+        held.append(hashes)
+        size += len(hashes)
+        if size >= HELD:
+            yield sent()
+            held, size = [], 0
+    if size:
+        yield sent()
+
+
 def count_words(documents: DataFrame, folder: str, parts: int, cell: int) -> Vocabulary:
-    # An outer explode: an inner one would have Spark test the size of the array first, which splits the text twice.
-    exploded = documents.select(F.explode_outer(token_hashes(F.col("text"))).alias("hash"))
+    texts = documents.select(text_bytes(F.col("text")).alias("text"))
     upper = F.shiftrightunsigned("hash", 33)
-    counts = exploded.groupBy("hash").agg(F.count("*").alias("n")).select(
+    counts = texts.mapInArrow(word_counts, "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n")).select(
         F.shiftright(upper * parts, 31).cast("int").alias("part"), "hash", "n"
     )
 
@@ -235,15 +294,13 @@ def count_words(documents: DataFrame, folder: str, parts: int, cell: int) -> Voc
 
 
 def pieces(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Slices of batches of about ``TOKENS`` tokens, with the hashes and where each row's begin."""
+    """Slices of batches of about ``TEXT`` bytes, with the hashes of their tokens and where each row's begin."""
     for batch in batches:
-        lists = batch.column(column)
-        offsets = lists.offsets.to_numpy().astype(np.int64)
-        values = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
-        at = 0
+        ends, at = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(), dtype=np.int64), 0
         while at < batch.num_rows:
-            end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + TOKENS, "right")) - 1)
-            yield batch.slice(at, end - at), values[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
+            end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TEXT, "right")))
+            own = batch.slice(at, end - at)
+            yield own, *token_hashes(own.column(column).to_pylist())
             at = end
 
 
@@ -369,7 +426,7 @@ class Model:
     def _interpolated(self, n: int, counts: np.ndarray, totals: np.ndarray, lower: np.ndarray) -> np.ndarray:
         discount, total = np.array(self.discounts[n - 1]), np.maximum(totals[:, 0], 1)
         direct = (counts - discount[np.minimum(counts, 3)]) / total
-        left = totals[:, 1:] @ discount[1:] / total
+        left = (totals[:, 1] * discount[1] + totals[:, 2] * discount[2] + totals[:, 3] * discount[3]) / total
         return np.where(totals[:, 0] > 0, direct + left * lower, lower)
 
     def probabilities(self, columns: list[np.ndarray]) -> np.ndarray:
@@ -428,8 +485,8 @@ def train(documents: DataFrame, order: int = ORDER, cell: int = CELL) -> Model:
         vocabulary = count_words(documents, folder, parts, cell)
         parts = max(parts, -(-vocabulary.tokens // PART))
         placement = vocabulary.placement(parts, cell)
-        hashes = documents.select(token_hashes(F.col("text")).alias("hashes"))
-        rows = hashes.mapInArrow(lambda b: gather(b, vocabulary, order, placement), SHAPE)
+        texts = documents.select(text_bytes(F.col("text")).alias("text"))
+        rows = texts.mapInArrow(lambda b: gather(b, vocabulary, order, placement), SHAPE)
         found_discounts, files, totals, before = [], [], [], None
         for n in range(order, 0, -1):
             path = f"{folder}/made-{n}"
@@ -462,7 +519,7 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
 def scored(documents: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row."""
     kind = documents.schema["doc_id"].dataType.simpleString()
-    rows = documents.select("doc_id", token_hashes(F.col("text")).alias("hashes"))
+    rows = documents.select("doc_id", text_bytes(F.col("text")).alias("text"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_, n_train = model.vocabulary, model.vocabulary.tokens

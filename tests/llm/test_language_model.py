@@ -202,3 +202,32 @@ def test_rows_of_counts_are_kept_whole(tmp_path, seed):
     parts, places = Parts(str(tmp_path), (len(rows),)), draw.integers(0, len(rows), 5000)
     assert (parts.rows("totals", 0, places) == rows[places]).all()
     assert (parts.narrow("counts", 0, places) == rows[places, 0]).all()
+
+
+def test_words_are_cut_and_hashed_from_bytes():
+    """Every separator and its neighbours, words of 1 to 40 bytes and long ones at each place, texts without words."""
+    draw, known = np.random.default_rng(8), {}
+    some = [0, 8, 9, 10, 11, 12, 13, 14, 32, 65, 97, 91, 195, 137, 255]
+    texts = [bytes(draw.choice(some, draw.integers(0, 60)).tolist()) for _ in range(2000)]
+    texts += [b"", b" ", b"x", *(b" " * n + b"Ab" * k + b" z" for n in range(9) for k in (*range(1, 21), 127, 128, 129, 700))]
+    texts += [b"y" * n for n in range(250, 270)] + [b"\x00" * n for n in range(1, 20)]
+    for batch in (texts, texts[-5:], [b""], []):
+        hashes, offsets = lm.token_hashes(batch)
+        assert len(offsets) == len(batch) + 1 and offsets[-1] == len(hashes)
+        for text, a, b in zip(batch, offsets, offsets[1:]):
+            own = [*re.findall(rb"[^\x20\x09-\x0D]+", text.lower()), None]
+            assert [known.setdefault(w, h) for w, h in zip(own, hashes[a:b].tolist(), strict=True)] == hashes[a:b].tolist()
+    assert len(set(known.values())) == len(known) > 1000
+
+
+def test_words_of_all_kinds_through_slices(spark, monkeypatch):
+    texts = [None, "", " \n", "É é A a \u3000 ß SS", "x" * 300, "X" * 300 + " " + "x" * 301, "tab\tend\x0b\x0c\r\n.", "a " * 40]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    monkeypatch.setattr(lm, "TEXT", 64)
+    monkeypatch.setattr(lm, "HELD", 8)
+    plain = Plain(texts, 3)
+    found = {r["doc_id"]: r for r in lm.scored(frame, lm.train(frame)).collect()}
+    for k, text in enumerate(texts):
+        n_known, base, score = sum(w in plain.words for w in tokens(text)), plain.row(k, text)[-2], plain.row(k, text)[-1]
+        assert (found[k]["n_tokens"], found[k]["n_known"], found[k]["train_tokens"]) == (len(tokens(text)), n_known, plain.n)
+        assert (found[k]["base_score"], found[k]["score"]) == pytest.approx((base, score), rel=1e-9)
