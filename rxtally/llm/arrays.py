@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import mmap
 import os
 from dataclasses import dataclass
 from functools import lru_cache
@@ -9,6 +10,8 @@ from functools import lru_cache
 import numpy as np
 import zstandard
 
+MAPPED = 56_000  # files that a process keeps mapped; Linux allows 65,530 maps
+
 
 def pack(numbers: np.ndarray) -> bytes:
     """Numbers as planes of their bytes, compressed: leading bytes that are alike take no room."""
@@ -21,6 +24,39 @@ def unpack(blob: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(np.int64).ravel()
 
 
+@lru_cache(maxsize=1)
+def _compressor() -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(level=1)
+
+
+@lru_cache(maxsize=1)
+def _decompressor() -> zstandard.ZstdDecompressor:
+    return zstandard.ZstdDecompressor()
+
+
+def pack_columns(columns: list[np.ndarray]) -> bytes:
+    """Columns of one length together: how many, the bytes that each one's numbers take, and planes of these bytes, compressed."""
+    planes, widths = [], []
+    for column in columns:
+        low, high = (int(column.min()), int(column.max())) if len(column) else (0, 0)
+        width = 8 if low < 0 else next(w for w in (1, 2, 4, 8) if high < 1 << (8 * w))
+        own = column.astype(np.int64 if width == 8 else f"u{width}")
+        planes.append(np.ascontiguousarray(own.view(np.uint8).reshape(-1, width).T).tobytes())
+        widths.append(width)
+    return bytes([len(widths), *widths]) + _compressor().compress(b"".join(planes))
+
+
+def unpack_columns(blob: bytes) -> list[np.ndarray]:
+    widths, columns, at = blob[1 : 1 + blob[0]], [], 0
+    data = np.frombuffer(_decompressor().decompress(memoryview(blob)[1 + blob[0] :]), np.uint8)
+    n = len(data) // sum(widths)
+    for width in widths:
+        own = np.ascontiguousarray(data[at : at + n * width].reshape(width, n).T)
+        columns.append(own.view(np.int64 if width == 8 else f"u{width}").ravel().astype(np.int64, copy=False))
+        at += n * width
+    return columns
+
+
 def save(path: str, array: np.ndarray) -> None:
     """The whole file or none: tasks may be run twice at the same time."""
     own = f"{path}.{os.getpid()}.{np.random.default_rng().integers(1 << 62)}"
@@ -29,10 +65,36 @@ def save(path: str, array: np.ndarray) -> None:
     os.replace(own, path)
 
 
-@lru_cache(maxsize=4096)
+@lru_cache(maxsize=MAPPED)
 def mapped(path: str) -> np.ndarray:
-    """A file's array, mapped; a missing file is an error."""
-    return np.load(path, mmap_mode="r")
+    """A file's array, mapped without holding the file open; a missing file is an error."""
+    with open(path, "rb") as file:
+        np.lib.format.read_magic(file)
+        shape, _, kind = np.lib.format.read_array_header_1_0(file)
+        at = file.tell()
+        data = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ, trackfd=False)
+    return np.frombuffer(data, kind, int(np.prod(shape)), at).reshape(shape)
+
+
+def save_together(path: str, *arrays: np.ndarray) -> None:
+    """Arrays of whole numbers from 0 in one file: how many, where each begins, its length and its numbers' bytes."""
+    sizes = [-(-a.nbytes // 8) * 8 for a in arrays]
+    starts = np.cumsum([8 * (1 + 3 * len(arrays)), *sizes])
+    out = np.zeros(starts[-1], np.uint8)
+    heads = [x for a, start in zip(arrays, starts) for x in (start, a.nbytes, a.itemsize)]
+    out[: starts[0]] = np.array([len(arrays), *heads], np.int64).view(np.uint8)
+    for a, start in zip(arrays, starts):
+        out[start : start + a.nbytes] = np.ascontiguousarray(a).view(np.uint8).ravel()
+    save(path, out)
+
+
+@lru_cache(maxsize=MAPPED)
+def mapped_together(path: str) -> tuple[np.ndarray, ...]:
+    """What ``save_together`` wrote, each array with one dimension."""
+    data = mapped.__wrapped__(path)
+    n = int(data[:8].view(np.int64)[0])
+    heads = data[8 : 8 * (1 + 3 * n)].view(np.int64).reshape(n, 3).tolist()
+    return tuple(data[start : start + size].view(f"u{width}") for start, size, width in heads)
 
 
 def narrowed(numbers: np.ndarray) -> np.ndarray:
@@ -43,9 +105,7 @@ def narrowed(numbers: np.ndarray) -> np.ndarray:
 def save_narrow(folder: str, name: str, part: int, numbers: np.ndarray) -> None:
     """Small counts in one byte each; those of 255 and more lie in a list of their own, by place."""
     large = np.flatnonzero(numbers >= 255)
-    save(f"{folder}/{name}-{part}.npy", np.minimum(numbers, 255).astype(np.uint8))
-    save(f"{folder}/{name}-large-{part}.npy", narrowed(large))
-    save(f"{folder}/{name}-values-{part}.npy", narrowed(numbers[large]))
+    save_together(f"{folder}/{name}-{part}.npy", np.minimum(numbers, 255).astype(np.uint8), narrowed(large), narrowed(numbers[large]))
 
 
 def save_rows(folder: str, name: str, part: int, rows: np.ndarray) -> None:
@@ -61,10 +121,7 @@ def save_rows(folder: str, name: str, part: int, rows: np.ndarray) -> None:
     codes = np.full(len(rows), 255, np.uint8)
     codes[small[hit]] = place[hit]
     large = np.flatnonzero(codes == 255)
-    save(f"{folder}/{name}-{part}.npy", codes)
-    save(f"{folder}/{name}-known-{part}.npy", known.view(np.uint8).reshape(-1, 4))
-    save(f"{folder}/{name}-large-{part}.npy", narrowed(large))
-    save(f"{folder}/{name}-values-{part}.npy", narrowed(rows[large]))
+    save_together(f"{folder}/{name}-{part}.npy", codes, known.view(np.uint8), narrowed(large), narrowed(rows[large]))
 
 
 @dataclass(frozen=True)
@@ -84,26 +141,29 @@ class Parts:
     def __call__(self, name: str, part: int) -> np.ndarray:
         return mapped(f"{self.folder}/{name}-{part}.npy") if self.sizes[part] else np.zeros(0, np.int64)
 
+    def _together(self, name: str, part: int) -> tuple[np.ndarray, ...]:
+        return mapped_together(f"{self.folder}/{name}-{part}.npy")
+
     def narrow(self, name: str, part: int, places: np.ndarray) -> np.ndarray:
         """Numbers of what ``save_narrow`` wrote; ``places`` are rows of a part that has some."""
-        out = self(name, part)[places].astype(np.int64)
+        codes, large, values = self._together(name, part)
+        out = codes[places].astype(np.int64)
         marked = np.flatnonzero(out == 255)
         if len(marked):
-            out[marked] = self._large(name, part, places[marked])
+            out[marked] = values[np.searchsorted(large, places[marked])]
         return out
 
     def rows(self, name: str, part: int, places: np.ndarray) -> np.ndarray:
         """Rows of what ``save_rows`` wrote; ``places`` are rows of a part that has some."""
-        codes, out = self(name, part)[places], np.zeros((len(places), 4), np.int64)
-        coded = codes < 255
-        out[coded] = self(f"{name}-known", part)[codes[coded]]
-        if not coded.all():
-            out[~coded] = self._large(name, part, places[~coded])
+        codes, known, large, values = self._together(name, part)
+        kinds = np.append(known.reshape(-1, 4), np.zeros((256 - len(known) // 4, 4), np.uint8), axis=0).astype(np.int64)
+        own = codes[places]
+        out = kinds[own]
+        marked = np.flatnonzero(own == 255)
+        if len(marked):
+            out[marked] = values.reshape(-1, 4)[np.searchsorted(large, places[marked])]
         return out
 
-    def _large(self, name: str, part: int, places: np.ndarray) -> np.ndarray:
-        return self(f"{name}-values", part)[np.searchsorted(self(f"{name}-large", part), places)]
-
     @property
     def offsets(self) -> np.ndarray:
         return np.concatenate([[0], np.cumsum(self.sizes)]).astype(np.int64)

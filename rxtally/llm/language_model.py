@@ -12,9 +12,11 @@ n-grams seen once, twice and more often go to the parts of that order, and are w
 Words are cut and hashed from the bytes of a slice of texts at once. They are numbered by the place of their hash in
 sorted arrays, the vocabulary. Each part of an order writes the sorted
 hashes of its n-grams with their counts, and their totals as contexts, as files in the shared folder, which must be
-mounted; tables between two orders are removed when the lower one is written. Scoring maps these files: a worker holds
-no part of the model itself, and workers of a machine share the pages they read. Each n-gram of a text is looked up once
-for its count and, as the context of the token behind it, for its totals. Probabilities are interpolated from these.
+mounted; tables between two orders are removed when the lower one is written. Scoring maps these files, each once for a
+worker: it holds no part of the model itself, and workers of a machine share the pages they read. Texts are gathered as
+for counting, so that what a look-up does in each part is spread over many tokens. Each distinct n-gram of theirs is
+looked up once for its count and, as the context of the tokens behind it, for its totals. Probabilities are interpolated
+from these.
 
 Words are told apart by 64-bit hashes, n-grams by such of their words' numbers. The model has everything the training texts have: no
 count is cut off, no n-gram pruned.
@@ -40,13 +42,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxtally.llm.arrays import Parts, found, pack, save, save_narrow, save_rows, sizes_of, unpack
+from rxtally.llm.arrays import Parts, found, pack_columns, save, save_narrow, save_rows, sizes_of, unpack_columns
 from rxtally.llm.storage import mounted_path, shared_folder
 from rxtally.llm.text import crc_remainder
 
 TEXT = 1 << 22  # bytes of text worked on together
 LONG = 256  # bytes; longer words are hashed one by one
-HELD = 1 << 21  # tokens gathered before their n-grams are sent
+HELD = 1 << 21  # tokens gathered before their n-grams are sent or looked up
 PART = 1 << 20  # tokens for each part of an order, where that gives more parts than the session has for shuffles
 CELL = 1 << 17  # tokens; n-grams of a more frequent word are spread over parts
 ORDER = 3  # words of the longest n-grams, unless a caller says otherwise
@@ -183,19 +185,24 @@ def added_up(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.nda
     return [c[heads] for c in columns], np.add.reduceat(counts, heads) if len(heads) else counts
 
 
+def by_part(part: np.ndarray) -> np.ndarray:
+    """The order of rows by their part; rows of a part stay as they are."""
+    return np.argsort(part.astype(np.uint16) if part.max(initial=0) < 1 << 16 else part, kind="stable")
+
+
 def blobs(kind: str, part: np.ndarray, columns: list[np.ndarray]) -> Iterator[tuple]:
     """(part, kind, packed columns) for every part; the first column is kept by its differences."""
-    order = np.argsort(part, kind="stable")
+    order = by_part(part)
     sorted_part = part[order]
-    heads = np.flatnonzero(np.r_[True, sorted_part[1:] != sorted_part[:-1]]) if len(part) else []
+    heads = np.flatnonzero(np.r_[True, sorted_part[1:] != sorted_part[:-1]]).tolist() if len(part) else []
     for a, b in zip(heads, [*heads[1:], len(part)]):
         own = [c[order[a:b]] for c in columns]
         own[0] = np.diff(own[0], prepend=own[0].dtype.type(0))
-        yield int(sorted_part[a]), kind, [pack(c) for c in own]
+        yield int(sorted_part[a]), kind, [pack_columns(own)]
 
 
 def unblobbed(rows: list[list[bytes]]) -> list[np.ndarray]:
-    columns = [[unpack(b) for b in column] for column in zip(*rows)]
+    columns = [*zip(*(unpack_columns(blob) for (blob,) in rows))]
     return [np.concatenate([np.cumsum(x) for x in columns[0]]), *(np.concatenate(c) for c in columns[1:])]
 
 
@@ -247,7 +254,7 @@ class Vocabulary:
             own = slice(bounds[p], bounds[p + 1])
             hit, place = found(self.files("words", p), distinct[own])
             ids[own][hit] = place[hit] + self.files.offsets[p]
-            counts[own][hit] = self.files("word-counts", p)[place[hit]]
+            counts[own][hit] = self.files.narrow("word-counts", p, place[hit])
         return ids[back], counts[back]
 
 
@@ -280,7 +287,7 @@ def count_words(documents: DataFrame, folder: str, parts: int, cell: int) -> Voc
         hashes, n = table.column("hash").to_numpy().view(np.uint64), table.column("n").to_numpy()
         order = np.argsort(hashes)
         save(f"{folder}/words-{key[0].as_py()}.npy", hashes[order])
-        save(f"{folder}/word-counts-{key[0].as_py()}.npy", n[order])
+        save_narrow(folder, "word-counts", key[0].as_py(), n[order])
         frequent = np.flatnonzero(n[order] > cell)
         lists = [pa.array([x.tolist()], pa.list_(pa.int64())) for x in (frequent, n[order][frequent])]
         columns = [pa.array([key[0].as_py()], pa.int32()), [len(n)], [int(n.sum())], *lists]
@@ -393,6 +400,18 @@ def save_order(folder: str, order: int, part: int, keys: np.ndarray, counts: np.
         save_rows(folder, f"totals-{order}", part, totals)
 
 
+def distinct(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct n-gram, by their hashes, and for every row the number of its own."""
+    keys = gram_hash(columns)
+    order = np.argsort(keys)
+    keys = keys[order]
+    head = np.ones(len(keys), bool)
+    head[1:] = keys[1:] != keys[:-1]
+    which = np.empty(len(keys), np.int32)
+    which[order] = np.cumsum(head, dtype=np.int32) - 1
+    return order[head], which
+
+
 @dataclass(frozen=True)
 class Model:
     vocabulary: Vocabulary
@@ -407,27 +426,30 @@ class Model:
         """The counts of n-grams, and their totals as contexts if asked for; zeros for n-grams that are not there."""
         n = len(columns)
         files = self.grams[n - 1]
-        parts = len(files)
         part, keys = self.placement.of(columns), gram_hash(columns)
-        order = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")
-        counts, totals = np.zeros(len(keys), np.int64), np.zeros((len(keys) * as_context, 4), np.int64)
-        bounds = np.searchsorted(part[order], np.arange(parts + 1))
-        for p in np.flatnonzero(np.diff(bounds)):
-            own = order[bounds[p] : bounds[p + 1]]
-            own = own[np.argsort(keys[own])]
-            hit, place = found(files(f"grams-{n}", p), keys[own])
-            if hit.any():
-                own, place = own[hit], place[hit]
+        # By part and hash; hashes that are sorted already stay as they are.
+        order = by_part(part) if (keys[1:] >= keys[:-1]).all() else np.lexsort((keys, part))
+        keys, counts, totals = keys[order], np.zeros(len(keys), np.int64), np.zeros((len(keys) * as_context, 4), np.int64)
+        bounds = np.searchsorted(part[order], np.arange(len(files) + 1))
+        for p in np.flatnonzero(np.diff(bounds)).tolist():
+            a, b = bounds[p], bounds[p + 1]
+            hit, place = found(files(f"grams-{n}", p), keys[a:b])
+            own = np.flatnonzero(hit)
+            if len(own):
+                place, own = place[own], order[own + a]
                 counts[own] = files.narrow(f"counts-{n}", p, place)
                 if as_context and p in self.totals[n - 1]:
                     totals[own] = files.rows(f"totals-{n}", p, place)
         return counts, totals
 
-    def _interpolated(self, n: int, counts: np.ndarray, totals: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        discount, total = np.array(self.discounts[n - 1]), np.maximum(totals[:, 0], 1)
-        direct = (counts - discount[np.minimum(counts, 3)]) / total
-        left = (totals[:, 1] * discount[1] + totals[:, 2] * discount[2] + totals[:, 3] * discount[3]) / total
-        return np.where(totals[:, 0] > 0, direct + left * lower, lower)
+    def _left(self, n: int, totals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of contexts of order ``n``: their total, 0 if there is none, and the weight that they leave to the lower order."""
+        discount, total = self.discounts[n - 1], np.maximum(totals[:, 0], 1)
+        return totals[:, 0], (totals[:, 1] * discount[1] + totals[:, 2] * discount[2] + totals[:, 3] * discount[3]) / total
+
+    def _interpolated(self, n: int, counts: np.ndarray, total: np.ndarray, left: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        direct = (counts - np.array(self.discounts[n - 1])[np.minimum(counts, 3)]) / np.maximum(total, 1)
+        return np.where(total > 0, direct + left * lower, lower)
 
     def probabilities(self, columns: list[np.ndarray]) -> np.ndarray:
         """The interpolated probability of each row's last word after the words in front."""
@@ -435,19 +457,27 @@ class Model:
         for n in range(1, self.order + 1):
             own = columns[self.order - n :]
             totals = self._looked_up(own[:-1])[1] if n > 1 else np.tile(np.array(self.whole, np.int64), (len(chance), 1))
-            chance = self._interpolated(n, self._looked_up(own, False)[0], totals, chance)
+            chance = self._interpolated(n, self._looked_up(own, False)[0], *self._left(n, totals), chance)
         return chance
 
     def text_probabilities(self, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """The same for every token of texts, none empty: a token's context is the n-gram that ends in front of it."""
         chance = np.full(len(ids), 1 / (self.vocabulary.size + 1))
-        totals = np.tile(np.array(self.whole, np.int64), (len(ids), 1))
+        begins = offsets[:-1]
+        # Contexts of one order, at first the empty one alone, and which of them stands in front of each token.
+        total, left = self._left(1, np.array([self.whole], np.int64))
+        before = np.zeros(len(ids), np.int32)
         for n in range(1, self.order + 1):
-            counts, behind = self._looked_up(histories(ids, offsets, n, self.vocabulary.start), n < self.order)
-            chance = self._interpolated(n, counts, totals, chance)
-            if n < self.order and len(ids):
-                totals = np.roll(behind, 1, axis=0)
-                totals[offsets[:-1]] = self._looked_up([np.full(1, self.vocabulary.start)] * n)[1]
+            columns = histories(ids, offsets, n, self.vocabulary.start)
+            first, which = distinct(columns)
+            columns = [c[first] for c in columns]
+            counts, behind = self._looked_up(columns, n < self.order)
+            at = before[first]
+            chance = self._interpolated(n, counts, total[at], left[at], chance[first])[which]
+            if n < self.order:
+                behind = np.append(behind, self._looked_up([np.full(1, self.vocabulary.start)] * n)[1], axis=0)
+                total, left = self._left(n + 1, behind)
+                before[1:], before[begins] = which[:-1], len(behind) - 1
         return chance
 
 
@@ -516,23 +546,40 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
+def score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """The columns of ``scored`` for batches of doc_id and text, for every ``HELD`` tokens or so."""
+    words, n_train, held, size = model.vocabulary, model.vocabulary.tokens, [], 0
+    kind = np.int32 if words.start < 1 << 31 else np.int64
+
+    def done() -> pa.RecordBatch:
+        docs, n_tokens, n_known, base, ids = zip(*held)
+        n_tokens = np.concatenate(n_tokens)
+        offsets = np.r_[0, np.cumsum(n_tokens)]
+        chance = model.text_probabilities(np.concatenate(ids), offsets)
+        sums = np.add.reduceat(np.log10(chance), offsets[:-1])
+        columns = [n_tokens, np.concatenate(n_known), np.full(len(n_tokens), n_train, np.int64), np.concatenate(base), sums]
+        return pa.record_batch([pa.concat_arrays(docs), *map(pa.array, columns)], names=NAMES)
+
+    for part, hashes, offsets in pieces(batches, 1):
+        ids, counts = words.look_up(hashes)
+        base = np.log10((counts + 0.1) / (n_train + 0.1 * (words.size + 1)))
+        n_known, base = (np.add.reduceat(x, offsets[:-1]) for x in ((counts > 0).astype(np.int64), base))
+        held.append((part.column(0), np.diff(offsets), n_known, base, ids.astype(kind)))
+        size += len(ids)
+        if size >= HELD:
+            yield done()
+            held, size = [], 0
+    if held:
+        yield done()
+
+
 def scored(documents: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row."""
     kind = documents.schema["doc_id"].dataType.simpleString()
     rows = documents.select("doc_id", text_bytes(F.col("text")).alias("text"))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_, n_train = model.vocabulary, model.vocabulary.tokens
-        for part, hashes, offsets in pieces(batches, 1):
-            ids, counts = words_.look_up(hashes)
-            chance = model.text_probabilities(ids, offsets)
-            base = np.log10((counts + 0.1) / (n_train + 0.1 * (words_.size + 1)))
-            sums = [np.add.reduceat(x, offsets[:-1]) for x in (counts > 0, base, np.log10(chance))]
-            columns = [np.diff(offsets), sums[0].astype(np.int64), np.full(part.num_rows, n_train, np.int64), *sums[1:]]
-            yield pa.record_batch([part.column(0), *map(pa.array, columns)], names=NAMES)
-
     shape = f"doc_id {kind}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return rows.mapInArrow(score, shape)
+    return rows.mapInArrow(lambda batches: score(batches, model), shape)
 
 
 NAMES = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]

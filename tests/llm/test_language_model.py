@@ -7,11 +7,12 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from rxtally.llm import language_model as lm
-from rxtally.llm.arrays import Parts, save_narrow, save_rows
+from rxtally.llm.arrays import MAPPED, Parts, mapped, pack_columns, save, save_narrow, save_rows, unpack_columns
 from rxtally.llm.queries import QUERIES
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -231,3 +232,43 @@ def test_words_of_all_kinds_through_slices(spark, monkeypatch):
         n_known, base, score = sum(w in plain.words for w in tokens(text)), plain.row(k, text)[-2], plain.row(k, text)[-1]
         assert (found[k]["n_tokens"], found[k]["n_known"], found[k]["train_tokens"]) == (len(tokens(text)), n_known, plain.n)
         assert (found[k]["base_score"], found[k]["score"]) == pytest.approx((base, score), rel=1e-9)
+
+
+def test_look_ups_go_by_the_tokens_held(spark, monkeypatch):
+    """Many slices of texts meet the parts of the model together, as often as ``HELD`` says."""
+    texts = [f"a b{k % 7} c a b{k % 3} new{k}" for k in range(120)] + ["", "a"]
+    model, plain = lm.train(spark.createDataFrame(list(enumerate(texts[:90])), "doc_id bigint, text string")), Plain(texts[:90], 3)
+    calls, look_up = [], lm.Model._looked_up
+    monkeypatch.setattr(lm.Model, "_looked_up", lambda self, *a: calls.append(len(a[0][0])) or look_up(self, *a))
+    monkeypatch.setattr(lm, "TEXT", 64)
+    for held, times in ((1 << 21, 1), (250, 4)):
+        monkeypatch.setattr(lm, "HELD", held)
+        calls.clear()
+        columns = [pa.array(range(len(texts))), pa.array([t.encode() for t in texts])]
+        found = pa.Table.from_batches(lm.score(iter([pa.record_batch(columns, names=["doc_id", "text"])]), model)).to_pydict()
+        assert len(calls) == 5 * times  # three orders, and the starts of texts as contexts of two
+        assert found["doc_id"] == list(range(len(texts)))
+        assert found["score"] == pytest.approx([plain.row(k, t)[-1] for k, t in enumerate(texts)], rel=1e-9)
+    assert list(lm.score(iter([]), model)) == []
+
+
+def test_a_process_can_map_the_model_of_a_large_corpus(spark, tmp_path):
+    """6 GB of parquet have about 1,600 million tokens; no file may be mapped twice for them, nor be held open."""
+    model = lm.train(spark.createDataFrame([(k, f"a b {k % 9} c{k}") for k in range(400)], "doc_id bigint, text string"))
+    names = [p.name for p in Path(model.grams[0].folder).glob("*.npy")]
+    most = max(sum(n.endswith(f"-{part}.npy") for n in names) for part in range(model.placement.parts))
+    assert most * 1_600_000_000 / lm.PART < MAPPED == mapped.cache_info().maxsize < 65_000
+    held = []
+    for k in range(20):
+        save(f"{tmp_path}/{k}.npy", np.arange(k))
+        held.append(mapped(f"{tmp_path}/{k}.npy"))
+    assert [x.tolist() for x in held] == [list(range(k)) for k in range(20)]
+    assert not [p for p in Path("/proc/self/fd").iterdir() if str(tmp_path) in str(p.readlink() if p.is_symlink() else "")]
+
+
+def test_columns_are_packed_together():
+    draw = np.random.default_rng(5)
+    for tops in ((1,), (200, 1 << 16, 255), (256, (1 << 62) + 3, 1 << 31, 1 << 32)):
+        for n in (0, 1, 1000):
+            columns = [draw.integers(0, top, n, np.int64) for top in tops] + [np.full(n, -7)]
+            assert [c.tolist() for c in unpack_columns(pack_columns(columns))] == [c.tolist() for c in columns]
