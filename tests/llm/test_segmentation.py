@@ -1,5 +1,6 @@
 """Sampled segmentations: round trips, distinctness, exact chances on small texts, and independence from slices."""
 
+import hashlib
 import math
 from collections import Counter
 
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rxtally.llm import segmentation as sg
-from rxtally.llm.queries import tokenizer
+from rxtally.llm.queries import QUERIES, tokenizer
 from rxtally.llm.token_counts import processor, split
 
 PATH = tokenizer()
@@ -126,3 +127,21 @@ def test_slices_do_not_matter(spark, monkeypatch):
         (alone,) = sg.segment([text], seeds[n : n + 1], PATH, 2)
         assert [a[0].tolist() for a in alone] == [t[0].tolist() for t in together[n]]
         assert len({tuple(a[0].tolist()) for a in alone}) == 2
+
+
+def test_registered_query_decodes_every_sample(spark, tmp_path):
+    rows = [*enumerate(TEXTS), (None, "a b"), (3, "a"), (20, "one two  three\n" * 300)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op4_segmentation"](spark, str(tmp_path)).collect()
+    samples = sg.sampled(frame, PATH, "doc_id", k=2).collect()
+    texts = {d: (t or "").replace("▁", " ") for d, t in rows}
+    assert len(found) == len(samples) and {r["doc_id"] for r in found} == set(texts)
+    assert all(r["text_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest() for r in found)
+    assert sorted(r["n_pieces"] for r in found) == sorted(len(r["ids"]) for r in samples)
+
+
+def test_decoding_of_null_and_empty_ids(spark):
+    frame = spark.createDataFrame([(0, None), (1, []), (2, processor(PATH).encode("a b")), (3, None), (4, processor(PATH).encode("é"))], "doc_id bigint, ids array<int>")
+    assert {r["doc_id"]: r["text"] for r in sg.decoded(frame, PATH, "doc_id").collect()} == {0: None, 1: "", 2: "a b", 3: None, 4: "é"}
+    assert sg.decoded(frame.limit(0), PATH, "doc_id").collect() == []
