@@ -253,8 +253,9 @@ class Vocabulary:
         for p in np.flatnonzero(np.diff(bounds)):
             own = slice(bounds[p], bounds[p + 1])
             hit, place = found(self.files("words", p), distinct[own])
-            ids[own][hit] = place[hit] + self.files.offsets[p]
-            counts[own][hit] = self.files.narrow("word-counts", p, place[hit])
+            if hit.any():
+                ids[own][hit] = place[hit] + self.files.offsets[p]
+                counts[own][hit] = self.files.narrow("word-counts", p, place[hit])
         return ids[back], counts[back]
 
 
